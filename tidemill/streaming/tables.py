@@ -1,9 +1,12 @@
 """Serving tables with an upsert by key, on plain Parquet.
 
-Batch N of a stream replaces the partitions ``batch_id=N`` of the table's log, so a replay rewrites
-exactly what it wrote before. Readers keep one row per key. Compaction folds a prefix of the log into the
-base, and vacuum drops what was folded. As "one row per key in a fixed order" gives the same answer on
-folded and unfolded rows together, a crash between these steps is harmless.
+Batch N of a stream replaces the folder ``batch_id=N`` of the table's log, so a replay rewrites exactly what
+it wrote before. The log is not split by day: a batch with late rows of many days would leave a file
+for each; it is sorted by day instead, so that row group statistics prune. Readers keep one row per key.
+
+Compaction folds the log into the base, which is partitioned by day, and vacuum drops what was folded. As
+"one row per key in a fixed order" gives the same answer on folded and unfolded rows together, a crash
+between these steps is harmless.
 
 A table belongs to one stream and its checkpoint, which numbers the batches.
 """
@@ -59,40 +62,42 @@ class KeyedTable:
         return first_per_key(rows, keys, self._order())
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """The table: one row per key. A filter on the partition column prunes files."""
+        """The table: one row per key. A filter on the partition column reaches the scan."""
         return self.winners(self.rows(spark, before)).select(*self.schema.names)
 
-    def _write(self, rows: DataFrame, part: str, number: str) -> None:
-        # rebalance: few files for small batches, several for a partition too large for one task
-        (rows.hint("rebalance", *self._parts()).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self._parts(), number).parquet(f"{self.path}/{part}"))
-
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Store a batch; its rows should already be unique by key."""
-        rows = batch.select(*self.schema.names).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        self._write(rows, "log", "batch_id")
-
-    def compact(self, spark: SparkSession, upto: int, closed_before: str | None = None) -> None:
-        """Fold the batches up to a committed one, of all partitions or of those before a day."""
-        rows = self.rows(spark, before=upto + 1)
-        if closed_before is not None:
-            rows = rows.where(F.col(self.partition) < closed_before)
-        self._write(self.winners(rows).withColumn("upto", F.lit(upto).cast("bigint")), "base", "upto")
-
-    def vacuum(self, spark: SparkSession) -> None:
-        """Delete folded log partitions and superseded base partitions; no reader may be running."""
+        # rebalance: few files for a small batch, even ones for a large batch
+        rows = batch.select(*self.schema.names).hint("rebalance")
+        if self.partition:
+            rows = rows.sortWithinPartitions(self.partition)
+        rows.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Fold the log up to a committed batch into the base days it touches."""
+        log = self._scan(spark, "log").where(F.col("batch_id") <= upto)
+        base = self._scan(spark, "base", "upto").drop("upto")
+        if self.partition:
+            base = base.join(log.select(self.partition).distinct(), self.partition, "left_semi")
+        folded = self.winners(log.unionByName(base)).withColumn("upto", F.lit(upto).cast("bigint"))
+        # small days share a task, a day too large for one is split
+        (folded.hint("rebalance", *self._parts()).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*self._parts(), "upto").parquet(f"{self.path}/base"))
+
+    def vacuum(self, spark: SparkSession, upto: int) -> None:
+        """Delete the log that ``compact(upto)`` has folded, and older folds of the same days.
+
+        Call it after that compaction has returned and while no reader is running.
+        """
         base = f"{self.path}/base"
+        stale = [p for n, p in _numbers(spark, f"{self.path}/log", "batch_id").items() if n <= upto]
         for place in self._day_folders(spark, base) if self.partition else [base]:
-            folded = _numbers(spark, place, "upto")
-            if not folded:
-                continue
-            newest = max(folded)
-            log = place.replace(base, f"{self.path}/log", 1)
-            stale = [p for n, p in folded.items() if n < newest]
-            stale += [p for n, p in _numbers(spark, log, "batch_id").items() if n <= newest]
-            for path in stale:
-                _delete(spark, path)
+            folds = _numbers(spark, place, "upto")
+            stale += [p for n, p in folds.items() if n < max(folds)]
+        for path in stale:
+            folder, files = _folder(spark, path)
+            files.delete(folder, True)
 
     def _day_folders(self, spark: SparkSession, holder: str) -> list[str]:
         folder, files = _folder(spark, holder)
@@ -115,8 +120,3 @@ def _numbers(spark: SparkSession, path: str, name: str) -> dict[int, str]:
         if status.isDirectory() and leaf.startswith(f"{name}="):
             found[int(leaf.split("=", 1)[1])] = f"{path}/{leaf}"
     return found
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    folder, files = _folder(spark, path)
-    files.delete(folder, True)
