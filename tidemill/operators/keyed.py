@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Copies of a lookup table's row that a join spreads the facts of one key over.
+SALTS = 4
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order.
@@ -17,9 +20,27 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def drop_seen(rows: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the seen set; broadcast or shuffled as the set's size asks."""
-    return rows.join(seen.select(*keys), list(keys), "left_anti")
+def spread_join(
+    facts: DataFrame, table: DataFrame, keys: Sequence[str], spread: Sequence[str], how: str = "left",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join facts to a much smaller table that has one row per key.
+
+    One key may own a third of the facts. AQE splits such a key only where both sides come straight from a
+    shuffle, which a deduplicated table does not: it keeps the partitioning of its window. So the facts of
+    a key are dealt over ``salts`` partitions by a hash of their ``spread`` columns, the same on a retry,
+    and every table row is sent to each of them. A table small enough is broadcast all the same.
+    """
+    dealt = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def drop_seen(
+    rows: DataFrame, seen: DataFrame, keys: Sequence[str], spread: Sequence[str]
+) -> DataFrame:
+    """Rows whose key is not in the seen set."""
+    return spread_join(rows, seen.select(*keys), keys, spread, "left_anti")
 
 
 def keep_listed(table: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:

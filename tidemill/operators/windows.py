@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from math import gcd
+from math import ceil, gcd
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 COUPON = "coupon"
 CLICK = "clickItem"
+# The event kinds of the shop's app. Others are carried along as they come.
+KINDS = ["addFavor", "addComment", "addCart", CLICK, COUPON]
 # A block of windows is this many window lengths long; a longer block repeats fewer panes.
 BLOCK = 4
 
@@ -33,7 +35,7 @@ def device_windows(
     ``min_users`` skips blocks with fewer coupon users in all; no window of theirs can have more.
     """
     pane_length = gcd(size, slide)
-    block_length = BLOCK * max(size, slide)
+    block_length = BLOCK * ceil(size / slide) * slide  # a multiple of the slide, so starts fill it evenly
     second = F.unix_seconds(at)
     is_coupon = F.col("evid") == COUPON
 
@@ -51,9 +53,12 @@ def device_windows(
     last_start = _floor(F.col("pane"), slide)
     if size < slide:  # gaps between the windows: panes there belong to none
         panes = panes.where(first_start <= last_start)
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
         panes.withColumn("block", F.explode(F.sequence(
             _floor(first_start, block_length), _floor(last_start, block_length), F.lit(block_length))))
+        # a fixed number: AQE would size these tasks by their input, which is about to multiply
+        .repartition(tasks, "mid", "block")
         .groupBy("mid", "block")
         .agg(F.collect_list(F.struct("pane", "evid", "n", "uids", "items")).alias("panes"))
     )
@@ -94,26 +99,32 @@ def event_list(counts: Column) -> Column:
 
 
 def stream_device_windows(
-    events: DataFrame, size: int, slide: int, delay: str, at: str = "event_time"
+    events: DataFrame, size: int, slide: int, delay: str, min_users: int = 0, at: str = "event_time"
 ) -> DataFrame:
-    """The same windows as stream state, evicted once the watermark has passed them."""
-    is_coupon = F.col("evid") == COUPON
+    """The same windows as stream state, evicted once the watermark has passed them.
+
+    Known event kinds are kept as counts, so a busy device's window does not grow with its events.
+    """
+    evid = F.col("evid")
+    counts = [F.count_if(evid == kind).alias(kind) for kind in KINDS]
+    repeated = [F.array_repeat(F.lit(kind), F.col(kind).cast("int")) for kind in KINDS]
     return (
         events.withWatermark(at, delay)
         .groupBy("mid", F.window(at, f"{size} seconds", f"{slide} seconds").alias("w"))
         .agg(
-            F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
-            F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("item_ids"),
-            F.collect_list("evid").alias("events"),
-            F.bool_or(F.col("evid") == CLICK).alias("clicked"),
+            F.collect_set(F.when(evid == COUPON, F.col("uid"))).alias("uids"),
+            F.collect_set(F.when(evid == COUPON, F.col("itemid"))).alias("item_ids"),
+            F.collect_list(F.when(~evid.isin(KINDS), evid)).alias("others"),
+            *counts,
         )
+        .where(F.size("uids") >= min_users)
         .select(
             "mid",
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
             F.array_sort("uids").alias("uids"),
             F.array_sort("item_ids").alias("item_ids"),
-            F.array_sort("events").alias("events"),
-            "clicked",
+            F.array_sort(F.concat("others", *repeated)).alias("events"),
+            (F.col(CLICK) > 0).alias("clicked"),
         )
     )

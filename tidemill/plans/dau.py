@@ -24,7 +24,7 @@ def first_startup(startups: DataFrame) -> DataFrame:
 
 def drop_seen(startups: DataFrame, seen: DataFrame) -> DataFrame:
     """Startups of devices not seen yet on that day."""
-    return keyed.drop_seen(startups, seen, DEVICE_DAY)
+    return keyed.drop_seen(startups, seen, DEVICE_DAY, ["ts", "uid"])
 
 
 def dau_total(dau: DataFrame, day: str) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemill.functions import scalar
 from tidemill.operators import keyed
-from tidemill.sources.tables import lookup
 
 
 def prepare(orders: DataFrame) -> DataFrame:
@@ -19,9 +18,9 @@ def prepare(orders: DataFrame) -> DataFrame:
 
 
 def with_user_state(orders: DataFrame, user_state: DataFrame) -> DataFrame:
-    """Every order with whether its user has ordered before ("1") or not ("0")."""
-    known = lookup(user_state, orders, "user_id", "if_ordered")
-    return orders.join(known, "user_id", "left").withColumn(
+    """Every order with whether its user has ordered before ("1") or not ("0"); one state row per user."""
+    known = user_state.select("user_id", "if_ordered")
+    return keyed.spread_join(orders, known, ["user_id"], ["id"]).withColumn(
         "if_ordered", F.coalesce("if_ordered", F.lit("0")))
 
 

@@ -40,7 +40,7 @@ def latest_users(changes: DataFrame, *order: str) -> DataFrame:
 
 
 def enrich(sales: DataFrame, users: DataFrame, as_of: Column | str) -> DataFrame:
-    """Add the user's age, gender and level; a sale without a user keeps age 0."""
+    """Add the user's age, gender and level, one user row per id; a sale without a user keeps age 0."""
     day = F.lit(as_of) if isinstance(as_of, str) else as_of
     profile = users.select(
         F.col("id").alias("user_id"),
@@ -49,7 +49,7 @@ def enrich(sales: DataFrame, users: DataFrame, as_of: Column | str) -> DataFrame
         "user_level",
     )
     return (
-        sales.join(profile, "user_id", "left")
+        keyed.spread_join(sales, profile, ["user_id"], ["order_detail_id"])
         .withColumn("user_age", F.coalesce("user_age", F.lit(0)))
         .select(*SALE_DETAIL.names)
     )

@@ -43,12 +43,21 @@ def read_topic(
     return reader.schema(TOPIC_COLUMNS).load(path).where(F.col("topic") == topic)
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that it is computed once per row.
+
+    Catalyst would repeat a parse in every filter and field that uses it; it does not look into the
+    output of a generator.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def _parsed(df: DataFrame, record: str) -> DataFrame:
     fields = ", ".join(f"`{name}` string" for name in RECORDS[record])
-    return df.withColumn(
-        "_record",
-        F.from_json("value", f"{fields}, {CORRUPT} string",
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    parsed = F.from_json(
+        "value", f"{fields}, {CORRUPT} string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return _once(df, "_record", parsed)
 
 
 def _readable() -> Column:
@@ -81,8 +90,7 @@ def stamp(lines: DataFrame, now: Column | None = None) -> DataFrame:
     """
     at = stamp_now() if now is None else now
     return (
-        lines.withColumn("ts", at)
-        .withColumn("_log", F.from_json("value", LOG_MAP))
+        _once(lines.withColumn("ts", at), "_log", F.from_json("value", LOG_MAP))
         .where(F.col("_log").isNotNull())
         .withColumn("_log", F.map_filter("_log", lambda k, v: (k != "ts") & v.isNotNull()))
         .withColumn("type", F.try_element_at("_log", F.lit("type")))

@@ -58,7 +58,7 @@ def _order_second():
 
 
 def _later(at, seconds):
-    return at + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return F.timestamp_seconds(F.unix_seconds(at) + seconds)
 
 
 def order_info(spark: SparkSession, folder: str) -> DataFrame:

@@ -214,7 +214,9 @@ def sales(
     def each(batch: DataFrame, batch_id: int) -> None:
         day = F.current_date() if as_of is None else F.lit(as_of)
         unique = first_per_key(batch, ["order_detail_id"], [F.col("create_time"), F.col("order_id")])
-        table.upsert(sale_plan.enrich(unique, users_at.read(batch.sparkSession), day), batch_id)
+        buyers = unique.select(F.col("user_id").alias("id"))
+        profiles = users_at.read(batch.sparkSession, wanted=buyers)
+        table.upsert(sale_plan.enrich(unique, profiles, day), batch_id)
 
     return start(pairs, each, checkpoint, **run)
 
@@ -231,7 +233,7 @@ def alerts(
     is stored over it.
     """
     events = topics.decode(topic, "event_log").withColumn("event_time", F.timestamp_millis("ts"))
-    held = windows.stream_device_windows(events, size, slide, delay).where(F.size("uids") >= min_users)
+    held = windows.stream_device_windows(events, size, slide, delay, min_users)
     dated = held.withColumn("dt", F.date_format("window_end", "yyyy-MM-dd"))
     return start(dated, table.upsert, checkpoint, mode="update", **run)
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemill.operators.keyed import first_per_key
+from tidemill.operators.keyed import first_per_key, keep_listed
 
 
 @dataclass(frozen=True)
@@ -61,9 +61,18 @@ class KeyedTable:
         keys = [*self.keys, *(p for p in self._parts() if p not in self.keys)]
         return first_per_key(rows, keys, self._order())
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """The table: one row per key. A filter on the partition column reaches the scan."""
-        return self.winners(self.rows(spark, before)).select(*self.schema.names)
+    def read(
+        self, spark: SparkSession, before: int | None = None, wanted: DataFrame | None = None
+    ) -> DataFrame:
+        """The table: one row per key. A filter on the partition column reaches the scan.
+
+        ``wanted`` holds the keys to look up; other rows then end at the scan, before any shuffle of the
+        table as long as the keys fit a broadcast.
+        """
+        rows = self.rows(spark, before)
+        if wanted is not None:
+            rows = keep_listed(rows, wanted, self.keys)
+        return self.winners(rows).select(*self.schema.names)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Store a batch; its rows should already be unique by key."""
