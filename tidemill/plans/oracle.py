@@ -259,8 +259,7 @@ GROUP BY create_hour""",
 SELECT province_id, {_money()} AS total_amount, count(*) AS order_count FROM order_info GROUP BY province_id""",
     "order_detail_inner": f"SELECT {PAIR_COLUMNS} FROM order_info o JOIN order_detail d ON o.id = d.order_id",
     "order_detail_full": f"""
-SELECT {PAIR_COLUMNS} FROM (SELECT * FROM order_info WHERE order_status = 'O') o
-FULL OUTER JOIN order_detail d ON o.id = d.order_id""",
+SELECT {PAIR_COLUMNS} FROM order_info o FULL OUTER JOIN order_detail d ON o.id = d.order_id""",
     "order_detail_interval": """
 SELECT order_detail_id, order_id, user_id, sku_id, sku_price, dt FROM sale_detail""",
     "latest_users": LATEST_USERS,

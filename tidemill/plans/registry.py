@@ -198,9 +198,6 @@ def province_sales(spark, d):
 def _pair_columns(spark, d, how):
     order_rows = _orders(spark, d).select("id", "user_id", "create_time")
     lines = _details(spark, d).select("order_detail_id", "order_id", "sku_id")
-    # lines of one day against all orders and orders of one status: both sides have rows alone
-    if how == "full_outer":
-        order_rows = _orders(spark, d).where("order_status = 'O'").select("id", "user_id", "create_time")
     return joins.match_batch(order_rows, lines, how).select(
         "id", "user_id", "create_time", "order_detail_id", "detail_order_id", "sku_id")
 

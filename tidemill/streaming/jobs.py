@@ -77,13 +77,17 @@ def ingest_logs(
     lines: DataFrame, archive_path: str, write_topics: sinks.Writer, checkpoint: str,
     now: Column | None = None, **run,
 ) -> StreamingQuery:
-    """Stamp log lines, archive them, and route them to their topics."""
+    """Stamp log lines, archive them, and route them to their topics.
+
+    The stamp is part of the stream, where the clock is the batch's recorded time: a replayed batch gets
+    the stamps, and so the archive day, of its first attempt.
+    """
     writers = [sinks.archive(archive_path), write_topics]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        sinks.fan_out(topics.route_logs(topics.stamp(batch, now)), batch_id, writers)
+        sinks.fan_out(batch, batch_id, writers)
 
-    return start(lines, each, checkpoint, **run)
+    return start(topics.route_logs(topics.stamp(lines, now)), each, checkpoint, **run)
 
 
 def ingest_changes(
@@ -99,6 +103,14 @@ def ingest_changes(
 
 # Daily active devices --------------------------------------------------------------------------------
 
+def _days_of(fresh: DataFrame, most: int = 400) -> Column:
+    """A filter on the days at hand: named one by one, or as a range if there are very many."""
+    days = [r[0] for r in fresh.select("log_date").distinct().limit(most + 1).collect()]
+    if len(days) <= most:
+        return F.col("log_date").isin(days)
+    return F.col("log_date").between(*fresh.agg(F.min("log_date"), F.max("log_date")).first())
+
+
 def dau(
     topic: DataFrame, table: KeyedTable, checkpoint: str, on_metrics: Metrics | None = None, **run
 ) -> StreamingQuery:
@@ -113,11 +125,10 @@ def dau(
         counted, before = sinks.observed(batch, f"startups_{batch_id}")
         fresh = dau_plan.first_startup(counted).persist()
         try:
-            first, last = fresh.agg(F.min("log_date"), F.max("log_date")).first()
-            if first is None:
+            if fresh.isEmpty():
                 return
             seen = (
-                table.rows(spark, before=batch_id).where(F.col("log_date").between(first, last))
+                table.rows(spark, before=batch_id).where(_days_of(fresh))
                 .groupBy(*dau_plan.DEVICE_DAY).agg(F.min("ts").alias("seen_ts")))
             later = [fresh[k] == seen[k] for k in dau_plan.DEVICE_DAY]
             kept, after = sinks.observed(
