@@ -18,13 +18,12 @@ from tidemill.session import build
 HEADLINE = [
     "dau_first", "dau_hour", "new_devices", "dau_drop_seen",
     "first_order_flag", "user_state_lookup", "order_amount_hour", "province_sales",
-    "order_detail_interval", "order_detail_full", "sale_detail", "latest_users", "product_sales",
+    "order_detail_interval", "sale_detail", "latest_users", "product_sales",
     "keyword_match", "age_share", "sale_page", "kpi_board", "hour_compare_amount",
-    "device_windows", "coupon_alerts", "coupon_alerts_5min", "alerts_per_minute",
-    "route_logs", "route_changes", "decode_orders",
+    "device_windows", "coupon_alerts_5min", "alerts_per_minute", "route_logs", "decode_orders",
 ]
 # streams are timed once: each run starts its jobs from nothing
-STREAMS = ["stream_dau", "stream_first_order_flag", "stream_sale_detail", "stream_alerts_per_minute"]
+STREAMS = ["stream_dau", "stream_sale_detail", "stream_alerts_per_minute"]
 
 
 def main() -> None:

@@ -7,6 +7,7 @@ from tidemill.plans.registry import (
 )
 from tidemill.schemas import (
     AGE_COUNT_NAMES, AGE_SHARE_NAMES, AGE_TITLE, GENDER_NAMES, GENDER_TITLE, KPI_NAMES,
+    SALE_DETAIL,
 )
 
 VIEWS = """
@@ -191,6 +192,25 @@ def _json(*columns: str) -> str:
     return "json_object(" + ", ".join(f"'{c}', {c}" for c in columns) + ")"
 
 
+def _document(hits: str, size: int) -> str:
+    def stat(title: str, names: list[str], conditions: list[str]) -> str:
+        options = ", ".join(
+            f"json_object('name', '{n}', 'value', (SELECT {_pct(f'count(*) FILTER ({c})')} FROM {hits}))"
+            for n, c in zip(names, conditions))
+        return f"json_object('title', '{title}', 'options', json_array({options}))"
+
+    genders = [f"user_gender = '{g}'" for g in GENDER_NAMES]
+    stats = ", ".join([
+        stat(AGE_TITLE, AGE_SHARE_NAMES, BANDS), stat(GENDER_TITLE, list(GENDER_NAMES.values()), genders)])
+    # the merge leaves out fields without a value
+    rows = f"json_merge_patch('{{}}', {_json(*SALE_DETAIL.names)})"
+    return f"""
+SELECT cast(json_object(
+  'stat', json_array({stats}), 'total', (SELECT count(*) FROM {hits}),
+  'detail', (SELECT coalesce(to_json(list({rows} ORDER BY order_detail_id)), json_array())
+             FROM (SELECT * FROM {hits} ORDER BY order_detail_id LIMIT {size}))) AS varchar) AS document"""
+
+
 PAIR_COLUMNS = """o.id, o.user_id, o.create_time, d.id AS order_detail_id, d.order_id AS detail_order_id,
   d.sku_id"""
 FLAGS = "SELECT id, user_id, create_time, if_first_order FROM flagged"
@@ -286,6 +306,7 @@ WHERE order_id IN (SELECT id FROM order_info) GROUP BY sku_name""",
     "sale_search_page": _page("day_hits", "5", "0"),
     "sale_search_age": _age_share("day_hits"),
     "sale_search_gender": _gender_share("day_hits"),
+    "sale_search_document": _document("day_hits", 5),
     "table_view_page": _page("day_hits", "5", "5"),
     "day_demographics": _demographics("day_hits"),
     "day_province_sales": f"""

@@ -23,6 +23,9 @@ SETTINGS = {
     # join buffers and window state outgrow the heap long before they outgrow local disk
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commit what changed rather than whole files, and do not read a key only to count it
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 
