@@ -4,40 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemill.operators.keyed import spread_join
+
+
+# Orders are a quarter of the lines, so a join sends each order row to this many partitions at most.
+ORDER_SALTS = 2
+
 
 def match_batch(orders: DataFrame, details: DataFrame, how: str = "inner") -> DataFrame:
     """Orders with the details of the same batch, ``inner`` or ``full_outer``.
 
-    Each side keeps its columns; details must be given with distinct names, except ``order_id``.
-    Orders are unique by ``id``, and one order may own very many details. AQE can split such an order in
-    an inner, left or anti join but never in a full outer one, so the latter is put together from a left
-    join and the orders that no detail names.
+    Each side keeps its columns; details must be given with distinct names (``order_detail_id``), except
+    ``order_id``. Orders are unique by ``id``, and one order may own very many details. AQE can split such
+    an order in an inner, left or anti join but never in a full outer one, so the latter is put together
+    from a left join and the orders that no detail names.
     """
-    keyed = details.withColumnRenamed("order_id", "detail_order_id")
-    on = F.col("id") == F.col("detail_order_id")
+    lines = details.withColumnRenamed("order_id", "detail_order_id")
+    keyed_orders = orders.withColumn("detail_order_id", F.col("id"))
+
+    def joined(kind: str) -> DataFrame:
+        return spread_join(
+            lines, keyed_orders, ["detail_order_id"], ["order_detail_id"], kind, ORDER_SALTS)
+
     if how == "inner":
-        return keyed.join(orders, on, "inner")
+        return joined("inner")
     if how != "full_outer":
         raise ValueError(f"unsupported join: {how}")
-    matched = keyed.join(orders, on, "left")
-    named = keyed.select("detail_order_id").distinct()
-    alone = orders.join(named, on, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    named = lines.select("detail_order_id").distinct()
+    alone = orders.join(named, F.col("id") == F.col("detail_order_id"), "left_anti")
+    return joined("left").unionByName(alone, allowMissingColumns=True)
 
 
 def interval_join(
     orders: DataFrame,
     details: DataFrame,
     within: str = "1 hour",
-    salts: int = 1,
+    salts: int = ORDER_SALTS,
     order_time: str = "order_ts",
     detail_time: str = "detail_ts",
 ) -> DataFrame:
     """Each detail with its order when their times lie no further apart than ``within``.
 
-    Works on batches and, with watermarks on both time columns, on streams. A batch leaves a very large
-    order to AQE. A stream has no AQE: ``salts`` > 1 spreads the details of an order over that many state
-    partitions, each of which then buffers its own copy of the order row.
+    Works on batches and, with watermarks on both time columns, on streams. ``salts`` spreads the details
+    of an order over that many partitions, each with its own copy of the order row. In a batch the salt
+    also makes both sides shuffle, however they were partitioned before, so that AQE can split a very
+    large order further; a stream has no AQE.
     """
     left, right = orders, details.withColumnRenamed("order_id", "detail_order_id")
     gap = F.expr(f"INTERVAL {within}")

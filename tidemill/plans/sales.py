@@ -14,7 +14,9 @@ def as_details(details: DataFrame) -> DataFrame:
     return details.withColumnRenamed("id", "order_detail_id")
 
 
-def pair(orders: DataFrame, details: DataFrame, within: str = "1 hour", salts: int = 1) -> DataFrame:
+def pair(
+    orders: DataFrame, details: DataFrame, within: str = "1 hour", salts: int = joins.ORDER_SALTS
+) -> DataFrame:
     """Order and line pairs at most ``within`` apart, reduced to what a sale detail holds."""
     order_columns = orders.select("id", "order_status", "create_time", "user_id", "order_ts")
     line_columns = as_details(details).select(
@@ -68,7 +70,7 @@ def product_sales(orders: DataFrame, details: DataFrame, day: str | None = None)
         orders = orders.where(scalar.create_date(F.col("create_time")) == day)
     wanted = orders.select(F.col("id").alias("order_id"))
     return (
-        details.join(wanted, "order_id", "left_semi")
+        keyed.spread_join(details, wanted, ["order_id"], ["id"], "left_semi", joins.ORDER_SALTS)
         .groupBy(F.col("sku_name").alias("name"))
         .agg(F.sum(F.col("sku_num").try_cast("bigint")).alias("num"))
     )
