@@ -191,24 +191,18 @@ _ANSWER = "bucket long, segment long, bits binary"
 _SEND = "segment long, bucket long, lengths binary, docs binary, bytes binary"
 
 
-def _distinct_anchors(ids: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _distinct_anchors(chunks: list) -> tuple[np.ndarray, np.ndarray]:
     """The anchors of a bucket in order, and whether two of its documents have each."""
-    hashes, first, last = [], [], []
-    for _, found, doc in _bucket_windows(ids, texts):
-        order = np.lexsort((doc, found.anchor))
-        h, d = found.anchor[order], doc[order]
-        at = _groups(h)
-        if len(at):
-            hashes.append(h[at])
-            first.append(d[at])
-            last.append(d[np.append(at[1:], len(h)) - 1])
-    if not hashes:
+    if not chunks:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
-    h, lo, hi = np.concatenate(hashes), np.concatenate(first), np.concatenate(last)
-    order = np.argsort(h, kind="stable")
-    h, lo, hi = h[order], lo[order], hi[order]
+    h = np.concatenate([found.anchor for _, found, _ in chunks])
+    doc = np.concatenate([doc for *_, doc in chunks])
+    order = np.argsort(h)
+    h, doc = h[order], doc[order]
     at = _groups(h)
-    return h[at], np.minimum.reduceat(lo, at) != np.maximum.reduceat(hi, at)
+    if not len(at):
+        return h, np.zeros(0, dtype=bool)
+    return h[at], np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
 
 
 def _cuts(segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +212,7 @@ def _cuts(segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _ask(segments: int):
     def run(table: pa.Table) -> pa.Table:
-        hashes, several = _distinct_anchors(*_ordered(table))
+        hashes, several = _distinct_anchors(list(_bucket_windows(*_ordered(table))))
         segment = _segment(hashes, segments)
         at, stop = _cuts(segment)
         rows = [(int(segment[a]), hashes[a:b].astype(np.uint32).tobytes(), np.packbits(several[a:b]).tobytes())
@@ -250,14 +244,15 @@ def _answer(table: pa.Table) -> pa.Table:
 
 def _shared_windows(ids: np.ndarray, texts: list[bytes], answers: pa.Table, segments: int):
     """Per chunk: its first document, the windows, the documents, and the places of those with a shared anchor."""
-    hashes, _ = _distinct_anchors(ids, texts)
+    chunks = list(_bucket_windows(ids, texts))
+    hashes, _ = _distinct_anchors(chunks)
     shared = np.zeros(len(hashes), dtype=bool)
     segment = _segment(hashes, segments)
     bits = dict(zip(answers["segment"].to_pylist(), answers["bits"].to_pylist()))
     for a, b in zip(*_cuts(segment)):
         shared[a:b] = np.unpackbits(np.frombuffer(bits[int(segment[a])], dtype=np.uint8), count=b - a).astype(bool)
     keep = hashes[shared]
-    for a, found, doc in _bucket_windows(ids, texts):
+    for a, found, doc in chunks:
         place = np.minimum(np.searchsorted(keep, found.anchor), max(0, len(keep) - 1))
         use = np.flatnonzero(keep[place] == found.anchor) if len(keep) else np.zeros(0, dtype=np.int64)
         yield a, found, doc, use
@@ -273,8 +268,8 @@ class _Distinct:
             own = found.names()[use]
             self.chunks.append((a, found.start[use], found.count[use], found.owner[use], doc[use], own))
             raw = found.data
-            order = np.lexsort((doc[use], own))
-            at = order[_groups(own[order])]
+            # documents ascend in a bucket: the first place of a window is that of its smallest document
+            _, at = np.unique(own, return_index=True)
             anchor.append(found.anchor[use][at])
             name.append(own[at])
             count.append(found.count[use][at])
@@ -327,8 +322,8 @@ class RunLengthIndex:
 
     ``heads`` and ``starts`` are the runs of the transform, cut also where suffixes share less than ``LENGTH``
     bytes; ``before`` counts the head's character in the rows above a run, ``first`` the rows of smaller characters.
-    ``sample`` is a text place for each run: its end, once the rows of a run, which are equal in ``LENGTH`` bytes, are
-    in falling order of document. ``least`` is the smallest document at the samples of the runs of one block, the
+    ``sample`` is a text place for each run: its end, if the rows of a run, which are equal in ``LENGTH`` bytes, are
+    taken in falling order of document. ``run_of`` names the run of a row. ``least`` is the smallest document at the samples of the runs of one block, the
     suffixes that are equal in ``LENGTH`` bytes.
     """
 
@@ -355,9 +350,10 @@ class RunLengthIndex:
         self.starts = np.flatnonzero(cut)
         self.heads = bwt[self.starts]
         run_length = np.diff(np.append(self.starts, n))
-        run = np.repeat(np.arange(len(self.starts)), run_length)
-        falling = np.lexsort((-docs[owner][order], run))
-        self.sample = order[falling[self.starts + run_length - 1]]
+        self.run_of = np.repeat(np.arange(len(self.starts), dtype=np.int32), run_length)
+        by_doc = np.empty(len(docs), dtype=np.int64)
+        by_doc[np.argsort(docs, kind="stable")] = np.arange(len(docs))
+        self.sample = np.minimum.reduceat((by_doc[owner[order]] << 32) | order, self.starts) & 0xFFFFFFFF
         total = np.bincount(bwt, minlength=258)
         self.first = np.concatenate([[0], np.cumsum(total)])[:258]
         by_head = np.argsort(self.heads, kind="stable")
@@ -380,25 +376,21 @@ class RunLengthIndex:
         for j in range(_PACK):
             own = np.where(left >= j, padded[j:j + n], _U(0))
             key = (key << _U(9)) | own
-        rank, order = _ranks(key)
+        order = np.argsort(key)
+        groups = _Groups(order, key[order])
         known = _PACK
         while known * 2 <= LENGTH:
-            rank, order = _ranks(self._paired(rank, left, known))
+            groups.refine(groups.ahead(left, known))
             known *= 2
-        # from a power of two to LENGTH exactly: the second half overlaps the first
-        self.prefix, order = _ranks(self._paired(rank, left, LENGTH - known))
-        rank, known = self.prefix, LENGTH
+        # from there to LENGTH exactly: the second half overlaps the first
+        groups.refine(groups.ahead(left, LENGTH - known))
+        self.prefix, known = groups.rank.copy(), LENGTH
         while known <= longest:
-            rank, order = _ranks(self._paired(rank, left, known))
+            groups.refine(groups.ahead(left, known))
             known *= 2
         # what is still equal are whole equal suffixes of several windows: in the order of their ends
-        return np.lexsort((owner, rank)) if len(rank) and rank.max() + 1 < _U(n) else order
-
-    @staticmethod
-    def _paired(rank: np.ndarray, left: np.ndarray, step: int) -> np.ndarray:
-        ahead = np.zeros(len(rank), dtype=np.uint64)
-        ahead[:len(rank) - step] = rank[step:]
-        return (rank << _U(32)) | np.where(left >= step, ahead + _U(1), _U(0))
+        groups.refine(lambda rows: owner[rows])
+        return groups.order
 
     def matching(self, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Stream all windows from their ends. Yields, for the places that have ``LENGTH`` bytes to their right: the
@@ -406,7 +398,7 @@ class RunLengthIndex:
         row, place = self.ends.copy(), lengths.astype(np.int64).copy()
         active = np.arange(len(lengths))
         while len(active):
-            run = np.searchsorted(self.starts, row, side="right") - 1
+            run = self.run_of[row]
             full = lengths[active] - place >= LENGTH
             if full.any():
                 yield active[full], place[full], self.least[run[full]]
@@ -417,13 +409,35 @@ class RunLengthIndex:
             place = place - 1
 
 
-def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(key)
-    own = key[order]
-    new = np.concatenate([[False], own[1:] != own[:-1]])
-    rank = np.empty(len(key), dtype=np.uint64)
-    rank[order] = np.cumsum(new).astype(np.uint64)
-    return rank, order
+class _Groups:
+    """Suffixes in order of what is known of them; equal ones form a group, named by its first row. Only groups
+    of several are sorted again."""
+
+    def __init__(self, order: np.ndarray, key: np.ndarray):
+        self.order, n = order, len(order)
+        start = _groups(key)
+        length = np.diff(np.append(start, n))
+        self.of_row = np.repeat(start, length)
+        self.rank = np.empty(n, dtype=np.int64)
+        self.rank[order] = self.of_row
+        self.open = np.flatnonzero(np.repeat(length > 1, length))
+
+    def ahead(self, left: np.ndarray, step: int):
+        """The rank of the suffix ``step`` symbols on; 0 if the window ends before."""
+        last = len(self.rank) - 1
+        return lambda rows: np.where(left[rows] >= step, self.rank[np.minimum(rows + step, last)] + 1, 0)
+
+    def refine(self, next_key) -> None:
+        place = self.open
+        rows = self.order[place]
+        key = (self.of_row[place] << 32) | next_key(rows)
+        by = np.argsort(key)
+        rows, key = rows[by], key[by]
+        start = _groups(key)
+        length = np.diff(np.append(start, len(key)))
+        self.order[place] = rows
+        self.of_row[place] = self.rank[rows] = np.repeat(place[start], length)
+        self.open = place[np.repeat(length > 1, length)]
 
 
 def _index(table: pa.Table) -> pa.Table:
