@@ -31,7 +31,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, folder: str) -> D
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest id, of repeated rows the first by text."""
     found = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -138,9 +138,13 @@ def with_occurrence(rows: DataFrame, text_hash) -> DataFrame:
 
 def mix(docs: DataFrame, seed: int = 1) -> DataFrame:
     """``docs`` with every row repeated as often as it was drawn, none for those not drawn."""
-    drawn = copies(docs, seed).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("occurrence").alias("_no"), "copies")
-    rows = with_occurrence(docs, F.xxhash64("text"))
-    joined = rows.join(drawn, rows["doc_id"].eqNullSafe(drawn["_id"]) & (rows["occurrence"] == drawn["_no"]))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    drawn = copies(docs.select("doc_id", "source", "text"), seed).where("copies > 0").select(
+        F.col("doc_id").alias("drawn_id"), F.col("occurrence").alias("drawn_no"), "copies")
+    # columns go by number, so that no name can clash
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own = docs.toDF(*place.values()).withColumns(
+        {"doc_id": F.col(place["doc_id"]), "source": F.col(place["source"])})
+    rows = with_occurrence(own, F.xxhash64(place["text"]))
+    joined = rows.join(drawn, rows["doc_id"].eqNullSafe(drawn["drawn_id"]) & (rows["occurrence"] == drawn["drawn_no"]))
+    repeated = joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select(*[F.col(n).alias(c) for c, n in place.items()])

@@ -5,8 +5,8 @@
    them, so they meet in the inverted list of one of the ``size - need + 1`` rarest values of either sketch; only
    those lists are used, which leaves out words that very many texts have.
 3. Lists are worked off in rounds, since only components are asked for. The most central member of a list
-   meets all others; members that are in one component by then need no further test. What is left in short
-   lists is paired, in long lists more members meet all others, twice as many in every round.
+   meets all others; members that are in one component by then need no further test. Then the members outside
+   the largest component meet all others: at once in a short list, in a long one ever more of them in every round.
 4. Pairs pass an estimate from the sketch of their union, then the exact Jaccard similarity of their full sets.
 
 Two texts are linked when 100 * intersection >= percent * union. No list and no number of partners is
@@ -37,9 +37,9 @@ PERCENT = 80
 K = 32
 #: The chance that the sketches of two sets at the threshold share fewer values than are asked for.
 MISS = 1e-5
-SHORT = 32
 SALTS = 16
-HUBS = 4
+#: Pairs that a list may add in its second round, doubled in each later one.
+ROUND_PAIRS = 1 << 16
 
 
 def shared_least(percent: int) -> int:
@@ -199,7 +199,7 @@ def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS,
             hubs = open_.withColumn("rank", F.row_number().over(order)).where("rank = 1")
         else:
             rest = open_.join(main, "value").where("root <> main")
-            most = F.when(F.col("length") <= SHORT, F.lit(SHORT)).otherwise(HUBS << turn)
+            most = F.greatest(F.lit(4), F.lit(ROUND_PAIRS) / F.col("length")) * float(1 << turn)
             hubs = rest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
         hubs = stored(hubs.select("value", "node", "root"), "hubs")
         pairs = _meet(hubs, members).distinct()

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm.common import mix64, parts_for, small_batches, text_bytes
@@ -529,7 +530,7 @@ def _digest(segments: int, carried: list[str], bytes_too: bool):
 def _both(answers: pa.Table) -> tuple[pa.Table, pa.Table]:
     """The answers about anchors, and those about windows."""
     flag = answers["windows"]
-    return answers.filter(pa.compute.invert(flag)), answers.filter(flag)
+    return answers.filter(pc.invert(flag)), answers.filter(flag)
 
 
 def _cleaned(docs: DataFrame, carried: list[str], bytes_too: bool) -> DataFrame:
