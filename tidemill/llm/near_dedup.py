@@ -1,8 +1,8 @@
 """MinHash near-dedup by bottom-k sketches from one hash function.
 
 1. Every text becomes its set of hashed word shingles. Equal sets are one node from here on.
-2. The ``K`` smallest hashes of a set are its sketch. Two sets that are similar enough share ``need`` of
-   them, so they meet in the inverted list of one of the ``size - need + 1`` rarest values of either sketch; only
+2. The ``K`` smallest hashes of a set are its sketch; a set of up to ``SMALL`` is its own. Two sets that are similar
+   enough share ``need`` of them, so they meet in the inverted list of one of the ``size - need + 1`` rarest values of either sketch; only
    those lists are used, which leaves out words that very many texts have.
 3. Lists are worked off in rounds, since only components are asked for. The most central member of a list
    meets all others; members that are in one component by then need no further test. Then the members outside
@@ -35,6 +35,11 @@ from tidemill.llm.shingles import shingle_sets
 WORDS = 5
 PERCENT = 80
 K = 32
+#: Sets of so few shingles are compared as a whole: their lists are exact, and a passage that many short texts share
+#: brings no false partners.
+SMALL = 320
+#: Tells the lists of sketches from those of whole sets.
+_TAG = 0x5DEECE66D
 #: The chance that the sketches of two sets at the threshold share fewer values than are asked for.
 MISS = 1e-5
 SALTS = 16
@@ -66,7 +71,7 @@ def _sketches(size: int):
             for values in shingle_sets(batch.column(1).to_pylist(), size):
                 nodes.append(_node(values))
                 counts.append(len(values))
-                sketches.append(values[:K].view(np.int64))
+                sketches.append((values if len(values) <= SMALL else values[:K]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
                  pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "node", "n_shingles", "sketch"])
@@ -105,23 +110,27 @@ def sketched(docs: DataFrame, words: int = WORDS) -> DataFrame:
         _sketches(words), "doc_id long, node long, n_shingles long, sketch array<long>")
 
 
-def _need(size: Column, percent: int) -> Column:
-    """How many values of a sketch any partner's sketch must hold: exact for small sets, as those are whole."""
-    return F.when(size * 100 <= percent * K, F.ceil(size * percent / 100)).otherwise(
-        F.least(F.lit(shared_least(percent)), F.ceil(size * percent / 100))).cast("int")
-
-
 def rare_lists(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """value, node: the inverted lists in which similar nodes meet; lists of equal members are kept once."""
-    postings = nodes.select("node", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
+    """value, node, n_shingles, length: the inverted lists in which similar nodes meet; equal lists are kept once.
+
+    Partners differ in size by ``percent`` at most, so two sets are both in the lists of whole sets or both in those
+    of sketches.
+    """
+    size = F.col("n_shingles")
+    whole = nodes.where(size <= SMALL).select(
+        "node", "n_shingles", size.cast("int").alias("size"), F.ceil(size * percent / 100).cast("int").alias("need"), "sketch")
+    part = nodes.where(size * 100 > SMALL * percent).select(
+        "node", "n_shingles", F.lit(K).alias("size"), F.lit(shared_least(percent)).alias("need"), F.transform(
+            F.slice("sketch", 1, K), lambda v: v.bitwiseXOR(F.lit(_TAG))).alias("sketch"))
+    postings = whole.unionByName(part).select("node", "n_shingles", "size", "need", F.explode("sketch").alias("value"))
     shared = stored(postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
     common = postings.join(shared, "value")
-    own = Window.partitionBy("node")
+    own = Window.partitionBy("node", "need")
     # values that no other node has come first in the order and use up the prefix
     ranked = common.withColumns({
         "rank": F.row_number().over(own.orderBy("df", "value")), "common": F.count("*").over(own)})
-    prefix = F.col("size") - _need(F.col("size"), percent) + 1 - (F.col("size") - F.col("common"))
-    lists = stored(ranked.where(F.col("rank") <= prefix).select("value", "node"), "lists")
+    prefix = F.col("size") - F.col("need") + 1 - (F.col("size") - F.col("common"))
+    lists = stored(ranked.where(F.col("rank") <= prefix).select("value", "node", "n_shingles"), "lists")
     named = lists.groupBy("value").agg(
         F.count("*").alias("length"), F.bit_xor(F.xxhash64("node")).alias("members")).where("length > 1")
     once = named.groupBy("length", "members").agg(F.min("value").alias("value"))
@@ -130,14 +139,15 @@ def rare_lists(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs whose union's sketch allows the similarity."""
-    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
-    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    left = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
-    union = F.slice(F.array_sort(F.array_union("x", "y")), 1, K)
-    shared = F.size(F.array_intersect(F.array_intersect("x", "y"), union))
-    whole = (F.size("x") < K) & (F.size("y") < K) & (F.size(union) < K)
-    return both.where(F.when(whole, shared * 100 >= F.size(union) * percent).otherwise(
-        shared >= F.least(F.lit(shared_least(percent)), F.size(union)))).select("a", "b")
+    whole = (F.col("n") <= SMALL) & (F.col("m") <= SMALL)
+    exact = F.size(F.array_intersect("x", "y")) * 100 >= F.size(F.array_union("x", "y")) * percent
+    x, y = F.slice("x", 1, K), F.slice("y", 1, K)
+    union = F.slice(F.array_sort(F.array_union(x, y)), 1, K)
+    likely = F.size(F.array_intersect(F.array_intersect(x, y), union)) >= shared_least(percent)
+    return both.where(F.when(whole, exact).otherwise(likely)).select("a", "b")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, ids: DataFrame, words: int, percent: int) -> DataFrame:
@@ -155,11 +165,12 @@ def _linked(pairs: DataFrame, docs: DataFrame, ids: DataFrame, words: int, perce
     return checked.where("linked").select("a", "b")
 
 
-def _meet(hubs: DataFrame, lists: DataFrame) -> DataFrame:
-    """Pairs of the hubs of a list and its members of other components. Members come from the stored table, so
-    that Spark splits a long list."""
-    met = hubs.select("value", F.col("node").alias("hub"), F.col("root").alias("hub_root")).join(lists, "value")
-    return met.where("root <> hub_root").select(
+def _meet(hubs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the hubs of a list and its members of other components whose sizes allow the similarity."""
+    met = hubs.select("value", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("n_shingles").alias(
+        "hub_size")).join(lists, "value")
+    alike = F.least("hub_size", "n_shingles") * 100 >= F.greatest("hub_size", "n_shingles") * percent
+    return met.where((F.col("root") != F.col("hub_root")) & alike).select(
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
 
 
@@ -201,13 +212,13 @@ def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS,
             rest = open_.join(main, "value").where("root <> main")
             most = F.greatest(F.lit(4), F.lit(ROUND_PAIRS) / F.col("length")) * float(1 << turn)
             hubs = rest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-        hubs = stored(hubs.select("value", "node", "root"), "hubs")
-        pairs = _meet(hubs, members).distinct()
+        hubs = stored(hubs.select("value", "node", "root", "n_shingles"), "hubs")
+        pairs = _meet(hubs, members, percent).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        likely = stored(_estimated(pairs, nodes.select("node", "sketch"), percent), "likely")
+        likely = stored(_estimated(pairs, nodes.select("node", "n_shingles", "sketch"), percent), "likely")
         new = stored(_linked(likely, docs, ids, words, percent), "linked")
         found = new if found is None else found.unionByName(new)
         done = hubs.select("value", "node")
