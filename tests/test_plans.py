@@ -320,3 +320,21 @@ def split_plan(spark, df):
     df = df.select("*")
     df.collect()
     return plan(df)
+
+
+def test_hours_that_add_up_to_zero_stay_in_the_map(spark):
+    rows = spark.createDataFrame(
+        [("2024-01-15", "05", 0.0), ("2024-01-15", "06", 1.0), ("2024-01-14", "07", None)],
+        "create_date string, create_hour string, total_amount double")
+    maps = serve.hour_maps("order_amount", rows, "2024-01-15").first()
+    assert maps.today == {"05": 0.0, "06": 1.0} and maps.yesterday == {"07": 0.0}
+
+
+def test_a_change_without_id_has_no_key(spark):
+    from tidemill.sources import changes, views
+    from tidemill.plans.registry import PATTERN
+
+    log = views.change_log(spark, "/root/testdata/sf0.001")
+    bare = log.withColumn("rows", F.transform("rows", lambda r: F.filter(r, lambda p: p["name"] != "id")))
+    routed = changes.route_changes(bare, PATTERN)
+    assert routed.count() > 0 and routed.where("key is not null").count() == 0

@@ -277,3 +277,40 @@ def test_keyed_table_orders_by_several_columns(spark, tmp_path):
     table.upsert(rows("a", 9), 0)
     table.upsert(rows("b", 1), 1)
     assert table.read(spark).first()["user_level"] == "b"
+
+
+def _startup(mid, ts, day):
+    return {"mid": mid, "uid": "u", "appid": "a", "area": "x", "os": "o", "ch": "c", "type": "startup", "vs": "1",
+            "ts": ts, "log_date": day, "log_hour": "01"}
+
+
+def test_rows_without_a_day_survive_compaction(spark, tmp_path):
+    table = jobs.dau_table(str(tmp_path / "dau")).create(spark)
+    names = table.schema.names
+
+    def put(batch_id, *rows):
+        full = [tuple(_startup(*r).get(n) for n in names) for r in rows]
+        table.upsert(spark.createDataFrame(full, table.schema), batch_id)
+
+    for batch_id, row in enumerate([("a", 1, None), ("b", 2, None), ("c", 3, ""), ("d", 4, ""), ("e", 5, "2024-01-01")]):
+        put(batch_id, row)
+        table.compact(spark, batch_id)
+        table.vacuum(spark, batch_id)
+    assert sorted(r.mid for r in table.read(spark).collect()) == ["a", "b", "c", "d", "e"]
+
+
+def test_an_empty_batch_leaves_no_folder(spark, tmp_path):
+    table = jobs.dau_table(str(tmp_path / "dau")).create(spark)
+    full = [tuple(_startup("a", 1, "2024-01-01").get(n) for n in table.schema.names)]
+    rows = spark.createDataFrame(full, table.schema)
+    table.upsert(rows, 0)
+    table.upsert(rows.limit(0), 1)
+    table.upsert(rows, 2)
+    table.upsert(rows.limit(0), 2)
+    assert [p.name for p in (tmp_path / "dau/log").iterdir()] == ["batch_id=0"]
+
+
+def test_messages_without_a_time_are_fed(spark, tmp_path):
+    rows = spark.sql("select string(id) value, if(id % 3 = 0, null, timestamp_seconds(id)) timestamp from range(9)")
+    replay.feed(rows, str(tmp_path / "topic"), 3, lambda: None)
+    assert spark.read.parquet(str(tmp_path / "topic")).count() == 9

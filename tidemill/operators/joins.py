@@ -71,24 +71,30 @@ def hour_spine(spark: SparkSession) -> DataFrame:
     return spark.range(0, 24, 1, 1).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hour"))
 
 
-def two_day_hours(
+def two_days(
     rows: DataFrame, day: str, hour: str, today: Column, yesterday: Column, value: Column | None = None
 ) -> DataFrame:
-    """Hour curves of two days side by side over one scan; missing hours are 0.
-
-    Counts rows, or sums ``value``. At most 24 rows reach the spine join.
-    """
+    """The hours of two days that have rows, over one scan: counts, or sums of ``value``; null where a day has no row."""
     def series(wanted: Column) -> Column:
         hit = F.col(day) == wanted
+        some = F.count_if(hit)
         if value is None:
-            return F.count_if(hit)
-        return F.sum(F.when(hit, value.cast("decimal(18,2)"))).cast("double")
+            return F.when(some > 0, some)
+        total = F.sum(F.when(hit, value.cast("decimal(18,2)"))).cast("double")
+        return F.when(some > 0, F.coalesce(total, F.lit(0.0)))
 
-    per_hour = (
+    return (
         rows.where((F.col(day) == today) | (F.col(day) == yesterday))
         .groupBy(F.col(hour).alias("hour"))
         .agg(series(yesterday).alias("yesterday"), series(today).alias("today"))
     )
+
+
+def two_day_hours(
+    rows: DataFrame, day: str, hour: str, today: Column, yesterday: Column, value: Column | None = None
+) -> DataFrame:
+    """Hour curves of two days side by side; missing hours are 0. At most 24 rows reach the spine join."""
+    per_hour = two_days(rows, day, hour, today, yesterday, value)
     zero = F.lit(0) if value is None else F.lit(0.0)
     return (
         hour_spine(rows.sparkSession)

@@ -42,17 +42,16 @@ def latest_users(changes: DataFrame, *order: str) -> DataFrame:
 
 
 def enrich(sales: DataFrame, users: DataFrame, as_of: Column | str) -> DataFrame:
-    """Add the user's age, gender and level, one user row per id; a sale without a user keeps age 0."""
+    """Add the user's age, gender and level, one user row per id; a sale without a user keeps age 0.
+
+    ``as_of`` may be a column of the sales.
+    """
     day = F.lit(as_of) if isinstance(as_of, str) else as_of
     profile = users.select(
-        F.col("id").alias("user_id"),
-        scalar.age_years(F.col("birthday"), day.cast("date")).alias("user_age"),
-        F.col("gender").alias("user_gender"),
-        "user_level",
-    )
+        F.col("id").alias("user_id"), "birthday", F.col("gender").alias("user_gender"), "user_level")
     return (
         keyed.spread_join(sales, profile, ["user_id"], ["order_detail_id"])
-        .withColumn("user_age", F.coalesce("user_age", F.lit(0)))
+        .withColumn("user_age", F.coalesce(scalar.age_years(F.col("birthday"), day.cast("date")), F.lit(0)))
         .select(*SALE_DETAIL.names)
     )
 

@@ -26,28 +26,33 @@ def realtime_total(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+# day, hour and, if it is summed, value of a metric's rows
+_HOURS = {"dau": ("log_date", "log_hour"), "order_amount": ("create_date", "create_hour", "total_amount")}
+
+
 def realtime_hour(metric: str, rows: DataFrame, day: str) -> DataFrame | None:
     """Hour curves of the day and the day before; None for an unknown metric.
 
     ``rows`` is the DAU table for ``dau`` and the order table for ``order_amount``.
     """
+    columns = _HOURS.get(metric)
+    if columns is None:
+        return None
     today = F.lit(day)
-    before = scalar.yesterday(today)
-    if metric == "dau":
-        return joins.two_day_hours(rows, "log_date", "log_hour", today, before)
-    if metric == "order_amount":
-        return joins.two_day_hours(
-            rows, "create_date", "create_hour", today, before, F.col("total_amount"))
-    return None
+    return joins.two_day_hours(rows, *columns[:2], today, scalar.yesterday(today), *map(F.col, columns[2:]))
 
 
 def hour_maps(metric: str, rows: DataFrame, day: str) -> DataFrame | None:
-    """The curves as two maps from hour to value in one row, hours without rows left out."""
-    curves = realtime_hour(metric, rows, day)
-    if curves is None:
+    """The curves as two maps from hour to value in one row, hours without rows left out; an hour of which the
+    rows add up to 0 stays."""
+    columns = _HOURS.get(metric)
+    if columns is None:
         return None
+    today = F.lit(day)
+    curves = joins.two_days(rows, *columns[:2], today, scalar.yesterday(today), *map(F.col, columns[2:]))
+
     def series(name: str) -> Column:
-        return F.map_filter(scalar.pairs_map(F.col("hour"), F.col(name)), lambda h, v: v != 0)
+        return F.map_filter(scalar.pairs_map(F.col("hour"), F.col(name)), lambda h, v: v.isNotNull())
     return curves.agg(series("today").alias("today"), series("yesterday").alias("yesterday"))
 
 

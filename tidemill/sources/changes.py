@@ -31,7 +31,8 @@ def change_topic(table: Column, op: Column) -> Column:
 def route_changes(entries: DataFrame, pattern: str) -> DataFrame:
     """One message per changed row: ``topic, key, value`` with the after-image as JSON.
 
-    The key is the row's ``id``, so that the changes of a row stay in order within their partition.
+    The key is the row's ``id``, so that the changes of a row stay in order within their partition; it is null
+    for a row without one.
     """
     return (
         subscribe(entries, pattern)
@@ -40,7 +41,7 @@ def route_changes(entries: DataFrame, pattern: str) -> DataFrame:
         .withColumn("after", F.explode("rows"))
         .select(
             "topic",
-            F.filter("after", lambda p: p["name"] == "id")[0]["value"].alias("key"),
+            F.get(F.filter("after", lambda p: p["name"] == "id"), 0)["value"].alias("key"),
             pairs_json(F.col("after")).alias("value"),
             F.col("position").alias("offset"),
         )

@@ -103,12 +103,10 @@ def ingest_changes(
 
 # Daily active devices --------------------------------------------------------------------------------
 
-def _days_of(fresh: DataFrame, most: int = 400) -> Column:
-    """A filter on the days at hand: named one by one, or as a range if there are very many."""
-    days = [r[0] for r in fresh.select("log_date").distinct().limit(most + 1).collect()]
-    if len(days) <= most:
-        return F.col("log_date").isin(days)
-    return F.col("log_date").between(*fresh.agg(F.min("log_date"), F.max("log_date")).first())
+def _days_of(fresh: DataFrame) -> Column:
+    """A filter on the days at hand, from the first to the last."""
+    first, last = fresh.agg(F.min("log_date"), F.max("log_date")).first()
+    return F.col("log_date").between(F.lit(first), F.lit(last))
 
 
 def dau(
@@ -220,14 +218,22 @@ def sales(
         "timestamp", "order_ts").withWatermark("order_ts", delay)
     detail_rows = topics.decode(detail_topic, "order_detail", "timestamp").withColumnRenamed(
         "timestamp", "detail_ts").withWatermark("detail_ts", delay)
-    pairs = sale_plan.pair(order_rows, detail_rows, within, salts)
+    # the day belongs to the stream: a batch that is replayed after midnight keeps its ages
+    day = F.current_date() if as_of is None else F.lit(as_of)
+    pairs = sale_plan.pair(order_rows, detail_rows, within, salts).withColumn("as_of_day", day)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        day = F.current_date() if as_of is None else F.lit(as_of)
-        unique = first_per_key(batch, ["order_detail_id"], [F.col("create_time"), F.col("order_id")])
-        buyers = unique.select(F.col("user_id").alias("id"))
-        profiles = users_at.read(batch.sparkSession, wanted=buyers)
-        table.upsert(sale_plan.enrich(unique, profiles, day), batch_id)
+        # read twice below, and the state behind it must not be
+        unique = first_per_key(batch, ["order_detail_id"], [F.col("create_time"), F.col("order_id")]).persist()
+        buyers = unique.select(F.col("user_id").alias("id")).distinct().persist()
+        try:
+            # once counted, the size of the keys is known and Spark chooses the lookup by it
+            buyers.count()
+            profiles = users_at.read(batch.sparkSession, wanted=buyers)
+            table.upsert(sale_plan.enrich(unique, profiles, F.col("as_of_day")), batch_id)
+        finally:
+            buyers.unpersist()
+            unique.unpersist()
 
     return start(pairs, each, checkpoint, **run)
 

@@ -37,7 +37,7 @@ def messages(rows: DataFrame, topic: str, timestamp: Column, offset: Column | No
 def feed(topics: DataFrame, path: str, slices: int, run: Callable[[], None]) -> None:
     """Append the messages in ``slices`` steps of rising time, running the jobs after each.
 
-    Every run but the first continues from the checkpoint of the one before.
+    Every run but the first continues from the checkpoint of the one before. Messages without a time come first.
     """
     edges: list = []
     if slices > 1:
@@ -51,7 +51,7 @@ def feed(topics: DataFrame, path: str, slices: int, run: Callable[[], None]) ->
         if lower is not None:
             part = part.where(at > lower)
         if upper is not None:
-            part = part.where(at <= upper)
+            part = part.where(at <= upper if lower is not None else (at <= upper) | at.isNull())
         part.write.mode("append").parquet(path)
         run()
         lower = upper

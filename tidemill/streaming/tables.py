@@ -75,19 +75,33 @@ class KeyedTable:
         return self.winners(rows).select(*self.schema.names)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        """Store a batch; its rows should already be unique by key."""
+        """Store a batch; its rows should already be unique by key.
+
+        A batch without rows leaves no folder, not even that of a former attempt. It is found to be empty when
+        written, as a test before would evaluate a stateful batch twice. An empty day is stored as no day: day
+        folders do not tell the two apart.
+        """
+        rows = batch.select(*self.schema.names)
+        if self.partition:
+            rows = rows.withColumn(self.partition, F.nullif(F.col(self.partition), F.lit("")))
         # rebalance: few files for a small batch, even ones for a large batch
-        rows = batch.select(*self.schema.names).hint("rebalance")
+        rows = rows.hint("rebalance")
         if self.partition:
             rows = rows.sortWithinPartitions(self.partition)
-        rows.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
+        spark, path = batch.sparkSession, f"{self.path}/log/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        if spark.read.schema(self.schema).parquet(path).isEmpty():
+            folder, files = _folder(spark, path)
+            files.delete(folder, True)
 
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Fold the log up to a committed batch into the base days it touches."""
         log = self._scan(spark, "log").where(F.col("batch_id") <= upto)
         base = self._scan(spark, "base", "upto").drop("upto")
         if self.partition:
-            base = base.join(log.select(self.partition).distinct(), self.partition, "left_semi")
+            # rows without a day are a day of their own
+            days = log.select(F.col(self.partition).alias("_day")).distinct()
+            base = base.join(days, F.col(self.partition).eqNullSafe(F.col("_day")), "left_semi")
         folded = self.winners(log.unionByName(base)).withColumn("upto", F.lit(upto).cast("bigint"))
         # small days share a task, a day too large for one is split
         (folded.hint("rebalance", *self._parts()).write.mode("overwrite")
