@@ -3,7 +3,9 @@
 1. Every text becomes its set of hashed word shingles. Equal sets are one node from here on.
 2. The ``K`` smallest hashes of a set are its sketch; a set of up to ``SMALL`` is its own. Two sets that are similar
    enough share ``need`` of them, so they meet in the inverted list of one of the ``size - need + 1`` rarest values of either sketch; only
-   those lists are used, which leaves out words that very many texts have.
+   those lists are used, which leaves out words that very many texts have. Of whole sets, the rank of a value in both
+   sets must also leave enough values for the overlap, so a passage that most of a short text consists of brings
+   together only texts that may be similar by it.
 3. Lists are worked off in rounds, since only components are asked for. The most central member of a list
    meets all others; members that are in one component by then need no further test. Then the members outside
    the largest component meet all others: at once in a short list, in a long one ever more of them in every round.
@@ -111,30 +113,45 @@ def sketched(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def rare_lists(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """value, node, n_shingles, length: the inverted lists in which similar nodes meet; equal lists are kept once.
+    """value, node, n_shingles, most, length: the inverted lists in which similar nodes meet; equal lists are kept once.
 
     Partners differ in size by ``percent`` at most, so two sets are both in the lists of whole sets or both in those
-    of sketches.
+    of sketches. ``most`` is the largest size of a partner whose first common value, in the order of rarity, is
+    that of the list: the values before it are not shared, which leaves ``rest`` for the overlap. A list is split by
+    the classes of size in which partners can be, and dropped where no member can have a partner of its size or more.
     """
     size = F.col("n_shingles")
     whole = nodes.where(size <= SMALL).select(
-        "node", "n_shingles", size.cast("int").alias("size"), F.ceil(size * percent / 100).cast("int").alias("need"), "sketch")
+        "node", "n_shingles", F.ceil(size * percent / 100).cast("int").alias("need"), F.lit(True).alias("all"), "sketch")
     part = nodes.where(size * 100 > SMALL * percent).select(
-        "node", "n_shingles", F.lit(K).alias("size"), F.lit(shared_least(percent)).alias("need"), F.transform(
+        "node", "n_shingles", F.lit(shared_least(percent)).alias("need"), F.lit(False).alias("all"), F.transform(
             F.slice("sketch", 1, K), lambda v: v.bitwiseXOR(F.lit(_TAG))).alias("sketch"))
-    postings = whole.unionByName(part).select("node", "n_shingles", "size", "need", F.explode("sketch").alias("value"))
+    postings = whole.unionByName(part).select("node", "n_shingles", "need", "all", F.explode("sketch").alias("value"))
     shared = stored(postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
     common = postings.join(shared, "value")
-    own = Window.partitionBy("node", "need")
-    # values that no other node has come first in the order and use up the prefix
-    ranked = common.withColumns({
-        "rank": F.row_number().over(own.orderBy("df", "value")), "common": F.count("*").over(own)})
-    prefix = F.col("size") - F.col("need") + 1 - (F.col("size") - F.col("common"))
-    lists = stored(ranked.where(F.col("rank") <= prefix).select("value", "node", "n_shingles"), "lists")
-    named = lists.groupBy("value").agg(
-        F.count("*").alias("length"), F.bit_xor(F.xxhash64("node")).alias("members")).where("length > 1")
-    once = named.groupBy("length", "members").agg(F.min("value").alias("value"))
-    return stored(lists.join(once.select("value", "length"), "value"), "lists-once")
+    own = Window.partitionBy("node", "all")
+    # values that no other node has come first in the order
+    ranked = common.withColumn("rest", F.count("*").over(own) + 1 - F.row_number().over(own.orderBy("df", "value")))
+    by_size = F.floor(size * 100 / percent)
+    by_rest = F.floor(F.col("rest") * (100 + percent) / percent) - size
+    reach = ranked.where("rest >= need").select(
+        "value", "df", "node", "n_shingles", F.when(F.col("all"), F.least(by_size, by_rest)).otherwise(by_size).alias("most"))
+    home, last = _size_class(size, percent), _size_class(F.greatest("most", "n_shingles"), percent)
+    lists = stored(reach.withColumn("home", home).withColumn("class", F.explode(F.sequence(home, last))).select(
+        F.xxhash64("value", "class").alias("value"), "df", F.col("value").alias("of"), "node", "n_shingles", "most",
+        (F.col("class") == F.col("home")).alias("at_home")), "lists")
+    named = lists.groupBy("value", "df", "of").agg(
+        F.count("*").alias("length"), F.bit_xor(F.xxhash64("node")).alias("members"),
+        F.max("at_home").alias("at_home"), F.max(F.col("most") >= size).alias("open")).where("length > 1 and at_home and open")
+    # of equal lists the one of the rarest value has the first common value of all its pairs
+    once = named.groupBy("length", "members").agg(F.min(F.struct("df", "of", "value")).alias("first"))
+    kept = once.select(F.col("first.value").alias("value"), "length")
+    return stored(lists.join(kept, "value").select("value", "node", "n_shingles", "most", "length"), "lists-once")
+
+
+def _size_class(size: Column, percent: int) -> Column:
+    """Sizes of one class, or of two that follow each other, are all that similar sets can have."""
+    return F.floor(F.log(size.cast("double")) / F.log(F.lit(100 / percent)) if percent < 100 else size)
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -165,11 +182,11 @@ def _linked(pairs: DataFrame, docs: DataFrame, ids: DataFrame, words: int, perce
     return checked.where("linked").select("a", "b")
 
 
-def _meet(hubs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the hubs of a list and its members of other components whose sizes allow the similarity."""
+def _meet(hubs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Pairs of the hubs of a list and its members of other components whose sizes and ranks allow the similarity."""
     met = hubs.select("value", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("n_shingles").alias(
-        "hub_size")).join(lists, "value")
-    alike = F.least("hub_size", "n_shingles") * 100 >= F.greatest("hub_size", "n_shingles") * percent
+        "hub_size"), F.col("most").alias("hub_most")).join(lists, "value")
+    alike = (F.col("n_shingles") <= F.col("hub_most")) & (F.col("hub_size") <= F.col("most"))
     return met.where((F.col("root") != F.col("hub_root")) & alike).select(
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
 
@@ -212,8 +229,8 @@ def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS,
             rest = open_.join(main, "value").where("root <> main")
             most = F.greatest(F.lit(4), F.lit(ROUND_PAIRS) / F.col("length")) * float(1 << turn)
             hubs = rest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-        hubs = stored(hubs.select("value", "node", "root", "n_shingles"), "hubs")
-        pairs = _meet(hubs, members, percent).distinct()
+        hubs = stored(hubs.select("value", "node", "root", "n_shingles", "most"), "hubs")
+        pairs = _meet(hubs, members).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
