@@ -7,8 +7,9 @@
    sets must also leave enough values for the overlap, so a passage that most of a short text consists of brings
    together only texts that may be similar by it.
 3. Lists are worked off in rounds, since only components are asked for. The most central member of a list
-   meets all others; members that are in one component by then need no further test. Then the members outside
-   the largest component meet all others: at once in a short list, in a long one ever more of them in every round.
+   meets all others; members that are in one component by then need no further test. Then a few members of the
+   largest component meet those outside it, and at last the members outside meet all others: at once in a short
+   list, in a long one ever more of them in every round.
 4. Pairs pass an estimate from the sketch of their union, then the exact Jaccard similarity of their full sets.
 
 Two texts are linked when 100 * intersection >= percent * union. No list and no number of partners is
@@ -45,8 +46,11 @@ _TAG = 0x5DEECE66D
 #: The chance that the sketches of two sets at the threshold share fewer values than are asked for.
 MISS = 1e-5
 SALTS = 16
+#: Rounds in which so many members of a list's largest component meet the others, before the others meet all.
+PROBES = 1
+PROBE_HUBS = 8
 #: Pairs that a list may add in its second round, doubled in each later one.
-ROUND_PAIRS = 1 << 16
+ROUND_PAIRS = 1 << 20
 
 
 def shared_least(percent: int) -> int:
@@ -156,14 +160,13 @@ def _size_class(size: Column, percent: int) -> Column:
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs whose union's sketch allows the similarity."""
-    left = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x"))
-    right = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y"))
+    left = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n"), F.slice("sketch", 1, K).alias("x"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("m"), F.slice("sketch", 1, K).alias("y"))
     both = pairs.join(left, "a").join(right, "b")
-    whole = (F.col("n") <= SMALL) & (F.col("m") <= SMALL)
+    whole = (F.col("n") <= K) & (F.col("m") <= K)
     exact = F.size(F.array_intersect("x", "y")) * 100 >= F.size(F.array_union("x", "y")) * percent
-    x, y = F.slice("x", 1, K), F.slice("y", 1, K)
-    union = F.slice(F.array_sort(F.array_union(x, y)), 1, K)
-    likely = F.size(F.array_intersect(F.array_intersect(x, y), union)) >= shared_least(percent)
+    union = F.slice(F.array_sort(F.array_union("x", "y")), 1, K)
+    likely = F.size(F.array_intersect(F.array_intersect("x", "y"), union)) >= shared_least(percent)
     return both.where(F.when(whole, exact).otherwise(likely)).select("a", "b")
 
 
@@ -225,6 +228,11 @@ def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS,
         order = Window.partitionBy("value").orderBy(F.col("central").desc(), "node")
         if turn == 0:
             hubs = open_.withColumn("rank", F.row_number().over(order)).where("rank = 1")
+        elif turn <= PROBES:
+            # some members of the largest component, others in every round, take in most of its near copies
+            chance = Window.partitionBy("value").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+            inner = open_.join(main, "value").where("root = main")
+            hubs = inner.withColumn("rank", F.row_number().over(chance)).where(F.col("rank") <= PROBE_HUBS)
         else:
             rest = open_.join(main, "value").where("root <> main")
             most = F.greatest(F.lit(4), F.lit(ROUND_PAIRS) / F.col("length")) * float(1 << turn)
