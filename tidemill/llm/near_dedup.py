@@ -38,8 +38,8 @@ from tidemill.llm.shingles import shingle_sets
 WORDS = 5
 PERCENT = 80
 K = 32
-#: Sets of so few shingles are compared as a whole: their lists are exact, and a passage that many short texts share
-#: brings no false partners.
+#: The lists of sets of so few shingles are those of the whole sets, so a passage that many short texts share brings
+#: no false partners.
 SMALL = 320
 #: Tells the lists of sketches from those of whole sets.
 _TAG = 0x5DEECE66D
