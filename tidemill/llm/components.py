@@ -14,32 +14,46 @@ def _minima(directed: DataFrame) -> DataFrame:
 
 
 def _large_star(links: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node is linked with the smallest one; u > v in all links."""
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _minima(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return _minima(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    moved = _minima(down)
+    """Every smaller neighbour of a node, and the node, are linked with the smallest one; ``links`` have u > v."""
+    moved = _minima(links)
     sides = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
         moved.select("u", F.col("m").alias("v")))
     return sides.where("u <> v").distinct()
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _are_stars(links: DataFrame) -> bool:
+    """Whether no node has two smaller neighbours, or a smaller and a larger one."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where(
+        "down > 1 OR down = 1 AND up = 1").isEmpty()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, root for each node of ``links`` (u, v): root is the smallest node that can be reached."""
-    links = stored(links.select("u", "v").where("u <> v").distinct(), "links")
-    state = _state(links)
-    while True:
+def shortened(links: DataFrame, turns: int | None = None) -> DataFrame:
+    """u, v with u > v: links of the same components, nearer to stars by so many turns, or stars where None."""
+    links = links.select("u", "v").where("u <> v")
+    while turns is None or turns > 0:
         links = stored(_small_star(_large_star(links)), "stars")
-        now = _state(links)
-        if now == state:
+        if turns is not None:
+            turns -= 1
+        elif _are_stars(links):
             break
-        state = now
+    return links
+
+
+def labels(links: DataFrame) -> DataFrame:
+    """node, root for each node of ``shortened`` links: a node of the same component, of stars the smallest one."""
     pairs = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root"))
     return pairs.unionByName(roots).groupBy("node").agg(F.min("root").alias("root"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node, root for each node of ``links`` (u, v): root is the smallest node that can be reached."""
+    return labels(shortened(links))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.llm.common import mix64, small_batches, stored
-from tidemill.llm.components import components
+from tidemill.llm.components import components, labels, shortened
 from tidemill.llm.shingles import shingle_sets
 
 WORDS = 5
@@ -51,6 +51,8 @@ PROBES = 1
 PROBE_HUBS = 8
 #: Pairs that a list may add in its second round, doubled in each later one.
 ROUND_PAIRS = 1 << 20
+#: Turns of the search for components after each round; what is left of it is done in later rounds.
+TURNS = 1
 
 
 def shared_least(percent: int) -> int:
@@ -159,7 +161,7 @@ def _size_class(size: Column, percent: int) -> Column:
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose union's sketch allows the similarity."""
+    """a, b, likely: whether the sketch of a pair's union allows the similarity."""
     left = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n"), F.slice("sketch", 1, K).alias("x"))
     right = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("m"), F.slice("sketch", 1, K).alias("y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -167,18 +169,20 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     exact = F.size(F.array_intersect("x", "y")) * 100 >= F.size(F.array_union("x", "y")) * percent
     union = F.slice(F.array_sort(F.array_union("x", "y")), 1, K)
     likely = F.size(F.array_intersect(F.array_intersect("x", "y"), union)) >= shared_least(percent)
-    return both.where(F.when(whole, exact).otherwise(likely)).select("a", "b")
+    return both.select("a", "b", F.when(whole, exact).otherwise(likely).alias("likely"))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, ids: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs that the full sets confirm. Only the texts of their nodes are read again, one for each."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    found = stored(ids.join(wanted, "node").select("node", F.col("least").alias("doc_id")), "wanted")
-    asked = found.select(F.col("doc_id").alias("asked")).distinct()
+def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """node, values: the full set of each of ``nodes`` (node, least), from the text of the document ``least``."""
+    asked = nodes.select(F.col("least").alias("asked")).distinct()
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(
         asked, F.col("doc_id").eqNullSafe(F.col("asked")), "left_semi")
     sets = texts.select("text").mapInArrow(_full_sets(words), "node long, values binary")
-    sets = stored(sets.join(found.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return stored(sets.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the full sets confirm."""
     sided = pairs.join(sets.select(F.col("node").alias("a"), F.col("values").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("values").alias("y")), "b")
     checked = sided.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long, linked boolean")
@@ -194,26 +198,28 @@ def _meet(hubs: DataFrame, lists: DataFrame) -> DataFrame:
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
 
 
-def _rooted(lists: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The list members with the component that they are in so far."""
-    if links is None:
+def _rooted(lists: DataFrame, stars: DataFrame | None) -> DataFrame:
+    """The list members with a node of the component that they are in so far; members of one may still have two."""
+    if stars is None:
         return lists.withColumn("root", F.col("node"))
-    return lists.join(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
+    return lists.join(labels(stars), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """a, b: links of which the components are those of all similar pairs.
+    """u, v: links of which the components are those of all similar pairs.
 
-    ``nodes`` has node, n_shingles, sketch; ``ids`` names a doc_id of each node.
+    ``nodes`` has node, n_shingles, sketch; ``ids`` names a doc_id (``least``) of each node.
     """
     lists = rare_lists(nodes, percent)
     central = lists.groupBy("node").agg(F.sum("length").alias("central"))
     lists = stored(lists.join(central, "node"), "central")
-    settled = tested = found = None
+    # the texts of all nodes that may have a partner are read once
+    sets = full_sets(docs, ids.join(central, "node").select("node", "least"), words)
+    sketches = nodes.select("node", "n_shingles", "sketch")
+    settled = tested = stars = None
     turn = 0
     while True:
-        rooted = stored(_rooted(lists, found), "rooted")
+        rooted = stored(_rooted(lists, stars), "rooted")
         open_ = rooted if settled is None else rooted.join(settled, ["value", "node"], "left_anti")
         # a list is finished when the members that have not met all others are of one component
         left = stored(open_.groupBy("value").agg(
@@ -241,15 +247,16 @@ def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS,
         pairs = _meet(hubs, members).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        likely = stored(_estimated(pairs, nodes.select("node", "n_shingles", "sketch"), percent), "likely")
-        new = stored(_linked(likely, docs, ids, words, percent), "linked")
-        found = new if found is None else found.unionByName(new)
+        pairs = stored(_estimated(pairs, sketches, percent), "pairs")
+        met = pairs.select("a", "b")
+        tested = met if tested is None else tested.unionByName(met)
+        new = stored(_linked(pairs.where("likely").select("a", "b"), sets, percent), "linked")
+        new = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        stars = shortened(new if stars is None else stars.unionByName(new), TURNS)
         done = hubs.select("value", "node")
         settled = done if settled is None else settled.unionByName(done)
         turn += 1
-    return found if found is not None else lists.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    return stars if stars is not None else lists.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -260,7 +267,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     nodes = stored(full.groupBy("node").agg(
         F.min("doc_id").alias("least"), F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "nodes")
     found = links(docs, nodes, nodes.select("node", "least"), words, percent)
-    roots = stored(components(found.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
+    roots = stored(components(found), "roots")
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("node", "component_id")
