@@ -35,25 +35,17 @@ def _are_stars(links: DataFrame) -> bool:
         "down > 1 OR down = 1 AND up = 1").isEmpty()
 
 
-def shortened(links: DataFrame, turns: int | None = None) -> DataFrame:
-    """u, v with u > v: links of the same components, nearer to stars by so many turns, or stars where None."""
+def shortened(links: DataFrame) -> DataFrame:
+    """u, v with u > v: links of the same components, as stars around their smallest nodes."""
     links = links.select("u", "v").where("u <> v")
-    while turns is None or turns > 0:
+    while True:
         links = stored(_small_star(_large_star(links)), "stars")
-        if turns is not None:
-            turns -= 1
-        elif _are_stars(links):
-            break
-    return links
+        if _are_stars(links):
+            return links
 
 
 def labels(links: DataFrame) -> DataFrame:
-    """node, root for each node of ``shortened`` links: a node of the same component, of stars the smallest one."""
+    """node, root for each node of ``shortened`` links: the smallest node of its component."""
     pairs = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root"))
     return pairs.unionByName(roots).groupBy("node").agg(F.min("root").alias("root"))
-
-
-def components(links: DataFrame) -> DataFrame:
-    """node, root for each node of ``links`` (u, v): root is the smallest node that can be reached."""
-    return labels(shortened(links))

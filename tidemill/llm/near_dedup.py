@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.llm.common import mix64, small_batches, stored
-from tidemill.llm.components import components, labels, shortened
+from tidemill.llm.components import labels, shortened
 from tidemill.llm.shingles import shingle_sets
 
 WORDS = 5
@@ -51,8 +51,6 @@ PROBES = 1
 PROBE_HUBS = 8
 #: Pairs that a list may add in its second round, doubled in each later one.
 ROUND_PAIRS = 1 << 20
-#: Turns of the search for components after each round; what is left of it is done in later rounds.
-TURNS = 1
 
 
 def shared_least(percent: int) -> int:
@@ -199,7 +197,7 @@ def _meet(hubs: DataFrame, lists: DataFrame) -> DataFrame:
 
 
 def _rooted(lists: DataFrame, stars: DataFrame | None) -> DataFrame:
-    """The list members with a node of the component that they are in so far; members of one may still have two."""
+    """The list members with the component that they are in so far."""
     if stars is None:
         return lists.withColumn("root", F.col("node"))
     return lists.join(labels(stars), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -252,7 +250,7 @@ def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS,
         tested = met if tested is None else tested.unionByName(met)
         new = stored(_linked(pairs.where("likely").select("a", "b"), sets, percent), "linked")
         new = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        stars = shortened(new if stars is None else stars.unionByName(new), TURNS)
+        stars = shortened(new if stars is None else stars.unionByName(new))
         done = hubs.select("value", "node")
         settled = done if settled is None else settled.unionByName(done)
         turn += 1
@@ -267,7 +265,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     nodes = stored(full.groupBy("node").agg(
         F.min("doc_id").alias("least"), F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "nodes")
     found = links(docs, nodes, nodes.select("node", "least"), words, percent)
-    roots = stored(components(found), "roots")
+    roots = stored(labels(found), "roots")
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("node", "component_id")
