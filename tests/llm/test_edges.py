@@ -80,6 +80,18 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == plain
 
 
+def test_texts_that_hold_others_are_their_near_copies(spark):
+    texts = []
+    # at exactly 80 %, of sets whose smallest values pass 2 ** 63
+    for n, (held, whole) in enumerate([(36, 45), (44, 55), (44, 55), (56, 70), (56, 70), (60, 75), (70, 87)] * 150):
+        own = [f"p{n}w{i}" for i in range(whole + 3)]
+        texts += [(2 * n, " ".join(own[:held + 3])), (2 * n + 1, " ".join(own))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = near_dedup.near_duplicates(docs, words=4).collect()
+    plain = brute.near([{"doc_id": a, "text": b} for a, b in texts], 4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == plain
+
+
 def test_mixing_takes_whole_copies(docs):
     rows = mixing.copies(docs).collect()
     assert all(r.copies == 0 for r in rows if r.size == 0)

@@ -43,6 +43,8 @@ K = 32
 SMALL = 320
 #: Tells the lists of sketches from those of whole sets.
 _TAG = 0x5DEECE66D
+#: Flips the sign bit: sketches keep, as signed longs, the unsigned order in which their values are the smallest.
+_SIGN = np.uint64(1 << 63)
 #: The chance that the sketches of two sets at the threshold share fewer values than are asked for.
 MISS = 1e-5
 SALTS = 16
@@ -77,7 +79,7 @@ def _sketches(size: int):
             for values in shingle_sets(batch.column(1).to_pylist(), size):
                 nodes.append(_node(values))
                 counts.append(len(values))
-                sketches.append((values if len(values) <= SMALL else values[:K]).view(np.int64))
+                sketches.append(((values if len(values) <= SMALL else values[:K]) ^ _SIGN).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
                  pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "node", "n_shingles", "sketch"])
