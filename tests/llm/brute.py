@@ -86,3 +86,23 @@ def capped_targets(sizes: dict, weights=(5.0, 2.0, 1.0), most: float = 3.0) -> d
         if not over:
             return held | share
         held |= {s: most * sizes[s] for s in over}
+
+
+def places(text: list, own: list, align, threshold: float = 0.8) -> list[tuple[float, int, int]]:
+    """Where a template stands in a text, both lists of words: windows from every start, the best first."""
+    slack, hits = max(2, len(own) // 4), set()
+    for start in range(len(text)):
+        best = align(text[start:start + len(own) + slack], own)
+        for stop in range(start + len(own) + 2 * slack, len(text) + slack, slack):
+            at_edge = best and best[-1][0] >= stop - start - 2 * slack
+            longer = align(text[start:stop], own)
+            if len(best) < threshold * len(own) or not at_edge or len(longer) <= len(best):
+                break
+            best = longer
+        if best and len(best) >= threshold * len(own):
+            hits.add((len(best) / len(own), start + best[0][0], start + best[-1][0]))
+    chosen = []
+    for hit in sorted(hits, key=lambda p: (-p[0], p[2] - p[1], p[1])):
+        if all(hit[2] < p[1] or p[2] < hit[1] for p in chosen):
+            chosen.append(hit)
+    return chosen

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing column names."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +50,33 @@ def test_every_row_once_and_empty_tables(docs, none, apply):
     assert apply(none).collect() == []
 
 
+def test_license_places_are_the_best_of_all_starts():
+    names = ["Apache-2.0-header", "GPL-3.0-or-later", "MIT-permission", "MIT"]
+    templates = {n: licenses.TEMPLATES[n] for n in names}
+    scanner, pick = licenses.Scanner(templates), random.Random(5)
+    prose = "This is the manual of the tool, and it is free to read; you may copy any part of it under the usual terms.".split()
+    for name, text in templates.items():
+        for cut in range(len(prose)):
+            verbatim = " ".join(prose[:cut]) + "\n" + text + " " + " ".join(prose[cut:])
+            found = {f[0]: f[1:] for f in scanner.scan(verbatim)}[name]
+            n = len(licenses.words(text))
+            start = len(licenses.words(" ".join(prose[:cut])))
+            assert found == (1.0, start, start + n - 1, 1)
+    for _ in range(60):
+        text = []
+        for _ in range(pick.randrange(1, 4)):
+            text += pick.choices(prose, k=pick.randrange(30))
+            for word in licenses.words(templates[pick.choice(names)]):
+                text += [w for w in (word, "other") if pick.random() < (0.95 if w == word else 0.15)]
+        own = licenses.words(" ".join(text))
+        want = []
+        for name in names:
+            plain = brute.places(own, licenses.words(templates[name]), licenses.align)
+            if plain:
+                want.append((name, *max(plain, key=lambda p: (p[0], -p[1])), len(plain)))
+        assert scanner.scan(" ".join(text)) == want
+
+
 def test_repeats_of_bytes(docs):
     rows = {(r.doc_id, r.n_bytes): r for r in repeats.removed_bytes(docs).collect()}
     size = len(PASSAGE.encode())

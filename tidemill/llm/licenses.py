@@ -5,6 +5,10 @@ longest increasing run of anchors stands, and the gaps between are trimmed at th
 same way. Coverage is the share of the template's words that are matched. A window of the text is aligned only
 where enough words of the template occur, which no alignment could exceed, so no match is missed by that.
 
+Windows of 1.25 times the template start at every word of it, and grow while a match goes on at their end. Of the
+places found, the one of most coverage stands, then the shorter, then the earlier one; those that overlap it go, and
+so on with the rest.
+
 Every document gives a row for each license found, or one row with a null license and coverage 0. Words
 are runs of letters, digits and underscores, lower-cased. A null or empty text has none. Repeated rows are scanned each, null
 ids are kept, other columns are ignored; an empty table gives an empty result.
@@ -127,23 +131,52 @@ class Scanner:
         need = self.threshold * m
         flags = member[known]
         total = np.concatenate([[0], np.cumsum(flags)])
-        size = m + max(2, m // 4)
+        if total[-1] < need:
+            return []
+        size = m + _slack(m)
         ends = np.minimum(np.arange(len(known)) + size, len(known))
-        starts = np.nonzero((flags == 1) & (total[ends] - total[:-1] >= need))[0]
-        places, free = [], 0
+        starts = np.nonzero((flags == 1) & (total[ends] - total[:-1] >= need))[0].tolist()
+        many = np.bincount(own, minlength=len(member))
+        hits, free = [], 0
         for start in starts:
-            if start < free:
+            # the words of a window that a template can use, each as often as both have it; 0 stands for all others
+            if start < free or np.minimum(np.bincount(known[start:start + size], minlength=len(many)), many).sum() < need:
                 continue
-            window = known[start:start + size]
-            # words outside the vocabulary all differ from the template's
-            pairs = align(window.tolist(), own)
+            pairs = _aligned(known, start, own, need)
             if len(pairs) >= need:
-                first, last = int(start) + pairs[0][0], int(start) + pairs[-1][0]
-                places.append((len(pairs) / m, first, last))
-                free = last + 1
+                first, last = start + pairs[0][0], start + pairs[-1][0]
+                hits.append((len(pairs) / m, first, last))
+                if len(pairs) == m == last - first + 1:
+                    # no place is better than a verbatim one, so those that overlap it need no look
+                    free = last + 1
+        places, taken = [], np.zeros(len(known), dtype=bool)
+        for hit in sorted(hits, key=lambda p: (-p[0], p[2] - p[1], p[1])):
+            span = slice(hit[1], hit[2] + 1)
+            if not taken[span].any():
+                taken[span] = True
+                places.append(hit)
         return places
 
 
+def _slack(m: int) -> int:
+    return max(2, m // 4)
+
+
+def _aligned(known: np.ndarray, start: int, own: list[int], need: float) -> list[tuple[int, int]]:
+    """The template aligned from ``start``: a window that has enough of it grows while the match goes on at its end."""
+    slack = _slack(len(own))
+    stop = start + len(own) + slack
+    # words outside the vocabulary all differ from the template's
+    pairs = align(known[start:stop].tolist(), own)
+    while (need <= len(pairs) and stop < len(known) and pairs[-1][1] + 1 < len(own)
+           and start + pairs[-1][0] >= stop - slack):
+        longer = align(known[start:stop + slack].tolist(), own)
+        if len(longer) <= len(pairs):
+            break
+        pairs, stop = longer, stop + slack
+    return pairs
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, coverage, first_word, last_word, n_found for every row of ``docs`` (doc_id, text)."""
     small_batches(docs.sparkSession)
