@@ -94,7 +94,8 @@ def places(text: list, own: list, align, threshold: float = 0.8) -> list[tuple[f
     for start in range(len(text)):
         best = align(text[start:start + len(own) + slack], own)
         for stop in range(start + len(own) + 2 * slack, len(text) + slack, slack):
-            at_edge = best and best[-1][0] >= stop - start - 2 * slack
+            # a match that has come to the template's last word does not go on
+            at_edge = best and best[-1][0] >= stop - start - 2 * slack and best[-1][1] + 1 < len(own)
             longer = align(text[start:stop], own)
             if len(best) < threshold * len(own) or not at_edge or len(longer) <= len(best):
                 break

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing column names."""
 
+import os
 import random
 
 import pytest
@@ -77,6 +78,23 @@ def test_license_places_are_the_best_of_all_starts():
         assert scanner.scan(" ".join(text)) == want
 
 
+def test_licenses_are_judged_by_their_whole_notices():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        found = {f[0]: f[1] for f in scanner.scan(f"Some words.\n{text}\nOther words.")}
+        assert found[name] == max(found.values()) == 1.0
+    families = ["AGPL", "Apache", "BSD-2", "BSD-3", "CC-BY-4", "CC-BY-SA", "CC0", "GPL-2", "GPL-3", "ISC", "LGPL-2.1", "LGPL-3", "MIT",
+                "MPL", "Unlicense"]
+    assert all(any(name.startswith(f) for name in licenses.TEMPLATES) for f in families)
+    first_clause = licenses.TEMPLATES["MIT-permission"].split(", including")[0]
+    assert scanner.scan(first_clause) == []
+    for name, path in [("BSD-3-Clause", "BSD"), ("MPL-2.0", "MPL-2.0"), ("Apache-2.0-header", "Apache-2.0"), (
+            "GPL-3.0-or-later", "GPL-3"), ("LGPL-2.1-or-later", "LGPL-2.1")]:
+        path = f"/usr/share/common-licenses/{path}"
+        if os.path.exists(path):
+            assert {f[0]: f[1] for f in scanner.scan(open(path).read())}[name] > 0.9
+
+
 def test_repeats_of_bytes(docs):
     rows = {(r.doc_id, r.n_bytes): r for r in repeats.removed_bytes(docs).collect()}
     size = len(PASSAGE.encode())

@@ -9,6 +9,9 @@ Windows of 1.25 times the template start at every word of it, and grow while a m
 places found, the one of most coverage stands, then the shorter, then the earlier one; those that overlap it go, and
 so on with the rest.
 
+The templates are whole notices of common license families (``notices``); of alike ones, such as those of the GNU
+licenses, all that reach the threshold are found, the right one with most coverage.
+
 Every document gives a row for each license found, or one row with a null license and coverage 0. Words
 are runs of letters, digits and underscores, lower-cased. A null or empty text has none. Repeated rows are scanned each, null
 ids are kept, other columns are ignored; an empty table gives an empty result.
@@ -26,27 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm.common import small_batches
+from tidemill.llm.notices import NOTICES
 
 THRESHOLD = 0.8
 
 # Public license notices.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-header": (
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
-        "compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0"),
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-or-later": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation, either version 3 of the License, "
-        "or (at your option) any later version."),
-    "MIT": "Released under the MIT License.",
-    "MIT-permission": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        'associated documentation files (the "Software"), to deal in the Software without restriction'),
-}
+TEMPLATES = NOTICES
 
 _word = re.compile(r"\w+")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()),
