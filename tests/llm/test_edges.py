@@ -3,6 +3,8 @@
 import os
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +109,29 @@ def test_repeats_of_bytes(docs):
     assert repeats.cut(docs).columns == docs.columns
 
 
+def test_a_phrase_with_many_neighbours_is_dealt_over_segments(spark, monkeypatch):
+    phrase = "Released under the usual terms of 2001."
+    # other neighbours around one phrase in each document, every fifth as in the document 40 before
+    texts = [(i, f"{i if i % 5 else i % 40:040d} {phrase} {'x' if i % 5 else 'y'}{i if i % 5 else i % 40:040d}") for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    plain = brute.removed([{"doc_id": a, "text": b} for a, b in texts])
+    monkeypatch.setattr(repeats, "HOT", 64)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 1 << 14)
+    monkeypatch.setattr(repeats, "SEGMENT_BYTES", 1 << 12)
+    rows = repeats.removed_bytes(docs).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == plain
+    # the windows of all documents, sent as one bucket: no segment has a large part of them
+    ids, raw = np.array([i for i, _ in texts]), [t.encode() for _, t in texts]
+    table = pa.table({"own_id": ids, "own_text": pa.array(raw, pa.binary()), "bucket": np.zeros(len(ids), dtype=np.int64)})
+    asked = repeats._ask(16)(table)
+    share = {}
+    for most in (1 << 40, 64):
+        answers = pa.concat_tables([repeats._answer(most)(asked.slice(i, 1)) for i in range(asked.num_rows)])
+        sent = [len(b) for b in repeats._send(16)(table, answers)["bytes"].to_pylist()]
+        share[most] = max(sent) / sum(sent)
+    assert share[64] < 0.2 < share[1 << 40]
+
+
 def test_near_copies(docs):
     rows = near_dedup.near_duplicates(docs, words=4).collect()
     groups = {(r.doc_id, r.n_shingles): r.component_id for r in rows}

@@ -4,7 +4,9 @@ Any two equal passages of ``LENGTH`` bytes have the same smallest hashed k-gram
 are dealt by anchor, and both copies meet in one task:
 
 1. Documents are dealt into buckets. Each bucket sends the hashes of its anchors, as packed arrays by segment
-   of the hash range; a segment answers with one bit for each: is the anchor in a second document?
+   of the hash range; a segment answers with one bit for each: is the anchor in a second document? A second bit tells
+   anchors with more than about ``HOT`` windows in all: theirs are cut into single passages, which are dealt by their own
+   hash, so that no group depends on how many neighbours a common phrase has.
 2. Buckets send the distinct windows around such anchors (all passages that start between two changes of the
    anchor) with the smallest document that has it in the bucket.
 3. A segment builds a run-compressed Burrows-Wheeler transform of its distinct windows: run heads, run starts,
@@ -39,6 +41,8 @@ GRAM = 24
 #: Text of a bucket, and of the texts that make the windows of a segment.
 BUCKET_BYTES = 4 << 20
 SEGMENT_BYTES = 2 << 20
+#: Windows of one anchor that a segment takes whole.
+HOT = 4096
 _CHUNK = 1 << 19
 _U = np.uint64
 _NO_ID = np.iinfo(np.int64).min
@@ -121,17 +125,17 @@ class Windows:
             count = np.minimum(self.count[which] - step * most, most)
             self.anchor, self.start, self.count, self.owner = self.anchor[which], start, count, self.owner[which]
 
-    def names(self) -> np.ndarray:
-        """A hash of the bytes of each window."""
-        if not len(self.start):
+    def names(self, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """A hash of the bytes of each of the windows that ``start`` and ``count`` give."""
+        if not len(start):
             return np.zeros(0, dtype=np.uint64)
         base = _U(0x5851F42D4C957F2D)
         power = _powers(len(self.data))
         sums = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(_byte[self.data] * power)])
-        stop = self.start + self.count + LENGTH - 1
+        stop = start + count + LENGTH - 1
         # bring both ends to one power instead of dividing
-        value = (sums[stop] - sums[self.start]) * _inverses(len(self.data))[self.start]
-        return mix64(value + self.count.astype(np.uint64) * base)
+        value = (sums[stop] - sums[start]) * _inverses(len(self.data))[start]
+        return mix64(value + count.astype(np.uint64) * base)
 
 
 _byte = mix64(np.arange(1, 257, dtype=np.uint64) * _U(0xA0761D6478BD642F))
@@ -187,23 +191,24 @@ def _groups(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
 
 
-_ASK = "segment long, bucket long, hashes binary, several binary"
-_ANSWER = "bucket long, segment long, bits binary"
+_ASK = "segment long, bucket long, hashes binary, several binary, weights binary"
+_ANSWER = "bucket long, segment long, bits binary, hot binary"
 _SEND = "segment long, bucket long, lengths binary, docs binary, bytes binary"
 
 
-def _distinct_anchors(chunks: list) -> tuple[np.ndarray, np.ndarray]:
-    """The anchors of a bucket in order, and whether two of its documents have each."""
+def _distinct_anchors(chunks: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of a bucket in order, whether two of its documents have each, and the logarithm of its windows."""
     if not chunks:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool), np.zeros(0, dtype=np.uint8)
     h = np.concatenate([found.anchor for _, found, _ in chunks])
     doc = np.concatenate([doc for *_, doc in chunks])
     order = np.argsort(h)
     h, doc = h[order], doc[order]
     at = _groups(h)
     if not len(at):
-        return h, np.zeros(0, dtype=bool)
-    return h[at], np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+        return h, np.zeros(0, dtype=bool), np.zeros(0, dtype=np.uint8)
+    weight = np.ceil(np.log2(np.diff(np.append(at, len(h))))).astype(np.uint8)
+    return h[at], np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at), weight
 
 
 def _cuts(segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -213,50 +218,59 @@ def _cuts(segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _ask(segments: int):
     def run(table: pa.Table) -> pa.Table:
-        hashes, several = _distinct_anchors(list(_bucket_windows(*_ordered(table))))
+        hashes, several, weight = _distinct_anchors(list(_bucket_windows(*_ordered(table))))
         segment = _segment(hashes, segments)
         at, stop = _cuts(segment)
-        rows = [(int(segment[a]), hashes[a:b].astype(np.uint32).tobytes(), np.packbits(several[a:b]).tobytes())
-                for a, b in zip(at, stop)]
+        rows = [(int(segment[a]), hashes[a:b].astype(np.uint32).tobytes(), np.packbits(several[a:b]).tobytes(),
+                 weight[a:b].tobytes()) for a, b in zip(at, stop)]
         bucket = table["bucket"][0].as_py()
         return pa.table({
             "segment": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([bucket] * len(rows), pa.int64()),
-            "hashes": pa.array([r[1] for r in rows], pa.binary()), "several": pa.array([r[2] for r in rows], pa.binary())})
+            "hashes": pa.array([r[1] for r in rows], pa.binary()), "several": pa.array([r[2] for r in rows], pa.binary()),
+            "weights": pa.array([r[3] for r in rows], pa.binary())})
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """One bit for each anchor that a bucket asked about: is it in a second document?"""
-    asked = [np.frombuffer(h, dtype=np.uint32) for h in table["hashes"].to_pylist()]
-    several = [np.unpackbits(np.frombuffer(s, dtype=np.uint8), count=len(h)).astype(bool)
-               for s, h in zip(table["several"].to_pylist(), asked)]
-    sizes = [len(h) for h in asked]
-    h, flag = np.concatenate(asked), np.concatenate(several)
-    order = np.argsort(h, kind="stable")
-    at = _groups(h[order])
-    length = np.diff(np.append(at, len(h)))
-    shared = (length > 1) | np.logical_or.reduceat(flag[order], at)
-    bits = np.empty(len(h), dtype=bool)
-    bits[order] = np.repeat(shared, length)
-    ends = np.cumsum(sizes)
-    return pa.table({"bucket": table["bucket"], "segment": table["segment"], "bits": pa.array(
-        [np.packbits(bits[e - s:e]).tobytes() for s, e in zip(sizes, ends)], pa.binary())})
+def _answer(most: int):
+    """Two bits for each anchor that a bucket asked about: is it in a second document, and has it more than about ``most`` windows?"""
+    def run(table: pa.Table) -> pa.Table:
+        weight = np.frombuffer(b"".join(table["weights"].to_pylist()), dtype=np.uint8)
+        asked = [np.frombuffer(h, dtype=np.uint32) for h in table["hashes"].to_pylist()]
+        several = [np.unpackbits(np.frombuffer(s, dtype=np.uint8), count=len(h)).astype(bool)
+                   for s, h in zip(table["several"].to_pylist(), asked)]
+        sizes = [len(h) for h in asked]
+        h, flag = np.concatenate(asked), np.concatenate(several)
+        order = np.argsort(h, kind="stable")
+        at = _groups(h[order])
+        length = np.diff(np.append(at, len(h)))
+        shared = (length > 1) | np.logical_or.reduceat(flag[order], at)
+        bits = np.empty(len(h), dtype=bool)
+        bits[order] = np.repeat(shared, length)
+        hot = np.empty(len(h), dtype=bool)
+        hot[order] = np.repeat(np.add.reduceat(np.int64(1) << weight[order].astype(np.int64), at) > most, length)
+        ends = np.cumsum(sizes)
+        return pa.table({"bucket": table["bucket"], "segment": table["segment"], **{name: pa.array(
+            [np.packbits(b[e - s:e]).tobytes() for s, e in zip(sizes, ends)], pa.binary())
+            for name, b in [("bits", bits), ("hot", hot)]}})
+    return run
 
 
 def _shared_windows(ids: np.ndarray, texts: list[bytes], answers: pa.Table, segments: int):
-    """Per chunk: its first document, the windows, the documents, and the places of those with a shared anchor."""
+    """Per chunk: its first document, the windows, the documents, the places of those with a shared anchor, and
+    whether it is a hot one."""
     chunks = list(_bucket_windows(ids, texts))
-    hashes, _ = _distinct_anchors(chunks)
-    shared = np.zeros(len(hashes), dtype=bool)
+    hashes, *_ = _distinct_anchors(chunks)
+    shared, hot = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes), dtype=bool)
     segment = _segment(hashes, segments)
-    bits = dict(zip(answers["segment"].to_pylist(), answers["bits"].to_pylist()))
-    for a, b in zip(*_cuts(segment)):
-        shared[a:b] = np.unpackbits(np.frombuffer(bits[int(segment[a])], dtype=np.uint8), count=b - a).astype(bool)
-    keep = hashes[shared]
+    for flag, column in [(shared, "bits"), (hot, "hot")]:
+        bits = dict(zip(answers["segment"].to_pylist(), answers[column].to_pylist()))
+        for a, b in zip(*_cuts(segment)):
+            flag[a:b] = np.unpackbits(np.frombuffer(bits[int(segment[a])], dtype=np.uint8), count=b - a).astype(bool)
+    keep, hot = hashes[shared], hot[shared]
     for a, found, doc in chunks:
         place = np.minimum(np.searchsorted(keep, found.anchor), max(0, len(keep) - 1))
         use = np.flatnonzero(keep[place] == found.anchor) if len(keep) else np.zeros(0, dtype=np.int64)
-        yield a, found, doc, use
+        yield a, found, doc, use, hot[place[use]] if len(use) else np.zeros(0, dtype=bool)
 
 
 class _Distinct:
@@ -265,17 +279,23 @@ class _Distinct:
     def __init__(self, ids: np.ndarray, texts: list[bytes], answers: pa.Table, segments: int):
         anchor, name, count, least, spans = [], [], [], [], []
         self.chunks = []
-        for a, found, doc, use in _shared_windows(ids, texts, answers, segments):
-            own = found.names()[use]
-            self.chunks.append((a, found.start[use], found.count[use], found.owner[use], doc[use], own))
+        for a, found, doc, use, hot in _shared_windows(ids, texts, answers, segments):
+            # a hot window is cut into its passages; equal passages have one anchor, so all copies are cut
+            pieces = np.where(hot, found.count[use], 1)
+            step = _gather(np.arange(int(pieces.max(initial=0))), np.zeros(len(use), dtype=np.int64), pieces)
+            use, hot = np.repeat(use, pieces), np.repeat(hot, pieces)
+            start, size = found.start[use] + step, np.where(hot, 1, found.count[use])
+            own = found.names(start, size)
+            key = np.where(hot, own, found.anchor[use])
+            self.chunks.append((a, start, size, found.owner[use], doc[use], own))
             raw = found.data
             # documents ascend in a bucket: the first place of a window is that of its smallest document
             _, at = np.unique(own, return_index=True)
-            anchor.append(found.anchor[use][at])
+            anchor.append(key[at])
             name.append(own[at])
-            count.append(found.count[use][at])
+            count.append(size[at])
             least.append(doc[use][at])
-            starts = found.start[use][at]
+            starts = start[at]
             spans.append(_gather(raw, starts, count[-1] + LENGTH - 1))
         if not anchor:
             anchor, name, count, least = ([np.zeros(0, dtype=t)] for t in (np.uint64, np.uint64, np.int64, np.int64))
@@ -287,7 +307,7 @@ class _Distinct:
         order = np.lexsort((least, name, segment))
         at = _groups(name[order])
         rows = order[at]
-        # a name has one anchor and so one segment; the first row has the smallest document
+        # a name has one anchor, or is its own key, and so one segment; the first row has the smallest document
         self.segment, self.name, self.count, self.least = segment[rows], name[rows], count[rows], least[rows]
         self.data, self.offset = data, offset[rows]
 
@@ -472,7 +492,8 @@ def _index(table: pa.Table) -> pa.Table:
         earlier = least[group[own]] < doc[own][:, None]
         used = np.arange(width)[None, :] < count[own][:, None]
         bits.append(np.packbits(earlier[used]).tobytes())
-    return pa.table({"bucket": table["bucket"], "segment": table["segment"], "bits": pa.array(bits, pa.binary())})
+    return pa.table({"bucket": table["bucket"], "segment": table["segment"], "bits": pa.array(bits, pa.binary()),
+                     "hot": pa.nulls(table.num_rows, pa.binary())})
 
 
 def _covered(table: pa.Table, answers: pa.Table, covers: pa.Table, segments: int):
@@ -542,7 +563,7 @@ def _cleaned(docs: DataFrame, carried: list[str], bytes_too: bool) -> DataFrame:
         "own_text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)])
     dealt = own.withColumn("bucket", F.pmod(F.xxhash64("own_id", "own_text"), F.lit(buckets))).repartition(buckets, "bucket")
     asked = dealt.groupBy("bucket").applyInArrow(_ask(segments), _ASK)
-    shared = asked.groupBy("segment").applyInArrow(_answer, _ANSWER).repartition(buckets, "bucket")
+    shared = asked.groupBy("segment").applyInArrow(_answer(HOT), _ANSWER).repartition(buckets, "bucket")
     sent = dealt.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInArrow(_send(segments), _SEND)
     covers = sent.groupBy("segment").applyInArrow(_index, _ANSWER)
     answers = shared.withColumn("windows", F.lit(False)).unionByName(
