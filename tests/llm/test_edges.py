@@ -192,6 +192,12 @@ def test_fingerprint_of_rows_in_order(docs):
     assert fingerprints.likeness(a, b) > 0.9
 
 
+def test_fingerprints_of_long_texts_that_share_nothing():
+    pick = np.random.default_rng(3)
+    a, b = (bytes(pick.integers(97, 123, 6_000_000, dtype=np.uint8)).decode() for _ in range(2))
+    assert fingerprints.likeness(fingerprints.sketch(a), fingerprints.sketch(b)) == 0
+
+
 def test_languages(docs):
     rows = {(r.doc_id, r.lang_pred) for r in language_id.identify(docs).collect()}
     assert {(2, "und"), (3, "und"), (4, "und"), (None, "und")} <= rows

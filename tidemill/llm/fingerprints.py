@@ -28,7 +28,7 @@ LEVELS = 3
 SKETCHED = (2, 3)
 BLOCK_BYTES = 32 << 20
 MOST_BLOCKS = 2048
-_EMPTY = 0xFFFF
+_EMPTY = 0xFFFFFFFF
 _ROUNDS = 3
 _U = np.uint64
 
@@ -67,8 +67,8 @@ def _phrases(x: np.ndarray) -> np.ndarray:
 
 
 def sketch(text: str) -> np.ndarray:
-    """``SLOTS`` minima of 16 bits over the phrase names; ``_EMPTY`` in all for an empty text."""
-    slots = np.full(SLOTS, _EMPTY, dtype=np.uint16)
+    """``SLOTS`` minima of 32 bits over the phrase names; ``_EMPTY`` in all for an empty text."""
+    slots = np.full(SLOTS, _EMPTY, dtype=np.uint32)
     if not text:
         return slots
     x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + _U(1)
@@ -76,7 +76,7 @@ def sketch(text: str) -> np.ndarray:
         x = _phrases(x)
         if level in SKETCHED or len(x) == 1:
             name = mix64(x + _U(level))
-            value = ((name >> _U(16)) % _U(_EMPTY)).astype(np.uint16)
+            value = ((name >> _U(16)) % _U(_EMPTY)).astype(np.uint32)
             np.minimum.at(slots, (name & _U(SLOTS - 1)).astype(np.int64), value)
         if len(x) == 1:
             break
@@ -90,7 +90,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def hexed(slots: np.ndarray) -> str:
-    return slots.astype(">u2").tobytes().hex()
+    return slots.astype(">u4").tobytes().hex()
 
 
 def edited(text: str, after: str) -> str:
