@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -107,3 +108,73 @@ def places(text: list, own: list, align, threshold: float = 0.8) -> list[tuple[f
         if all(hit[2] < p[1] or p[2] < hit[1] for p in chosen):
             chosen.append(hit)
     return chosen
+
+
+def phrase_counts(docs: list[dict]) -> dict[str, Counter]:
+    """Of each language how often each run of one to four words occurs within pieces."""
+    counts = defaultdict(Counter)
+    for d in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (d["text"] or "").translate(UPPER)):
+            own = re.findall(r"[^\x20\x09]+", piece)
+            for i in range(len(own)):
+                for k in range(1, min(4, len(own) - i) + 1):
+                    counts["und" if d["lang"] is None else d["lang"]][tuple(own[i:i + k])] += 1
+    return counts
+
+
+def collocations(docs: list[dict], least: int, top: int) -> list[tuple]:
+    found = []
+    for lang, f in phrase_counts(docs).items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        often = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        held = defaultdict(int)
+        for p, a in often.items():
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    held[p[i:i + k]] = max(held[p[i:i + k]], a)
+        rows = []
+        for p, a in often.items():
+            if 100 * held[p] < 80 * a:
+                score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+                rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        found += [(lang, i + 1, p.decode(), -a, left, right, n, -score)
+                  for i, (score, a, p, left, right) in enumerate(sorted(rows)[:top])]
+    return found
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def best_documents(docs: list[tuple], items: list[tuple], k: int = 10) -> list[tuple]:
+    """From (doc_id, text) and (item_id, text)."""
+    counts = [(i, Counter(TERM.findall((t or "").translate(UPPER)))) for i, t in docs]
+    counts = [(i, c) for i, c in counts if c]
+    total = sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    weight = {t: math.floor(1000 * math.log((2 * len(counts) + 2) / (2 * n + 1))) for t, n in df.items()}
+    found = []
+    for item, text in items:
+        terms = TERM.findall((text or "").translate(UPPER))
+        scored = []
+        for i, c in counts:
+            m = 25 + 75 * sum(c.values()) * len(counts) // total
+            score = sum(weight[t] * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m)) for t in terms if t in c)
+            if score:
+                scored.append((-score, i is None, i))
+        scored.sort(key=lambda s: (s[0], s[1], s[2] or 0))
+        found += [(item, r + 1, i, -s) for r, (s, _, i) in enumerate(scored[:k])]
+    return found
+
+
+def discriminant_scores(x: np.ndarray, quality: np.ndarray, new: np.ndarray, pooled: float, around: float) -> np.ndarray:
+    """Posteriors of class 1 under two normal densities with shrunken covariances."""
+    common = sum(np.cov(x[quality == k].T, bias=True) * (quality == k).sum() for k in (0, 1)) / len(x)
+    logs = []
+    for k in (0, 1):
+        own = x[quality == k]
+        cov = (1 - pooled) * np.cov(own.T, bias=True) + pooled * common
+        cov = (1 - around) * cov + around * np.trace(cov) / len(cov) * np.eye(len(cov))
+        away = new - own.mean(axis=0)
+        distance = np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away)
+        logs.append(np.log(len(own) / len(x)) - 0.5 * (np.linalg.slogdet(cov)[1] + distance))
+    return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))

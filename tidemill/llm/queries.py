@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.llm import (
-    byte_bpe, chat_format, fingerprints, language_id, licenses, mixing, near_dedup, repeats, topk_search, url_filter,
+    byte_bpe, chat_format, collocations, fingerprints, language_id, licenses, mixing, near_dedup, quality, ranked_search,
+    repeats, topk_search, url_filter,
 )
 from tidemill.llm.common import read
 
@@ -69,9 +70,22 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language_id.identify(read(spark, d, "documents"))
 
 
+def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(read(spark, d, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked_search.best_documents(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
+def op13_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.score(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 QUERIES = {f.__name__: f for f in [
     op1_license_scan, op2_topk_search, op3_source_mixing, op4_chat_format, op5_suffix_dedup,
     op6_byte_bpe, op7_url_filter, op8_fingerprints, op9_near_dedup, op10_language_id,
+    op11_collocations, op12_ranked_search, op13_quality,
 ]}
 
 _HOST = "translate(coalesce(regexp_extract({rest}, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -112,4 +126,56 @@ ORACLE = {
                CASE WHEN rule IN ('com/fr/', 'org/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
                     WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
         FROM keyed""",
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+            FROM documents WHERE text IS NOT NULL),
+        worded AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+        placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+        grown AS (SELECT lang, w, i, unnest(range(1, least(4, len(w) - i + 1) + 1)) AS k FROM placed),
+        f AS (SELECT lang, w[i:i + k - 1] AS p, count(*) AS n FROM grown GROUP BY 1, 2),
+        totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE len(p) = 1 GROUP BY 1),
+        often AS (SELECT lang, p, n AS a FROM f WHERE n >= 30),
+        cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM often WHERE len(p) > 1),
+        scored AS (
+            SELECT c.lang, c.p, c.a, c.k, x.a AS l, y.a AS r,
+                   CAST((2000000::HUGEINT * c.a) // (x.a + y.a) AS BIGINT) AS score
+            FROM cuts c JOIN often x ON x.lang = c.lang AND x.p = c.p[1:c.k]
+            JOIN often y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]),
+        weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+        parts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS i FROM often WHERE len(p) > 2),
+        held AS (SELECT lang, p, a, i, unnest(range(2, len(p))) AS k FROM parts),
+        inside AS (SELECT lang, p[i:i + k - 1] AS p, max(a) AS most FROM held WHERE i + k - 1 <= len(p) GROUP BY 1, 2),
+        kept AS (
+            SELECT w.lang, array_to_string(w.p, ' ') AS phrase, a, l, r, score FROM weakest w
+            LEFT JOIN inside i ON i.lang = w.lang AND i.p = w.p WHERE i.most IS NULL OR 100 * i.most < 80 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+               score
+        FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
+    "op12_ranked_search": r"""
+        WITH terms AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+            FROM documents),
+        docs AS (SELECT row, doc_id, t, len(t) AS n FROM terms WHERE len(t) > 0),
+        corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+        tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(t) AS term FROM docs) GROUP BY 1, 2),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+        asked AS (
+            SELECT item, item_id, term, count(*) AS qtf FROM (
+                SELECT item, item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)) GROUP BY 1, 2, 3),
+        scored AS (
+            SELECT item, item_id, row, doc_id, CAST(sum(
+                qtf * CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+                * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM asked JOIN df USING (term) JOIN tf USING (term) JOIN docs USING (row), corpus GROUP BY 1, 2, 3, 4)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+               doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10""",
 }
