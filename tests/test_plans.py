@@ -1,6 +1,7 @@
 """Operators against brute force and on edge cases."""
 
 import random
+import re
 from collections import Counter
 from datetime import datetime, timedelta, timezone
 
@@ -199,11 +200,33 @@ def test_pages_cover_all_hits_once(spark):
     assert seen == sorted(r[0] for r in found.select("order_detail_id").collect())
 
 
-def test_deep_page_sorts_by_range(spark):
+def test_deep_page_is_found_by_rank(spark):
     many = spark.range(300_000).select(F.format_string("%09d", "id").alias("k"))
     page = facets.page(many, 2001, 100, "k")
     assert [r[0] for r in page.collect()] == [f"{i:09d}" for i in range(200_000, 200_100)]
-    assert "TakeOrderedAndProject" not in plan(page)
+    # no task holds, and none gets, more rows than a page within its range needs
+    text = plan(page)
+    most = [int(n) for n in re.findall(r"(?:limit=|GlobalLimit |LocalLimit )(\d+)", text)]
+    assert most and max(most) <= facets.HELD and "k" in re.search(r"Filter \(.*", text).group(0)
+
+
+def test_pages_of_equal_and_missing_keys(spark):
+    # a third of all rows have one key, another third none
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id")
+    rows = rows.union(spark.createDataFrame([(7, 1)] * 200, "k long, id long"))
+    seen = []
+    for number in (1, 4, 11):
+        seen.append(facets.page(rows, number, 300, "k", held=100).collect())
+    assert [len(p) for p in seen] == [300, 300, 200]
+    whole = sorted(rows.collect(), key=lambda r: (r.k is not None, r.k or 0))
+    for number, page in zip((1, 4, 11), seen):
+        assert [r.k for r in page] == [r.k for r in whole[(number - 1) * 300:number * 300]]
+    # rows that differ come once, on whatever page they are
+    ids = [r.id for p in seen for r in p if r.k != 7]
+    assert len(ids) == len(set(ids))
+    assert facets.page(rows, 99, 300, "k", held=100).collect() == []
+    assert facets.page(rows.limit(0), 99, 300, "k", held=100).collect() == []
 
 
 def test_search_document(spark):
@@ -242,13 +265,59 @@ def test_dedup_limits_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text
 
 
+def _events(spark, rows):
+    df = spark.createDataFrame(rows, "mid string, uid string, evid string, itemid string, at long")
+    return df.withColumn("event_time", F.timestamp_seconds("at"))
+
+
 def test_windows_shuffle_before_they_multiply(spark):
-    events = spark.createDataFrame(
-        random_events(1, 100, 10), "mid string, uid string, evid string, itemid string, at long"
-    ).withColumn("event_time", F.timestamp_seconds("at"))
-    text = plan(alerts.coupon_alerts(events))
+    events = _events(spark, random_events(1, 100, 10))
+    text = plan(windows.device_windows(events))
     assert text.count("Exchange") == 2
-    assert text.index("Generate explode(sequence(greatest") < text.index("Exchange")
+    assert text.index("Generate explode(sequence(lo") < text.index("Exchange")
+    # sets and lists are collected of the windows that raise an alert, after the join with these
+    text = plan(alerts.coupon_alerts(events))
+    assert "collect_" in text and "collect_" not in text[text.index("Join"):]
+
+
+@pytest.mark.parametrize("size, slide", [(300, 5), (60, 60), (90, 20), (10, 60), (7, 3)])
+def test_sweep_counts_users_and_clicks_of_every_window(spark, size, slide):
+    events = random_events(size + 1, 2000, 150)
+    # a device and a user without a name, twice the same coupon, and one user all the time
+    events += [(None, "7", "coupon", "1", 1_600_000_100), (None, "8", "coupon", "1", 1_600_000_101)]
+    events += [("a", None, "coupon", "1", 1_600_000_050)] + [events[0]] * 2
+    events += [("long", "9", "coupon", "1", 1_600_000_000 + s) for s in range(0, 2000, 2)]
+    counted = windows.panes(_events(spark, events), size, slide)
+    got = {}
+    for r in windows.user_counts(counted, size, slide).collect():
+        assert r["lo"] <= r["hi"]
+        for w in range(r["lo"], r["hi"] + 1):
+            assert (r["mid"], w * slide) not in got
+            got[r["mid"], w * slide] = (r["users"], r["clicks"] > 0)
+    expected = {k: (len(u - {None}), "clickItem" in e) for k, (u, _, e) in brute_windows(events, size, slide).items()}
+    assert {k: v for k, v in got.items() if v != (0, False)} == {k: v for k, v in expected.items() if v != (0, False)}
+    found = {(r["mid"], r["s"]) for r in alerts.coupon_alerts(_events(spark, events), size, slide, 2).select(
+        "mid", F.unix_seconds("window_start").alias("s")).collect()}
+    assert found == {k for k, (users, clicked) in expected.items() if users >= 2 and not clicked}
+
+
+def test_a_busy_device_is_split_by_time(spark):
+    # one device has all events of ten days, of three users that never pause
+    events = spark.range(300_000).select(
+        F.lit("hot").alias("mid"), (F.col("id") % 3).cast("string").alias("uid"), F.lit("coupon").alias("evid"),
+        F.lit("1").alias("itemid"), F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") * 3).alias("event_time"))
+    counted = windows.panes(events, 300, 5)
+    swept = windows.user_counts(counted, 300, 5).cache()
+    blocks = swept.select("block").distinct().count()
+    assert blocks >= 700
+    # ranges are merged: a block takes a few steps, not one for each event, and no window is made on the way
+    assert swept.count() <= 4 * blocks
+    per_block = windows.BLOCK * 300 // 5
+    assert swept.agg(F.max(F.col("hi") - F.col("lo"))).first()[0] < per_block
+    pieces = windows._pieces(counted, 300, 5).groupBy("block").count()
+    assert pieces.agg(F.max("count")).first()[0] <= 3 * (per_block + 60)
+    text = plan(alerts.alerts_of(counted))
+    assert re.search(r"hashpartitioning\(hot#\d+, block#", text)
 
 
 def test_no_python_and_no_cross_join_in_any_plan(spark):

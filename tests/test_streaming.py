@@ -85,7 +85,7 @@ def test_alerts_for_any_order_of_files(spark, tmp_path):
         ("m", str(rnd.randrange(6)), rnd.choices(["coupon", "clickItem", "share"], [8, 1, 2])[0],
          str(rnd.randrange(9)), start + rnd.randrange(1_200_000)) for _ in range(80)]
     events = spark.createDataFrame(data, "mid string, uid string, evid string, itemid string, ts long")
-    path, table = f"{tmp_path}/topic", jobs.alert_table(f"{tmp_path}/alerts").create(spark)
+    path, table = f"{tmp_path}/topic", jobs.pane_table(f"{tmp_path}/alerts").create(spark)
     shuffled_files(spark, replay.messages(events, "event", F.timestamp_millis("ts")), path, 3, seed=4)
     session = replay.job_session(spark)
     jobs.alerts(
@@ -95,6 +95,10 @@ def test_alerts_for_any_order_of_files(spark, tmp_path):
         events.withColumn("event_time", F.timestamp_millis("ts"))))
     assert not batch.isEmpty()
     same(jobs.current_alerts(spark, table), batch)
+    day = batch.agg(F.min("dt")).first()[0]
+    same(jobs.current_alerts(spark, table, day=day), batch.where(F.col("dt") == day))
+    # an event is one row of state and of the table at most, although it lies in 60 windows
+    assert table.read(spark).count() <= len(data)
 
 
 ORDER = '{"id":"%s","user_id":"u","create_time":"2024-01-01 10:00:00"}'

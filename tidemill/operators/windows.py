@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from math import ceil, gcd
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemill.operators.keyed import spread_join
+
+# Event kinds of the shop's app.
 COUPON = "coupon"
 CLICK = "clickItem"
-# The event kinds of the shop's app. Others are carried along as they come.
-KINDS = ["addFavor", "addComment", "addCart", CLICK, COUPON]
 # A block of windows is this many window lengths long; a longer block repeats fewer panes.
 BLOCK = 4
 
@@ -18,78 +19,121 @@ def _floor(value: Column, step: int) -> Column:
     return value - F.pmod(value, F.lit(step))
 
 
-def _union(arrays: Column) -> Column:
-    return F.array_distinct(F.flatten(arrays))
+def panes(events: DataFrame, size: int, slide: int, at: str = "event_time", length: int | None = None) -> DataFrame:
+    """(mid, pane, evid, uid, itemid, n): events counted by pane, the longest step that divides size and slide.
 
+    User and item are kept of coupons only; other events of a device, pane and kind are one row.
+    """
+    pane = _floor(F.unix_seconds(at), length or gcd(size, slide))
+    return events.withColumn("pane", pane).groupBy("mid", "pane", "evid", *_coupon_fields()).agg(F.count("*").alias("n"))
 
-def device_windows(
-    events: DataFrame, size: int = 300, slide: int = 5, min_users: int = 0, at: str = "event_time"
-) -> DataFrame:
-    """Per device and sliding window (seconds): coupon users and items, event counts, click flag.
 
-    A row belongs to ``size / slide`` windows, so windowing raw rows would ship each of them that many
-    times. Here they are first counted by pane (the longest step that divides size and slide), which
-    shrinks busy devices before any shuffle; the panes then travel once to blocks of windows, and only
-    inside a block are they dealt out to its windows. A block holds a bounded number of panes.
+def _coupon_fields() -> list[Column]:
+    return [F.when(F.col("evid") == COUPON, F.col(c)).alias(c) for c in ("uid", "itemid")]
 
-    ``min_users`` skips blocks with fewer coupon users in all; no window of theirs can have more.
+
+def _pieces(rows: DataFrame, size: int, slide: int) -> DataFrame:
+    """The windows ``lo`` to ``hi`` that a pane lies in, cut at the edges of blocks; window w starts at w * slide."""
+    first = (_floor(F.col("pane") - size, slide) + slide) / slide
+    last = _floor(F.col("pane"), slide) / slide
+    per_block = BLOCK * ceil(size / slide)
+    begin = F.col("block") * per_block
+    return (
+        rows.withColumn("lo", first.cast("bigint")).withColumn("hi", last.cast("bigint"))
+        .where("lo <= hi")  # with gaps between the windows, a pane may lie in none
+        .withColumn("block", F.explode(F.sequence(
+            F.floor(F.col("lo") / per_block), F.floor(F.col("hi") / per_block))))
+        .withColumn("lo", F.greatest("lo", begin)).withColumn("hi", F.least("hi", begin + (per_block - 1))))
+
+
+def user_counts(counted: DataFrame, size: int, slide: int) -> DataFrame:
+    """(mid, block, lo, hi, users, clicks): the distinct coupon users of every window, by a sweep over time.
+
+    The panes of a user on a device are ranges of windows. Where they overlap or meet they are one range, of which only
+    the two ends count: +1 where it begins, -1 behind its end. The steps are summed by place, and their running sum is
+    the number of users of all windows up to the next step. Clicks are swept along as one more user. Neither a
+    window nor a set of users is ever made; a busy device is split by blocks of windows.
     """
-    pane_length = gcd(size, slide)
-    block_length = BLOCK * ceil(size / slide) * slide  # a multiple of the slide, so starts fill it evenly
-    second = F.unix_seconds(at)
-    is_coupon = F.col("evid") == COUPON
-
-    panes = (
-        events.withColumn("pane", _floor(second, pane_length))
-        .groupBy("mid", "pane", "evid")
-        .agg(
-            F.count("*").alias("n"),
-            F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
-            F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
-        )
-    )
-    # a window starting at s covers the panes p with s <= p < s + size
-    first_start = _floor(F.col("pane") - size, slide) + slide
-    last_start = _floor(F.col("pane"), slide)
-    if size < slide:  # gaps between the windows: panes there belong to none
-        panes = panes.where(first_start <= last_start)
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = (
-        panes.withColumn("block", F.explode(F.sequence(
-            _floor(first_start, block_length), _floor(last_start, block_length), F.lit(block_length))))
-        # a fixed number: AQE would size these tasks by their input, which is about to multiply
-        .repartition(tasks, "mid", "block")
-        .groupBy("mid", "block")
-        .agg(F.collect_list(F.struct("pane", "evid", "n", "uids", "items")).alias("panes"))
-    )
-    if min_users > 0:
-        blocks = blocks.where(F.size(_union(F.col("panes.uids"))) >= min_users)
-    starts = F.sequence(
-        F.greatest(first_start, F.col("block")),
-        F.least(last_start, F.col("block") + (block_length - slide)),
-        F.lit(slide),
-    )
+    per_block = BLOCK * ceil(size / slide)
+    is_click = F.col("evid") == CLICK
+    marks = counted.where(is_click | (F.col("uid").isNotNull())).select("mid", "pane", "uid").distinct()
+    own = Window.partitionBy("mid", "uid", "block").orderBy("lo", "hi")
+    before, after = F.lag("hi").over(own), F.lead("lo").over(own)
+    begins = F.when(before.isNull() | (F.col("lo") > before + 1), F.struct(F.col("lo").alias("at"), F.lit(1).alias("step")))
+    ends = F.when(after.isNull() | (after > F.col("hi") + 1),
+                  F.struct((F.col("hi") + 1).alias("at"), F.lit(-1).alias("step")))
+    block_end = (F.col("block") + 1) * per_block
+    steps = (
+        _pieces(marks, size, slide).select("mid", "uid", "block", F.array(begins, ends).alias("edges"))
+        .select("mid", "uid", "block", F.inline(F.filter("edges", lambda e: e.isNotNull())))
+        .where(F.col("at") < block_end)
+        .groupBy("mid", "block", "at").agg(
+            F.sum(F.when(F.col("uid").isNotNull(), F.col("step"))).alias("user_step"),
+            F.sum(F.when(F.col("uid").isNull(), F.col("step"))).alias("click_step")))
+    in_time = Window.partitionBy("mid", "block").orderBy("at")
+    so_far = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return steps.select(
+        "mid", "block", F.col("at").alias("lo"),
+        (F.coalesce(F.lead("at").over(in_time), block_end) - 1).alias("hi"),
+        F.coalesce(F.sum("user_step").over(so_far), F.lit(0)).alias("users"),
+        F.coalesce(F.sum("click_step").over(so_far), F.lit(0)).alias("clicks"))
+
+
+def windows_of(
+    counted: DataFrame, size: int, slide: int, min_users: int = 0, clicked: bool = True
+) -> DataFrame:
+    """The windows of counted panes; only those with ``min_users`` users, and without a click unless ``clicked``.
+
+    Which windows these are is told by :func:`user_counts`, before any set of users, items or events is collected.
+    """
+    pieces = _pieces(counted, size, slide)
+    if min_users > 0 or not clicked:
+        held = user_counts(counted, size, slide).where(F.col("users") >= min_users)
+        if not clicked:
+            held = held.where("clicks = 0")
+        # a null device is a device, too
+        held = held.select(
+            F.struct("mid").alias("device"), "block", F.col("lo").alias("from"), F.col("hi").alias("to"))
+        pieces = (
+            spread_join(pieces.withColumn("device", F.struct("mid")), held, ["device", "block"], ["pane", "evid", "uid"],
+                        "inner")
+            .where("lo <= to and hi >= from")
+            .withColumn("lo", F.greatest("lo", "from")).withColumn("hi", F.least("hi", "to")))
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    start = F.col("number") * slide
     return (
-        blocks.select("mid", "block", F.inline("panes"))
-        .withColumn("start", F.explode(starts))
+        # each pane travels once a block; a fixed number of tasks, as AQE would size them by what is yet to multiply
+        pieces.select("mid", "block", "evid", "uid", "itemid", "n", "lo", "hi").repartition(tasks, "mid", "block")
+        .withColumn("number", F.explode(F.sequence("lo", "hi")))
         # hash(mid, block) already brings these groups together: no further shuffle
-        .groupBy("mid", "block", "start")
+        .groupBy("mid", "block", "number", "evid")
+        .agg(F.sum("n").alias("n"), F.collect_set("uid").alias("uids"), F.collect_set("itemid").alias("items"))
+        .groupBy("mid", "block", "number")
         .agg(
-            F.collect_list("uids").alias("uids"),
-            F.collect_list("items").alias("items"),
+            # one entry for each kind of event; only that of coupons has users and items
+            F.flatten(F.collect_list("uids")).alias("uids"), F.flatten(F.collect_list("items")).alias("items"),
             F.collect_list(F.struct("evid", "n")).alias("event_counts"),
-            F.bool_or(F.col("evid") == CLICK).alias("clicked"),
-        )
+            F.bool_or(F.col("evid") == CLICK).alias("clicked"))
         .select(
             "mid",
-            F.timestamp_seconds("start").alias("window_start"),
-            F.timestamp_seconds(F.col("start") + size).alias("window_end"),
-            F.array_sort(_union(F.col("uids"))).alias("uids"),
-            F.array_sort(_union(F.col("items"))).alias("item_ids"),
+            F.timestamp_seconds(start).alias("window_start"),
+            F.timestamp_seconds(start + size).alias("window_end"),
+            F.array_sort("uids").alias("uids"),
+            F.array_sort("items").alias("item_ids"),
             "event_counts",
-            "clicked",
-        )
-    )
+            "clicked"))
+
+
+def device_windows(
+    events: DataFrame, size: int = 300, slide: int = 5, min_users: int = 0, at: str = "event_time"
+) -> DataFrame:
+    """Per device and sliding window (seconds): coupon users and items, event counts, click flag.
+
+    A row belongs to ``size / slide`` windows. Rows are counted by pane first, which shrinks busy devices before any
+    shuffle, and panes are dealt out to windows only inside a block of windows. With ``min_users``, the windows that
+    have so many users are found first and nothing else is dealt out.
+    """
+    return windows_of(panes(events, size, slide, at), size, slide, min_users)
 
 
 def event_list(counts: Column) -> Column:
@@ -98,33 +142,15 @@ def event_list(counts: Column) -> Column:
         counts, lambda c: F.array_repeat(c["evid"], c["n"].cast("int")))))
 
 
-def stream_device_windows(
-    events: DataFrame, size: int, slide: int, delay: str, min_users: int = 0, at: str = "event_time"
-) -> DataFrame:
-    """The same windows as stream state, evicted once the watermark has passed them.
+def stream_panes(events: DataFrame, length: int, delay: str, at: str = "event_time") -> DataFrame:
+    """The panes of a stream, as state that the watermark evicts.
 
-    Known event kinds are kept as counts, so a busy device's window does not grow with its events.
+    An event changes one row of state, whatever the number of windows it lies in; the windows are put together
+    by :func:`windows_of` when they are read.
     """
-    evid = F.col("evid")
-    counts = [F.count_if(evid == kind).alias(kind) for kind in KINDS]
-    repeated = [F.array_repeat(F.lit(kind), F.col(kind).cast("int")) for kind in KINDS]
-    return (
+    counted = (
         events.withWatermark(at, delay)
-        .groupBy("mid", F.window(at, f"{size} seconds", f"{slide} seconds").alias("w"))
-        .agg(
-            F.collect_set(F.when(evid == COUPON, F.col("uid"))).alias("uids"),
-            F.collect_set(F.when(evid == COUPON, F.col("itemid"))).alias("item_ids"),
-            F.collect_list(F.when(~evid.isin(KINDS), evid)).alias("others"),
-            *counts,
-        )
-        .where(F.size("uids") >= min_users)
-        .select(
-            "mid",
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            F.array_sort("uids").alias("uids"),
-            F.array_sort("item_ids").alias("item_ids"),
-            F.array_sort(F.concat("others", *repeated)).alias("events"),
-            (F.col(CLICK) > 0).alias("clicked"),
-        )
-    )
+        .groupBy("mid", F.window(at, f"{length} seconds").alias("w"), "evid", *_coupon_fields())
+        .agg(F.count("*").alias("n")))
+    return counted.select(
+        "mid", F.unix_seconds("w.start").alias("pane"), "evid", "uid", "itemid", "n")

@@ -10,15 +10,16 @@ from tidemill.operators import keyed, windows
 MIN_USERS = 3
 
 
-def suspicious(min_users: int = MIN_USERS):
-    return (F.size("uids") >= min_users) & ~F.col("clicked")
-
-
 def coupon_alerts(
     events: DataFrame, size: int = 300, slide: int = 5, min_users: int = MIN_USERS
 ) -> DataFrame:
     """Windows that raise an alert, with their users, items and events."""
-    held = windows.device_windows(events, size, slide, min_users).where(suspicious(min_users))
+    return alerts_of(windows.panes(events, size, slide), size, slide, min_users)
+
+
+def alerts_of(panes: DataFrame, size: int = 300, slide: int = 5, min_users: int = MIN_USERS) -> DataFrame:
+    """The same from counted panes, such as a stream stores."""
+    held = windows.windows_of(panes, size, slide, min_users, clicked=False)
     return held.withColumn("events", windows.event_list(F.col("event_counts"))).drop(
         "event_counts", "clicked")
 

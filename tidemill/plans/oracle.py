@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemill.plans.registry import (
-    AS_OF, DAU_DAY, DAY_KEYWORD, DENSE, KEYWORD, ORDER_DAY, PAGE_SIZE, STAMP, WIDE,
+    AS_OF, DAU_DAY, DAY_KEYWORD, DEEP_PAGE, DENSE, KEYWORD, ORDER_DAY, PAGE_SIZE, STAMP, WIDE,
 )
 from tidemill.schemas import (
     AGE_COUNT_NAMES, AGE_SHARE_NAMES, AGE_TITLE, GENDER_NAMES, GENDER_TITLE, KPI_NAMES,
@@ -77,7 +77,7 @@ def _fill(sql: str) -> str:
     values = {
         "ORDER_DAY": ORDER_DAY, "DAU_DAY": DAU_DAY, "AS_OF": AS_OF,
         "KEYWORD": str(KEYWORD.split()), "DAY_KEYWORD": str(DAY_KEYWORD.split()),
-        "STAMP": str(STAMP), "PAGE_SIZE": str(PAGE_SIZE),
+        "STAMP": str(STAMP), "PAGE_SIZE": str(PAGE_SIZE), "DEEP_PAGE": str(DEEP_PAGE),
     }
     for name, value in values.items():
         sql = sql.replace(f"${name}$", value)
@@ -291,6 +291,7 @@ WHERE order_id IN (SELECT id FROM order_info) GROUP BY sku_name""",
     "total_hits": "SELECT count(*) AS total FROM hits",
     "sale_page": _page("hits", "$PAGE_SIZE$", "0"),
     "sale_page_2": _page("hits", "$PAGE_SIZE$", "$PAGE_SIZE$"),
+    "sale_page_deep": _page("sale_detail", "$PAGE_SIZE$", "($DEEP_PAGE$ - 1) * $PAGE_SIZE$"),
     "gender_terms": FACET_TERMS.format(field="user_gender", size=2),
     "age_terms": FACET_TERMS.format(field="user_age", size=100),
     "age_share": _age_share("hits"),
@@ -325,6 +326,7 @@ SELECT mid, {_at("s", "window_start")}, {_at("e", "window_end")}, {LISTS}, click
     "stream_sale_detail": "SELECT * FROM sale_detail",
     "stream_latest_users": LATEST_USERS,
     "stream_alerts_per_minute": _windows(*WIDE) + PER_MINUTE,
+    "stream_alerts_5min": _windows(300, 5) + PER_MINUTE,
 }
 
 ORACLE = {name: _fill(VIEWS + body) for name, body in BODIES.items()}

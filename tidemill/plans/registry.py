@@ -24,6 +24,7 @@ PATTERN = r"shop\..*"
 WIDE = (1800, 60)
 DENSE = (1800, 20)
 PAGE, PAGE_SIZE = 1, 20
+DEEP_PAGE = 2001
 
 
 # Inputs
@@ -247,6 +248,10 @@ def sale_page_2(spark, d):
     return facets.page(_hits(spark, d), facets.page_of_row(PAGE_SIZE, PAGE_SIZE), PAGE_SIZE, "order_detail_id")
 
 
+def sale_page_deep(spark, d):
+    return facets.page(_sales(spark, d), DEEP_PAGE, PAGE_SIZE, "order_detail_id")
+
+
 def gender_terms(spark, d):
     return facets.terms(_hits(spark, d), "user_gender", 2)
 
@@ -436,16 +441,24 @@ def stream_latest_users(spark, d):
         "id", "login_name", "user_level", "birthday", "gender")
 
 
-def stream_alerts_per_minute(spark, d):
+def _stream_alerts(spark, d, size, slide):
     rows = replay.messages(views.event_log(spark, d), "event", F.timestamp_millis("ts"))
 
     def run(session, folder):
-        table = jobs.alert_table(f"{folder}/alerts").create(session)
-        jobs.alerts(_read(session, folder, "event"), table, f"{folder}/cp", *WIDE,
+        table = jobs.pane_table(f"{folder}/panes").create(session)
+        jobs.alerts(_read(session, folder, "event"), table, f"{folder}/cp", size, slide,
                     drain=True).awaitTermination()
 
     folder = _fed(spark, "alerts", rows, run)
-    return _flat_alerts(jobs.current_alerts(spark, jobs.alert_table(f"{folder}/alerts")))
+    return _flat_alerts(jobs.current_alerts(spark, jobs.pane_table(f"{folder}/panes"), size, slide))
+
+
+def stream_alerts_per_minute(spark, d):
+    return _stream_alerts(spark, d, *WIDE)
+
+
+def stream_alerts_5min(spark, d):
+    return _stream_alerts(spark, d, 300, 5)
 
 
 QUERIES = {f.__name__: f for f in [
@@ -456,12 +469,12 @@ QUERIES = {f.__name__: f for f in [
     order_amount_total, order_amount_hour, province_sales,
     order_detail_inner, order_detail_full, order_detail_interval, latest_users, sale_detail,
     product_sales,
-    keyword_match, total_hits, sale_page, sale_page_2, gender_terms, age_terms, age_share,
+    keyword_match, total_hits, sale_page, sale_page_2, sale_page_deep, gender_terms, age_terms, age_share,
     age_share_known, gender_share, demographics,
     kpi_board, kpi_board_orders, hour_compare_dau, hour_compare_amount, hour_map_dau,
     sale_search_total, sale_search_page, sale_search_age, sale_search_gender, sale_search_document,
     table_view_page, day_demographics, day_province_sales, day_product_sales,
     device_windows, coupon_alerts, coupon_alerts_5min, alerts_per_minute,
     stream_dau, stream_first_order_flag, stream_sale_detail, stream_latest_users,
-    stream_alerts_per_minute,
+    stream_alerts_per_minute, stream_alerts_5min,
 ]}

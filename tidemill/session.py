@@ -18,8 +18,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a log line may repeat a field; the last one counts, as for JSON readers in general
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # deep result pages sort by range instead of holding offset + limit rows in every task
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
     # join buffers and window state outgrow the heap long before they outgrow local disk
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

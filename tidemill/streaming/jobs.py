@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import (
-    ArrayType, BooleanType, StringType, StructField, StructType, TimestampType,
-)
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemill.operators import windows
 from tidemill.operators.keyed import first_per_key
@@ -58,17 +57,14 @@ def sale_table(path: str) -> KeyedTable:
     return KeyedTable(path, SALE_DETAIL, ("order_detail_id",), ("-batch_id",), "dt")
 
 
-ALERT_WINDOW = StructType(
-    strings("mid")
-    + [StructField("window_start", TimestampType()), StructField("window_end", TimestampType())]
-    + [StructField(n, ArrayType(StringType())) for n in ("uids", "item_ids", "events")]
-    + [StructField("clicked", BooleanType())]
-    + strings("dt")
-)
+PANE = StructType(
+    strings("mid") + [StructField("pane", LongType())] + strings("evid", "uid", "itemid")
+    + [StructField("n", LongType())] + strings("dt"))
 
 
-def alert_table(path: str) -> KeyedTable:
-    return KeyedTable(path, ALERT_WINDOW, ("mid", "window_end"), ("-batch_id",), "dt")
+def pane_table(path: str) -> KeyedTable:
+    """Events counted by device, pane and kind, coupons by user and item as well; a later count replaces an earlier."""
+    return KeyedTable(path, PANE, ("mid", "pane", "evid", "uid", "itemid"), ("-batch_id",), "dt")
 
 
 # Ingest ----------------------------------------------------------------------------------------------
@@ -242,21 +238,24 @@ def sales(
 
 def alerts(
     topic: DataFrame, table: KeyedTable, checkpoint: str, size: int = 300, slide: int = 5,
-    min_users: int = alert_plan.MIN_USERS, delay: str = "5 minutes", **run,
+    delay: str = "5 minutes", **run,
 ) -> StreamingQuery:
-    """Store the windows with enough coupon users as soon as they have them.
-
-    Users of a window only grow in number, so every later change of a stored window, such as a click,
-    is stored over it.
-    """
+    """Count the events by pane, for windows of this size and slide or any others made of such panes."""
     events = topics.decode(topic, "event_log").withColumn("event_time", F.timestamp_millis("ts"))
-    held = windows.stream_device_windows(events, size, slide, delay, min_users)
-    dated = held.withColumn("dt", F.date_format("window_end", "yyyy-MM-dd"))
+    counted = windows.stream_panes(events, gcd(size, slide), delay)
+    dated = counted.withColumn("dt", F.date_format(F.timestamp_seconds("pane"), "yyyy-MM-dd"))
     return start(dated, table.upsert, checkpoint, mode="update", **run)
 
 
 def current_alerts(
-    spark: SparkSession, table: KeyedTable, min_users: int = alert_plan.MIN_USERS
+    spark: SparkSession, table: KeyedTable, size: int = 300, slide: int = 5,
+    min_users: int = alert_plan.MIN_USERS, day: str | None = None,
 ) -> DataFrame:
-    """One alert per device and minute from the stored windows."""
-    return alert_plan.per_minute(table.read(spark).where(alert_plan.suspicious(min_users)))
+    """One alert per device and minute from the stored panes; ``day`` reads that day's panes and those of windows
+    that reach into it."""
+    rows = table.read(spark)
+    if day is not None:
+        first = F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit(day), F.lit("yyyy-MM-dd")) - size), "yyyy-MM-dd")
+        rows = rows.where(F.col("dt").between(first, F.lit(day)))
+    found = alert_plan.per_minute(alert_plan.alerts_of(rows.drop("dt"), size, slide, min_users))
+    return found if day is None else found.where(F.col("dt") == day)
