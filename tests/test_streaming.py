@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from oracle import connect, compare
-from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as order_plan, registry
+from tidemill.operators import postings
+from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as order_plan, registry, serve
 from tidemill.plans.oracle import ORACLE
 from tidemill.schemas import DAU_TABLE, TOPIC_COLUMNS
 from tidemill.sources import topics, views
@@ -140,6 +141,47 @@ def test_sales_in_either_order_and_late_rows(spark, tmp_path):
     assert {r["user_age"] for r in table.read(spark).collect()} == {0}
 
 
+def test_search_by_the_index_that_the_job_keeps(spark, tmp_path):
+    at = datetime(2024, 1, 1, 10)
+    path, users = f"{tmp_path}/topic", jobs.user_table(f"{tmp_path}/users").create(spark)
+    table = jobs.sale_table(f"{tmp_path}/sales").create(spark)
+    index = jobs.posting_table(f"{tmp_path}/words").create(spark)
+    session = replay.job_session(spark)
+    line = '{"id":"%s","order_id":"%s","order_price":"1.5","sku_name":"%s"}'
+
+    def run():
+        jobs.sales(
+            topics.read_topic(session, "order", "parquet", path),
+            topics.read_topic(session, "order_detail", "parquet", path), users, table, f"{tmp_path}/cp",
+            as_of="2024-01-01", index=index, drain=True).awaitTermination()
+
+    names = ["Small Ring", "ring ring", "small  ring, red", "", "red", "戒指 small"]
+    put(spark, path, [(ORDER % o, at) for o in "ab"], "order")
+    put(spark, path, [(line % (f"d{i}", "ab"[i % 2], n), at) for i, n in enumerate(names)], "order_detail")
+    run()
+    # a line comes again under another name
+    put(spark, path, [(line % ("d2", "a", "big ring"), at)], "order_detail")
+    run()
+
+    def ids(keyword, day=None):
+        found = postings.search(table.read(spark), index.read(spark), day, keyword)
+        scanned = serve.search(table.read(spark), day, keyword)
+        same(found, scanned)
+        return sorted(r["order_detail_id"] for r in found.collect())
+
+    for _ in range(2):
+        assert ids("RING small") == ["d0"]
+        assert ids("ring") == ["d0", "d1", "d2"] and ids("指") == ["d5"] and ids("", None) == ids("nothing") == []
+        assert ids("ring", "2024-01-01") == ["d0", "d1", "d2"] and ids("ring", "2024-01-02") == []
+        index.compact(spark, 5)
+        index.vacuum(spark, 5)
+    # only the folders of the words are read, and only their day
+    tokens = postings.tokens_of(spark, "ring small")
+    plan = postings.of_words(index.read(spark), tokens, "2024-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan
+    assert "In(token, [" in plan and "EqualTo(dt,2024-01-01)" in plan
+
+
 def test_users_insert_and_update(spark, tmp_path):
     path, table = f"{tmp_path}/topic", jobs.user_table(f"{tmp_path}/users").create(spark)
     session = replay.job_session(spark)

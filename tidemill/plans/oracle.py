@@ -288,6 +288,7 @@ SELECT order_detail_id, order_id, user_id, sku_id, sku_price, dt FROM sale_detai
 SELECT sku_name AS name, cast(sum(cast(sku_num AS bigint)) AS bigint) AS num FROM order_detail
 WHERE order_id IN (SELECT id FROM order_info) GROUP BY sku_name""",
     "keyword_match": "SELECT order_detail_id, sku_name, dt FROM hits",
+    "keyword_match_indexed": "SELECT order_detail_id, sku_name, dt FROM hits",
     "total_hits": "SELECT count(*) AS total FROM hits",
     "sale_page": _page("hits", "$PAGE_SIZE$", "0"),
     "sale_page_2": _page("hits", "$PAGE_SIZE$", "$PAGE_SIZE$"),
@@ -305,6 +306,7 @@ WHERE order_id IN (SELECT id FROM order_info) GROUP BY sku_name""",
     "hour_map_dau": f"SELECT {_hour_map(0)} AS today, {_hour_map(1)} AS yesterday",
     "sale_search_total": "SELECT count(*) AS total FROM day_hits",
     "sale_search_page": _page("day_hits", "5", "0"),
+    "sale_search_indexed": _page("day_hits", "5", "0"),
     "sale_search_age": _age_share("day_hits"),
     "sale_search_gender": _gender_share("day_hits"),
     "sale_search_document": _document("day_hits", 5),

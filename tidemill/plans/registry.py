@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.functions import scalar
-from tidemill.operators import facets, joins, windows
+from tidemill.operators import facets, joins, postings, windows
 from tidemill.plans import alerts, dau, orders, sales, serve
+from tidemill.schemas import SALE_DETAIL
 from tidemill.sources import changes, tables, topics, views
 from tidemill.streaming import jobs, replay
 
@@ -236,6 +237,26 @@ def keyword_match(spark, d):
     return _hits(spark, d).select("order_detail_id", "sku_name", "dt")
 
 
+def _indexed(spark, d, day, keyword):
+    """A search in stored sales by their stored index."""
+    folder = replay.new_folder(spark, "index")
+    _sales(spark, d).write.parquet(f"{folder}/sales")
+    stored = spark.read.schema(SALE_DETAIL).parquet(f"{folder}/sales")
+    table = jobs.posting_table(f"{folder}/words").create(spark)
+    table.upsert(postings.postings(stored), 0)
+    table.compact(spark, 0)
+    table.vacuum(spark, 0)
+    return postings.search(stored, table.read(spark), day, keyword)
+
+
+def keyword_match_indexed(spark, d):
+    return _indexed(spark, d, None, KEYWORD).select("order_detail_id", "sku_name", "dt")
+
+
+def sale_search_indexed(spark, d):
+    return facets.page(_indexed(spark, d, ORDER_DAY, DAY_KEYWORD), 1, 5, "order_detail_id")
+
+
 def total_hits(spark, d):
     return facets.total_hits(_hits(spark, d))
 
@@ -469,10 +490,10 @@ QUERIES = {f.__name__: f for f in [
     order_amount_total, order_amount_hour, province_sales,
     order_detail_inner, order_detail_full, order_detail_interval, latest_users, sale_detail,
     product_sales,
-    keyword_match, total_hits, sale_page, sale_page_2, sale_page_deep, gender_terms, age_terms, age_share,
+    keyword_match, keyword_match_indexed, total_hits, sale_page, sale_page_2, sale_page_deep, gender_terms, age_terms, age_share,
     age_share_known, gender_share, demographics,
     kpi_board, kpi_board_orders, hour_compare_dau, hour_compare_amount, hour_map_dau,
-    sale_search_total, sale_search_page, sale_search_age, sale_search_gender, sale_search_document,
+    sale_search_total, sale_search_page, sale_search_age, sale_search_gender, sale_search_document, sale_search_indexed,
     table_view_page, day_demographics, day_province_sales, day_product_sales,
     device_windows, coupon_alerts, coupon_alerts_5min, alerts_per_minute,
     stream_dau, stream_first_order_flag, stream_sale_detail, stream_latest_users,

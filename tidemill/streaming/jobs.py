@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemill.operators import windows
+from tidemill.operators import postings, windows
 from tidemill.operators.keyed import first_per_key
 from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as order_plan, sales as sale_plan
 from tidemill.schemas import DAU_TABLE, ORDER_TABLE, SALE_DETAIL, USER_STATE_TABLE, USER_TABLE, strings
@@ -57,6 +57,14 @@ def sale_table(path: str) -> KeyedTable:
     return KeyedTable(path, SALE_DETAIL, ("order_detail_id",), ("-batch_id",), "dt")
 
 
+POSTING = StructType(strings("token", "order_detail_id", "dt", "bucket"))
+
+
+def posting_table(path: str) -> KeyedTable:
+    """The words of the stored lines, in folders by word."""
+    return KeyedTable(path, POSTING, ("token", "order_detail_id", "dt"), ("-batch_id",), "bucket")
+
+
 PANE = StructType(
     strings("mid") + [StructField("pane", LongType())] + strings("evid", "uid", "itemid")
     + [StructField("n", LongType())] + strings("dt"))
@@ -203,12 +211,13 @@ def users(topic: DataFrame, table: KeyedTable, checkpoint: str, **run) -> Stream
 def sales(
     order_topic: DataFrame, detail_topic: DataFrame, users_at: KeyedTable, table: KeyedTable,
     checkpoint: str, as_of: str | None = None, within: str = "1 hour", delay: str = "1 hour",
-    salts: int = 4, **run,
+    salts: int = 4, index: KeyedTable | None = None, **run,
 ) -> StreamingQuery:
     """Pair orders and lines whatever comes first, add the current user, store by line id.
 
     Both sides wait in the state store until the watermark shows that no partner can follow. The time of
-    a record is its topic timestamp; records more than ``delay`` behind the newest are late.
+    a record is its topic timestamp; records more than ``delay`` behind the newest are late. With ``index``, the
+    words of the product names are stored as well, before the lines, so that no stored line is missed.
     """
     order_rows = topics.decode(order_topic, "order_info", "timestamp").withColumnRenamed(
         "timestamp", "order_ts").withWatermark("order_ts", delay)
@@ -225,6 +234,8 @@ def sales(
         try:
             # once counted, the size of the keys is known and Spark chooses the lookup by it
             buyers.count()
+            if index is not None:
+                index.upsert(postings.postings(unique), batch_id)
             profiles = users_at.read(batch.sparkSession, wanted=buyers)
             table.upsert(sale_plan.enrich(unique, profiles, F.col("as_of_day")), batch_id)
         finally:
