@@ -174,7 +174,7 @@ def test_search_by_the_index_that_the_job_keeps(spark, tmp_path):
         assert ids("ring") == ["d0", "d1", "d2"] and ids("指") == ["d5"] and ids("", None) == ids("nothing") == []
         assert ids("ring", "2024-01-01") == ["d0", "d1", "d2"] and ids("ring", "2024-01-02") == []
         index.compact(spark, 5)
-        index.vacuum(spark, 5)
+        index.vacuum(spark, 0)
     # only the folders of the words are read, and only their day
     tokens = postings.tokens_of(spark, "ring small")
     plan = postings.of_words(index.read(spark), tokens, "2024-01-01")._jdf.queryExecution().executedPlan().toString()
@@ -243,16 +243,16 @@ def test_compaction_and_vacuum_keep_the_table(spark, tmp_path):
     before = sorted(table.read(spark).collect())
     table.compact(spark, upto=1)
     assert sorted(table.read(spark).collect()) == before
-    table.vacuum(spark, upto=1)
+    table.vacuum(spark, 0)
     assert sorted(table.read(spark).collect()) == before
     table.compact(spark, upto=3)
-    table.vacuum(spark, upto=3)
+    table.vacuum(spark, 0)
     assert sorted(table.read(spark).collect()) == before
     assert table.rows(spark).count() == len(before)
     # a late, earlier startup of a folded day still wins, and a day without changes is left alone
     table.upsert(batch_of(spark, [("a", 1)]), 4)
     table.compact(spark, upto=4)
-    table.vacuum(spark, upto=4)
+    table.vacuum(spark, 0)
     after = {r["mid"]: r["ts"] for r in table.read(spark).collect()}
     assert after["a"] == 1 and len(after) == len(before)
     one_day = table.read(spark).where("log_date = '1970-01-02'")
@@ -267,7 +267,7 @@ def test_a_table_without_days(spark, tmp_path):
     table.upsert(spark.createDataFrame([("u", "1", "2020-01-02", "2")], schema), 0)
     table.upsert(spark.createDataFrame([("u", "1", "2020-01-01", "1"), ("v", "1", "2020-01-01", "3")], schema), 1)
     table.compact(spark, upto=1)
-    table.vacuum(spark, upto=1)
+    table.vacuum(spark, 0)
     assert {r["user_id"]: r["first_order_id"] for r in table.read(spark).collect()} == {"u": "1", "v": "3"}
 
 
@@ -341,7 +341,7 @@ def test_rows_without_a_day_survive_compaction(spark, tmp_path):
     for batch_id, row in enumerate([("a", 1, None), ("b", 2, None), ("c", 3, ""), ("d", 4, ""), ("e", 5, "2024-01-01")]):
         put(batch_id, row)
         table.compact(spark, batch_id)
-        table.vacuum(spark, batch_id)
+        table.vacuum(spark, 0)
     assert sorted(r.mid for r in table.read(spark).collect()) == ["a", "b", "c", "d", "e"]
 
 
@@ -353,7 +353,72 @@ def test_an_empty_batch_leaves_no_folder(spark, tmp_path):
     table.upsert(rows.limit(0), 1)
     table.upsert(rows, 2)
     table.upsert(rows.limit(0), 2)
-    assert [p.name for p in (tmp_path / "dau/log").iterdir()] == ["batch_id=0"]
+    assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "dau/data").iterdir() if p.name in {
+        part.folder for part in table.live(spark)}] == ["batch=0"]
+    assert len(list((tmp_path / "dau/data").iterdir())) == 2  # batch 2 as well, until its first attempt is old
+    table.vacuum(spark, 0)
+    assert len(list((tmp_path / "dau/data").iterdir())) == 1 and table.read(spark).count() == 1
+
+
+def test_folders_stay_few_over_many_batches(spark, tmp_path):
+    table = jobs.dau_table(str(tmp_path / "dau"), fanout=4, keep=0).create(spark)
+    most, want = 0, {}
+    for n in range(50):
+        rows = [("a", 100 - n), (f"m{n % 7}", 500 + n), (f"n{n}", n)]
+        for mid, ts in rows:
+            want[mid] = min(ts, want.get(mid, ts))
+        table.upsert(batch_of(spark, rows).coalesce(1), n)
+        if n % 10 == 9:
+            # the last batch once more, as after a crash
+            table.upsert(batch_of(spark, rows).coalesce(1), n)
+        most = max(most, len(table.live(spark)))
+        assert len(list((tmp_path / "dau/data").iterdir())) <= 2 * 4 + 9
+    assert {r["mid"]: r["ts"] for r in table.read(spark).collect()} == want
+    assert most <= 3 * 3 + 1 and len(table.live(spark)) < 8
+    assert {p.level for p in table.live(spark)} == {0, 2} and max(p.last for p in table.live(spark)) == 49
+
+
+def test_a_killed_fold_changes_nothing(spark, tmp_path, monkeypatch):
+    table = jobs.dau_table(str(tmp_path / "dau"), fanout=100).create(spark)
+    for n in range(3):
+        table.upsert(batch_of(spark, [("a", 9 - n), (f"m{n}", n)]), n)
+    before, live = sorted(table.read(spark).collect()), table.live(spark)
+    reader = table.read(spark)
+
+    def die(*_):
+        raise RuntimeError("killed")
+    with monkeypatch.context() as patch:
+        patch.setattr(KeyedTable, "_commit", die)
+        with pytest.raises(RuntimeError):
+            table.compact(spark, 2)
+        with pytest.raises(RuntimeError):
+            table.upsert(batch_of(spark, [("z", 1)]), 3)
+    assert table.live(spark) == live and sorted(table.read(spark).collect()) == before
+    assert len(list((tmp_path / "dau/data").iterdir())) == 5
+    table.compact(spark, 2)
+    # who began to read before the fold still finds the folders, until these are old
+    table.vacuum(spark, 3600)
+    assert sorted(reader.collect()) == before == sorted(table.read(spark).collect())
+    table.vacuum(spark, 0)
+    assert len(list((tmp_path / "dau/data").iterdir())) == 1
+    assert sorted(table.read(spark).collect()) == before
+    # a replay of a folded batch adds nothing
+    table.upsert(batch_of(spark, [("a", 7), ("m2", 2)]), 2)
+    assert table.rows(spark).count() == len(before)
+
+
+def test_only_days_of_the_batch_are_read(spark, tmp_path):
+    table = table_of(spark, f"{tmp_path}/t")
+    day = 86_400_000
+    table.upsert(batch_of(spark, [(f"m{n}", n * day) for n in range(60)]), 0)
+    table.compact(spark, 0)
+    # a clock that is wrong by decades does not make the days between part of the batch
+    fresh = batch_of(spark, [("m0", 1), ("m59", 59 * day)]).persist()
+    found = jobs._of_days(table.rows(spark, before=1), fresh)
+    assert {r["mid"] for r in found.collect()} == {"m0", "m59"}
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text
+    fresh.unpersist()
 
 
 def test_messages_without_a_time_are_fed(spark, tmp_path):

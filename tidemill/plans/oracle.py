@@ -324,6 +324,7 @@ SELECT mid, {_at("s", "window_start")}, {_at("e", "window_end")}, {LISTS}, click
     "coupon_alerts_5min": _windows(300, 5) + ALERTS,
     "alerts_per_minute": _windows(*DENSE) + PER_MINUTE,
     "stream_dau": DAU_ROWS,
+    "stream_dau_compacted": DAU_ROWS,
     "stream_first_order_flag": FLAGS,
     "stream_sale_detail": "SELECT * FROM sale_detail",
     "stream_latest_users": LATEST_USERS,

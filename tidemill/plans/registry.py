@@ -245,7 +245,6 @@ def _indexed(spark, d, day, keyword):
     table = jobs.posting_table(f"{folder}/words").create(spark)
     table.upsert(postings.postings(stored), 0)
     table.compact(spark, 0)
-    table.vacuum(spark, 0)
     return postings.search(stored, table.read(spark), day, keyword)
 
 
@@ -414,6 +413,19 @@ def stream_dau(spark, d):
         "mid", "uid", "area", "os", "ch", "vs", "ts", "log_date", "log_hour")
 
 
+def stream_dau_compacted(spark, d):
+    """The same from a table that folds every two folders and deletes folded ones at once, after many short runs."""
+    rows = replay.messages(views.startup_log(spark, d), "startup", F.timestamp_millis("ts"))
+    folder, session = replay.new_folder(spark, "dau"), replay.job_session(spark)
+    table = jobs.dau_table(f"{folder}/dau", fanout=2, keep=0).create(spark)
+
+    def run():
+        jobs.dau(_read(session, folder, "startup"), table, f"{folder}/cp", drain=True).awaitTermination()
+
+    replay.feed(rows, f"{folder}/topic", 5, run)
+    return table.read(spark).select("mid", "uid", "area", "os", "ch", "vs", "ts", "log_date", "log_hour")
+
+
 def stream_first_order_flag(spark, d):
     rows = replay.messages(views.order_info(spark, d), "order", F.col("order_ts"))
 
@@ -496,6 +508,6 @@ QUERIES = {f.__name__: f for f in [
     sale_search_total, sale_search_page, sale_search_age, sale_search_gender, sale_search_document, sale_search_indexed,
     table_view_page, day_demographics, day_province_sales, day_product_sales,
     device_windows, coupon_alerts, coupon_alerts_5min, alerts_per_minute,
-    stream_dau, stream_first_order_flag, stream_sale_detail, stream_latest_users,
+    stream_dau, stream_dau_compacted, stream_first_order_flag, stream_sale_detail, stream_latest_users,
     stream_alerts_per_minute, stream_alerts_5min,
 ]}

@@ -35,9 +35,9 @@ def start(
 
 # Tables ----------------------------------------------------------------------------------------------
 
-def dau_table(path: str) -> KeyedTable:
+def dau_table(path: str, **layout) -> KeyedTable:
     """The earliest startup of a device and day wins, whatever batch brought it."""
-    return KeyedTable(path, DAU_TABLE, ("mid", "log_date"), ("ts", "batch_id"), "log_date")
+    return KeyedTable(path, DAU_TABLE, ("mid", "log_date"), ("ts", "batch_id"), "log_date", **layout)
 
 
 def order_table(path: str) -> KeyedTable:
@@ -107,10 +107,11 @@ def ingest_changes(
 
 # Daily active devices --------------------------------------------------------------------------------
 
-def _days_of(fresh: DataFrame) -> Column:
-    """A filter on the days at hand, from the first to the last."""
-    first, last = fresh.agg(F.min("log_date"), F.max("log_date")).first()
-    return F.col("log_date").between(F.lit(first), F.lit(last))
+def _of_days(rows: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Rows of the days at hand; the scan leaves out other days once these are known, however far apart they lie."""
+    # a filter that all days pass, as only a filtered side prunes the partitions of the other
+    days = fresh.select("log_date").where(F.col("log_date") > "").distinct()
+    return rows.join(days, "log_date", "left_semi")
 
 
 def dau(
@@ -130,7 +131,7 @@ def dau(
             if fresh.isEmpty():
                 return
             seen = (
-                table.rows(spark, before=batch_id).where(_days_of(fresh))
+                _of_days(table.rows(spark, before=batch_id), fresh)
                 .groupBy(*dau_plan.DEVICE_DAY).agg(F.min("ts").alias("seen_ts")))
             later = [fresh[k] == seen[k] for k in dau_plan.DEVICE_DAY]
             kept, after = sinks.observed(
@@ -266,7 +267,7 @@ def current_alerts(
     that reach into it."""
     rows = table.read(spark)
     if day is not None:
-        first = F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit(day), F.lit("yyyy-MM-dd")) - size), "yyyy-MM-dd")
+        first = F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit(day), "yyyy-MM-dd") - size), "yyyy-MM-dd")
         rows = rows.where(F.col("dt").between(first, F.lit(day)))
     found = alert_plan.per_minute(alert_plan.alerts_of(rows.drop("dt"), size, slide, min_users))
     return found if day is None else found.where(F.col("dt") == day)

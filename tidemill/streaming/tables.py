@@ -1,26 +1,44 @@
 """Serving tables with an upsert by key, on plain Parquet.
 
-Batch N of a stream replaces the folder ``batch_id=N`` of the table's log, so a replay rewrites exactly what
-it wrote before. The log is not split by day: a batch with late rows of many days would leave a file
-for each; it is sorted by day instead, so that row group statistics prune. Readers keep one row per key.
-
-Compaction folds the log into the base, which is partitioned by day, and vacuum drops what was folded. As
-"one row per key in a fixed order" gives the same answer on folded and unfolded rows together, a crash
-between these steps is harmless.
+Every write makes a folder of its own under ``data``, and a commit names the folders that make up the table: a small file
+in ``commits``, written aside and renamed to the next number. Readers take the folders of the newest commit, so they
+see a batch wholly or not at all, and a write that dies leaves the table as it was. Batch N of a stream replaces the
+folder of an earlier attempt at batch N.
+
+Readers keep one row per key. Batches are not split by day, as one with late rows of many days would leave a file for
+each; they are sorted by day, so that row group statistics prune. When a level has ``fanout`` folders, the writer
+folds these into one of the next level, partitioned by day, and so on: the number of folders grows with the logarithm
+of the batches, and a row is written again once a level. As "one row per key in a fixed order" gives the same answer
+on folded and unfolded rows, folding never changes what is read. Folders that no commit names any longer are
+deleted when they are older than ``keep`` seconds, as a reader may still be at work on them.
 
 A table belongs to one stream and its checkpoint, which numbers the batches.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import time
+from dataclasses import asdict, dataclass
+from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemill.operators.keyed import first_per_key, keep_listed
 
 
+@dataclass(frozen=True)
+class Part:
+    """A live folder: the batches it holds and how often its rows were folded."""
+
+    folder: str
+    first: int
+    last: int
+    level: int = 0
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """``order`` names the columns by which the first row of a key wins; ``-name`` is descending.
@@ -33,9 +51,11 @@ class KeyedTable:
     keys: tuple[str, ...]
     order: tuple[str, ...] = ("-batch_id",)
     partition: str | None = None
+    fanout: int = 8
+    keep: float = 3600
 
     def create(self, spark: SparkSession) -> KeyedTable:
-        for part in ("log", "base"):
+        for part in ("commits", "data"):
             folder, files = _folder(spark, f"{self.path}/{part}")
             files.mkdirs(folder)
         return self
@@ -46,15 +66,57 @@ class KeyedTable:
     def _parts(self) -> list[str]:
         return [self.partition] if self.partition else []
 
-    def _scan(self, spark: SparkSession, part: str, *extra: str) -> DataFrame:
-        numbers = [StructField(n, LongType()) for n in ("batch_id", *extra)]
+    # Commits
+
+    def _commits(self, spark: SparkSession) -> dict[int, float]:
+        """The commits and when they were made, in seconds."""
+        return {int(name.split(".")[0]): at for name, at in _listed(spark, f"{self.path}/commits").items()
+                if name.endswith(".json") and not name.startswith(("_", "."))}
+
+    def _read_commit(self, spark: SparkSession, number: int) -> list[Part]:
+        file, files = _folder(spark, f"{self.path}/commits/{number:020d}.json")
+        stream = files.open(file)
+        try:
+            found = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return [Part(**part) for part in json.loads(found)]
+
+    def live(self, spark: SparkSession) -> list[Part]:
+        """The folders that make up the table."""
+        numbers = self._commits(spark)
+        return self._read_commit(spark, max(numbers)) if numbers else []
+
+    def _commit(self, spark: SparkSession, parts: list[Part]) -> None:
+        number = max(self._commits(spark), default=-1) + 1
+        aside, files = _folder(spark, f"{self.path}/commits/_{uuid4().hex}")
+        stream = files.create(aside, True)
+        try:
+            stream.write(bytearray(json.dumps([asdict(p) for p in parts]).encode()))
+        finally:
+            stream.close()
+        there, _ = _folder(spark, f"{self.path}/commits/{number:020d}.json")
+        if not files.rename(aside, there):
+            raise RuntimeError(f"another writer made commit {number} of {self.path}")
+
+    # Reading
+
+    def _scan(self, spark: SparkSession, parts: list[Part]) -> DataFrame:
         # an explicit schema, or a day partition would come back as a date
-        return spark.read.schema(StructType(self.schema.fields + numbers)).parquet(f"{self.path}/{part}")
+        schema = StructType([*self.schema.fields, StructField("batch_id", LongType())])
+        scans = []
+        # folds are split by day, batches are not: two scans of different layouts
+        for name in ("fold", "batch"):
+            paths = [f"{self.path}/data/{p.folder}" for p in parts if p.folder.startswith(name)]
+            if paths:
+                whole = StructType([*schema.fields, StructField(name, StringType())])
+                scan = spark.read.schema(whole).option("basePath", f"{self.path}/data").parquet(*paths)
+                scans.append(scan.select(*schema.names))
+        return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], schema)
 
     def rows(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """All stored rows with their batch, several per key; ``before`` leaves out later batches."""
-        log, base = self._scan(spark, "log"), self._scan(spark, "base", "upto").drop("upto")
-        rows = log.unionByName(base)
+        rows = self._scan(spark, [p for p in self.live(spark) if before is None or p.first < before])
         return rows if before is None else rows.where(F.col("batch_id") < before)
 
     def winners(self, rows: DataFrame) -> DataFrame:
@@ -74,58 +136,78 @@ class KeyedTable:
             rows = keep_listed(rows, wanted, self.keys)
         return self.winners(rows).select(*self.schema.names)
 
+    # Writing
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        """Store a batch; its rows should already be unique by key.
+        """Store a batch, then fold what is due; the rows of a batch should already be unique by key.
 
-        A batch without rows leaves no folder, not even that of a former attempt. It is found to be empty when
-        written, as a test before would evaluate a stateful batch twice. An empty day is stored as no day: day
-        folders do not tell the two apart.
+        A batch without rows leaves no folder, not even that of a former attempt. Its rows are counted as they are
+        written. An empty day is stored as no day: day folders do not tell the two apart. A batch that a fold holds
+        was stored to its end; a replay of it is left out, as it would bring the same rows.
         """
-        rows = batch.select(*self.schema.names)
+        spark = batch.sparkSession
+        live = self.live(spark)
+        if any(p.level > 0 and p.first <= batch_id <= p.last for p in live):
+            return
+        rows = batch.select(*self.schema.names).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         if self.partition:
             rows = rows.withColumn(self.partition, F.nullif(F.col(self.partition), F.lit("")))
         # rebalance: few files for a small batch, even ones for a large batch
         rows = rows.hint("rebalance")
         if self.partition:
             rows = rows.sortWithinPartitions(self.partition)
-        spark, path = batch.sparkSession, f"{self.path}/log/batch_id={batch_id}"
-        rows.write.mode("overwrite").parquet(path)
-        if spark.read.schema(self.schema).parquet(path).isEmpty():
-            folder, files = _folder(spark, path)
-            files.delete(folder, True)
+        counted = Observation()
+        part = Part(f"batch={batch_id}-{uuid4().hex}", batch_id, batch_id)
+        rows.observe(counted, F.count("*").alias("n")).write.parquet(f"{self.path}/data/{part.folder}")
+        others = [p for p in live if not (p.level == 0 and p.first == batch_id)]
+        if counted.get["n"]:
+            self._commit(spark, [*others, part])
+        else:
+            _delete(spark, f"{self.path}/data/{part.folder}")
+            if others != live:
+                self._commit(spark, others)
+        self.fold(spark)
+
+    def fold(self, spark: SparkSession) -> None:
+        """Fold every level that has ``fanout`` folders or more, then delete what is long out of use."""
+        level, folded = 0, False
+        while level <= max((p.level for p in self.live(spark)), default=-1):
+            due = [p for p in self.live(spark) if p.level == level]
+            if len(due) >= self.fanout:
+                self._fold(spark, due, level + 1)
+                folded = True
+            level += 1
+        if folded:
+            self.vacuum(spark, self.keep)
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        """Fold the log up to a committed batch into the base days it touches."""
-        log = self._scan(spark, "log").where(F.col("batch_id") <= upto)
-        base = self._scan(spark, "base", "upto").drop("upto")
-        if self.partition:
-            # rows without a day are a day of their own
-            days = log.select(F.col(self.partition).alias("_day")).distinct()
-            base = base.join(days, F.col(self.partition).eqNullSafe(F.col("_day")), "left_semi")
-        folded = self.winners(log.unionByName(base)).withColumn("upto", F.lit(upto).cast("bigint"))
-        # small days share a task, a day too large for one is split
-        (folded.hint("rebalance", *self._parts()).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self._parts(), "upto").parquet(f"{self.path}/base"))
+        """Fold all batches up to a committed one into one folder."""
+        due = [p for p in self.live(spark) if p.last <= upto]
+        if due:
+            self._fold(spark, due, max(1, *(p.level for p in due)))
 
-    def vacuum(self, spark: SparkSession, upto: int) -> None:
-        """Delete the log that ``compact(upto)`` has folded, and older folds of the same days.
-
-        Call it after that compaction has returned and while no reader is running.
-        """
-        base = f"{self.path}/base"
-        stale = [p for n, p in _numbers(spark, f"{self.path}/log", "batch_id").items() if n <= upto]
-        for place in self._day_folders(spark, base) if self.partition else [base]:
-            folds = _numbers(spark, place, "upto")
-            stale += [p for n, p in folds.items() if n < max(folds)]
-        for path in stale:
-            folder, files = _folder(spark, path)
-            files.delete(folder, True)
-
-    def _day_folders(self, spark: SparkSession, holder: str) -> list[str]:
-        folder, files = _folder(spark, holder)
-        names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
-        return [f"{holder}/{n}" for n in names if n.startswith(f"{self.partition}=")]
+    def _fold(self, spark: SparkSession, due: list[Part], level: int) -> None:
+        part = Part(f"fold={level}-{uuid4().hex}", min(p.first for p in due), max(p.last for p in due), level)
+        # small days share a task, a day too large for one is split
+        (self.winners(self._scan(spark, due)).hint("rebalance", *self._parts())
+         .write.partitionBy(*self._parts()).parquet(f"{self.path}/data/{part.folder}"))
+        # others may not have changed meanwhile: a table has one writer
+        self._commit(spark, [*(p for p in self.live(spark) if p not in due), part])
+
+    def vacuum(self, spark: SparkSession, age: float) -> None:
+        """Delete commits older than ``age`` seconds except the newest, and old folders that no commit left names."""
+        commits = self._commits(spark)
+        if not commits:
+            return
+        edge = time.time() - age
+        kept = [n for n in commits if n == max(commits) or commits[n] >= edge]
+        named = {p.folder for n in kept for p in self._read_commit(spark, n)}
+        for number in commits.keys() - set(kept):
+            _delete(spark, f"{self.path}/commits/{number:020d}.json")
+        for name, at in _listed(spark, f"{self.path}/data").items():
+            # a folder that is just being written is not named yet, but young
+            if name not in named and at < edge:
+                _delete(spark, f"{self.path}/data/{name}")
 
 
 def _folder(spark: SparkSession, path: str):
@@ -133,13 +215,14 @@ def _folder(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _numbers(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+def _listed(spark: SparkSession, path: str) -> dict[str, float]:
+    """What lies in a folder and when it was changed, in seconds."""
     folder, files = _folder(spark, path)
     if not files.exists(folder):
         return {}
-    found = {}
-    for status in files.listStatus(folder):
-        leaf = status.getPath().getName()
-        if status.isDirectory() and leaf.startswith(f"{name}="):
-            found[int(leaf.split("=", 1)[1])] = f"{path}/{leaf}"
-    return found
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in files.listStatus(folder)}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
