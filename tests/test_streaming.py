@@ -12,7 +12,7 @@ from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as orde
 from tidemill.plans.oracle import ORACLE
 from tidemill.schemas import DAU_TABLE, TOPIC_COLUMNS
 from tidemill.sources import topics, views
-from tidemill.streaming import jobs, replay, sinks
+from tidemill.streaming import counters, jobs, replay, sinks
 from tidemill.streaming.tables import KeyedTable
 
 SMALL = "/root/testdata/sf0.001"
@@ -102,6 +102,42 @@ def test_alerts_for_any_order_of_files(spark, tmp_path):
     assert table.read(spark).count() <= len(data)
 
 
+def test_counters_follow_late_startups_and_changed_orders(spark, tmp_path):
+    day = 86_400_000
+    path, session = f"{tmp_path}/topic", replay.job_session(spark)
+    devices = counters.device_counters(f"{tmp_path}/devices").create(spark)
+    table = jobs.dau_table(f"{tmp_path}/dau").create(spark)
+
+    def run(batch):
+        put(spark, path, [(f'{{"mid":"{m}","ts":"{t}"}}', datetime(2024, 1, 1)) for m, t in batch])
+        jobs.dau(topics.read_topic(session, "startup", "parquet", path), table, f"{tmp_path}/cp", counted_at=devices,
+                 drain=True).awaitTermination()
+
+    def values(metric):
+        rows = devices.counts.read(spark).where(F.col("metric") == metric).collect()
+        return {int(r["day"][-2:]): int(r["value"]) for r in rows if r["value"]}
+
+    run([("a", 5 * day), ("a", 5 * day + 9), ("b", 5 * day), ("c", 7 * day)])
+    assert values("dau") == {6: 2, 8: 1} and values("new_mid") == {6: 2, 8: 1}
+    # late: a earlier on a known day, c on an earlier day, d new; b again
+    run([("a", 5 * day - 1), ("a", 5 * day), ("c", 2 * day), ("d", 7 * day), ("b", 8 * day)])
+    assert values("dau") == {3: 1, 5: 1, 6: 2, 8: 2, 9: 1} and values("new_mid") == {3: 1, 5: 1, 6: 1, 8: 1}
+    whole = dau_plan.new_devices(table.read(spark))
+    assert {int(r["log_date"][-2:]): r["new_devices"] for r in whole.collect()} == values("new_mid")
+    board = counters.board(devices.counts.read(spark), "1970-01-06")
+    assert {r["id"]: r["value"] for r in board.collect()} == {"dau": 2.0, "new_mid": 1.0, "order_amount": 0.0}
+
+    amounts = counters.counter_table(f"{tmp_path}/amounts").create(spark)
+    stored = jobs.order_table(f"{tmp_path}/orders").create(spark)
+    order = '{"id":"%s","total_amount":"%s","create_time":"2024-01-%s 10:00:00"}'
+    for batch in ([("1", "1.10", "01"), ("2", "2.25", "01"), ("3", "", "02")], [("2", "7.50", "02"), ("1", "0.90", "01")]):
+        put(spark, path, [(order % o, datetime(2024, 1, 1)) for o in batch], "order")
+        jobs.orders(topics.read_topic(session, "order", "parquet", path), stored, f"{tmp_path}/cp-orders",
+                    counts_at=amounts, drain=True).awaitTermination()
+    assert {r["day"]: str(r["value"]) for r in amounts.read(spark).collect()} == {
+        "2024-01-01": "0.90", "2024-01-02": "7.50"}
+
+
 ORDER = '{"id":"%s","user_id":"u","create_time":"2024-01-01 10:00:00"}'
 DETAIL = '{"id":"%s","order_id":"%s","order_price":"1.5","sku_name":"ring"}'
 

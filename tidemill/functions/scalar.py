@@ -67,9 +67,14 @@ def percent(part: Column, total: Column) -> Column:
     return F.coalesce(tenths / F.lit(10.0), F.lit(0.0))
 
 
+def cents(amount: Column) -> Column:
+    """An amount as an exact number of two decimals."""
+    return amount.cast("decimal(18,2)")
+
+
 def money(amount: Column) -> Column:
     """Exact sum of an amount; doubles would make the last digits depend on the row order."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double")
+    return F.sum(cents(amount)).cast("double")
 
 
 def as_json(*columns: str) -> Column:

@@ -324,6 +324,8 @@ SELECT mid, {_at("s", "window_start")}, {_at("e", "window_end")}, {LISTS}, click
     "coupon_alerts_5min": _windows(300, 5) + ALERTS,
     "alerts_per_minute": _windows(*DENSE) + PER_MINUTE,
     "stream_dau": DAU_ROWS,
+    "stream_kpi_board": _kpis(DAU_DAY),
+    "stream_kpi_board_orders": _kpis(ORDER_DAY),
     "stream_dau_compacted": DAU_ROWS,
     "stream_first_order_flag": FLAGS,
     "stream_sale_detail": "SELECT * FROM sale_detail",

@@ -12,7 +12,7 @@ from tidemill.operators import facets, joins, postings, windows
 from tidemill.plans import alerts, dau, orders, sales, serve
 from tidemill.schemas import SALE_DETAIL
 from tidemill.sources import changes, tables, topics, views
-from tidemill.streaming import jobs, replay
+from tidemill.streaming import counters, jobs, replay
 
 DAU_DAY = "2024-01-15"
 ORDER_DAY = "1996-09-17"
@@ -426,6 +426,33 @@ def stream_dau_compacted(spark, d):
     return table.read(spark).select("mid", "uid", "area", "os", "ch", "vs", "ts", "log_date", "log_hour")
 
 
+def _stream_board(spark, d, day):
+    startups = replay.messages(views.startup_log(spark, d), "startup", F.timestamp_millis("ts"))
+    placed = replay.messages(views.order_info(spark, d), "order", F.col("order_ts"))
+    folder, session = replay.new_folder(spark, "board"), replay.job_session(spark)
+    devices = counters.device_counters(f"{folder}/devices").create(spark)
+    amounts = counters.counter_table(f"{folder}/amounts").create(spark)
+    startup_table = jobs.dau_table(f"{folder}/dau").create(spark)
+    order_table = jobs.order_table(f"{folder}/orders").create(spark)
+
+    def run():
+        jobs.dau(_read(session, folder, "startup"), startup_table, f"{folder}/cp-dau", counted_at=devices,
+                 drain=True).awaitTermination()
+        jobs.orders(_read(session, folder, "order"), order_table, f"{folder}/cp-orders", counts_at=amounts,
+                    drain=True).awaitTermination()
+
+    replay.feed(startups.unionByName(placed), f"{folder}/topic", SLICES, run)
+    return counters.board(devices.counts.read(spark).unionByName(amounts.read(spark)), day)
+
+
+def stream_kpi_board(spark, d):
+    return _stream_board(spark, d, DAU_DAY)
+
+
+def stream_kpi_board_orders(spark, d):
+    return _stream_board(spark, d, ORDER_DAY)
+
+
 def stream_first_order_flag(spark, d):
     rows = replay.messages(views.order_info(spark, d), "order", F.col("order_ts"))
 
@@ -508,6 +535,6 @@ QUERIES = {f.__name__: f for f in [
     sale_search_total, sale_search_page, sale_search_age, sale_search_gender, sale_search_document, sale_search_indexed,
     table_view_page, day_demographics, day_province_sales, day_product_sales,
     device_windows, coupon_alerts, coupon_alerts_5min, alerts_per_minute,
-    stream_dau, stream_dau_compacted, stream_first_order_flag, stream_sale_detail, stream_latest_users,
+    stream_dau, stream_dau_compacted, stream_kpi_board, stream_kpi_board_orders, stream_first_order_flag, stream_sale_detail, stream_latest_users,
     stream_alerts_per_minute, stream_alerts_5min,
 ]}

@@ -14,7 +14,7 @@ from tidemill.operators.keyed import first_per_key
 from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as order_plan, sales as sale_plan
 from tidemill.schemas import DAU_TABLE, ORDER_TABLE, SALE_DETAIL, USER_STATE_TABLE, USER_TABLE, strings
 from tidemill.sources import changes, topics
-from tidemill.streaming import sinks
+from tidemill.streaming import counters, sinks
 from tidemill.streaming.tables import KeyedTable
 
 EVERY = "5 seconds"
@@ -115,9 +115,10 @@ def _of_days(rows: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def dau(
-    topic: DataFrame, table: KeyedTable, checkpoint: str, on_metrics: Metrics | None = None, **run
+    topic: DataFrame, table: KeyedTable, checkpoint: str, on_metrics: Metrics | None = None,
+    counted_at: counters.DeviceCounters | None = None, **run
 ) -> StreamingQuery:
-    """Keep the first startup of each device and day.
+    """Keep the first startup of each device and day; with ``counted_at``, also the counters of the KPI board.
 
     A device is dropped when the table holds a startup of the day that is no later, so a late, earlier
     startup still replaces the stored one. Only the days of the batch are read, and only rows of earlier
@@ -133,6 +134,8 @@ def dau(
             seen = (
                 _of_days(table.rows(spark, before=batch_id), fresh)
                 .groupBy(*dau_plan.DEVICE_DAY).agg(F.min("ts").alias("seen_ts")))
+            if counted_at is not None:
+                counters.add_devices(counted_at, fresh, seen, batch_id)
             later = [fresh[k] == seen[k] for k in dau_plan.DEVICE_DAY]
             kept, after = sinks.observed(
                 fresh.join(seen, [*later, seen["seen_ts"] <= fresh["ts"]], "left_anti"),
@@ -167,10 +170,21 @@ def dau_append_only(
 
 # Orders ----------------------------------------------------------------------------------------------
 
-def orders(topic: DataFrame, table: KeyedTable, checkpoint: str, **run) -> StreamingQuery:
-    """Store prepared orders by id."""
+def orders(
+    topic: DataFrame, table: KeyedTable, checkpoint: str, counts_at: KeyedTable | None = None, **run
+) -> StreamingQuery:
+    """Store prepared orders by id; with ``counts_at``, also keep the amount of each day."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(first_per_key(batch, ["id"], [F.col("offset").desc_nulls_last()]), batch_id)
+        newest = first_per_key(batch, ["id"], [F.col("offset").desc_nulls_last()])
+        if counts_at is not None:
+            newest = newest.persist()
+        try:
+            if counts_at is not None:
+                stored = table.read(batch.sparkSession, before=batch_id, wanted=newest)
+                counters.add_orders(counts_at, newest, stored, batch_id)
+            table.upsert(newest, batch_id)
+        finally:
+            newest.unpersist()
 
     return start(order_plan.prepare(topics.decode(topic, "order_info", "offset")), each, checkpoint, **run)
 
