@@ -37,14 +37,29 @@ def test_stamp_overwrites_and_keeps_unknown_fields(spark):
     df = lines(spark, '{"type":"startup","ts":1,"extra":"e","n":null}', '{"mid":"a \\"q\\""}', "broken")
     got = topics.route_logs(topics.stamp(df, F.lit(99).cast("bigint"))).collect()
     assert [(r["topic"], json.loads(r["value"])) for r in got] == [
-        ("startup", {"type": "startup", "ts": "99", "extra": "e"}), ("event", {"mid": 'a "q"', "ts": "99"})]
+        ("startup", {"type": "startup", "ts": 99, "extra": "e"}), ("event", {"mid": 'a "q"', "ts": 99})]
     assert [r["value"] for r in topics.bad_lines(df).collect()] == ["broken"]
 
 
 def test_stamp_with_a_repeated_field(spark):
     df = lines(spark, '{"mid":"first","mid":"last","ts":1,"ts":2}')
     got = json.loads(topics.stamp(df, F.lit(99).cast("bigint")).first()["value"])
-    assert got == {"mid": "last", "ts": "99"}
+    assert got == {"mid": "last", "ts": 99}
+
+
+def test_stamp_keeps_the_types_of_values(spark):
+    line = '{"n":12,"x":1.25,"yes":true,"none":null,"list":[1,"a",{"b":false}],"object":{"deep":{"n":3}},"text":"12"}'
+    got = json.loads(topics.stamp(lines(spark, line), F.lit(99).cast("bigint")).first()["value"])
+    want = {k: v for k, v in json.loads(line).items() if v is not None}
+    assert got == want | {"ts": 99} and list(got) == [*want, "ts"]
+    assert isinstance(got["n"], int) and got["yes"] is True
+
+
+def test_unreadable_rows_have_a_reason(spark):
+    found = topics.bad_records(lines(spark, '{"mid":"m"}', '{"mid":', None, "  ", "[1]"), "startup_log").collect()
+    assert {(r["value"], r["reason"], r["record"]) for r in found} == {
+        ('{"mid":', "no JSON object", "startup_log"), (None, "no value", "startup_log"),
+        ("  ", "empty value", "startup_log"), ("[1]", "no JSON object", "startup_log")}
 
 
 def test_stamp_defaults_to_the_clock(spark):

@@ -102,6 +102,42 @@ def test_alerts_for_any_order_of_files(spark, tmp_path):
     assert table.read(spark).count() <= len(data)
 
 
+def test_good_and_bad_rows_are_all_rows(spark, tmp_path):
+    path, session = f"{tmp_path}/topic", replay.job_session(spark)
+    at = datetime(2024, 1, 1)
+    now = [('{"id":"%d","user_id":"u","create_time":"2024-01-01 10:00:00"}' % n, at) for n in range(20)]
+    now[3], now[8], now[9] = ('{"id":"3"', at), (None, at), ("", at)
+    bad, stored = f"{tmp_path}/bad", jobs.order_table(f"{tmp_path}/orders").create(spark)
+    state, people = jobs.user_state_table(f"{tmp_path}/state").create(spark), jobs.user_table(f"{tmp_path}/u").create(spark)
+    put(spark, path, now, "order")
+    put(spark, path, now, "user")
+
+    def run(name):
+        stream = topics.read_topic(session, "order", "parquet", path)
+        jobs.orders(stream, stored, f"{tmp_path}/cp{name}", bad=sinks.bad_rows(bad, "orders"),
+                    drain=True).awaitTermination()
+        # a job with state has the same beside it
+        jobs.user_state(stream, state, f"{tmp_path}/cps{name}", drain=True).awaitTermination()
+        jobs.bad_records(stream, "order_info", sinks.bad_rows(bad, "state"), f"{tmp_path}/cpb{name}",
+                         drain=True).awaitTermination()
+        jobs.users(topics.read_topic(session, "user", "parquet", path), people, f"{tmp_path}/cpu{name}",
+                   bad=sinks.bad_rows(bad, "users"), drain=True).awaitTermination()
+
+    def check():
+        found = spark.read.parquet(bad).collect()
+        for job, table, topic in (("orders", stored, "order"), ("users", people, "user"), ("state", stored, "order")):
+            own = {(r["offset"], r["reason"], r["topic"]) for r in found if r["job"] == job}
+            assert own == {(3, "no JSON object", topic), (8, "no value", topic), (9, "empty value", topic)}
+            assert len(own) + table.read(spark).count() == len(now)
+        assert len(found) == 9
+
+    run("a")
+    check()
+    # the whole batch once more, as from a lost checkpoint
+    run("b")
+    check()
+
+
 def test_counters_follow_late_startups_and_changed_orders(spark, tmp_path):
     day = 86_400_000
     path, session = f"{tmp_path}/topic", replay.job_session(spark)
@@ -315,7 +351,7 @@ def test_ingest_stamps_archives_and_routes(spark, tmp_path):
     def run():
         stream = session.readStream.schema("value string").text(lines)
         jobs.ingest_logs(stream, archive, sinks.topic_files(routed), f"{tmp_path}/cp", now=now,
-                         drain=True).awaitTermination()
+                         bad=sinks.bad_rows(f"{tmp_path}/bad", "logs"), drain=True).awaitTermination()
 
     spark.createDataFrame(
         [('{"type":"startup","mid":"a","ts":1}',), ('{"type":"event","mid":"b"}',), ("broken",)],
@@ -327,9 +363,11 @@ def test_ingest_stamps_archives_and_routes(spark, tmp_path):
     run()
     got = {(r["topic"], r["value"]) for r in spark.read.parquet(routed).collect()}
     assert got == {
-        ("startup", '{"type":"startup","mid":"a","ts":"1704067200000"}'),
-        ("event", '{"type":"event","mid":"b","ts":"1704067200000"}'),
-        ("event", '{"mid":"c","ts":"1704067200000"}')}
+        ("startup", '{"type":"startup","mid":"a","ts":1704067200000}'),
+        ("event", '{"type":"event","mid":"b","ts":1704067200000}'),
+        ("event", '{"mid":"c","ts":1704067200000}')}
+    assert {(r["value"], r["reason"]) for r in spark.read.parquet(f"{tmp_path}/bad").collect()} == {
+        ("broken", "no JSON object"), ("also broken", "no JSON object")}
     archived = spark.read.text(archive)
     assert {r["value"] for r in archived.collect()} == {v for _, v in got}
     assert (tmp_path / "archive" / "dt=2024-01-01").is_dir()

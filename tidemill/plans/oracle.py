@@ -234,6 +234,16 @@ SELECT id, strftime(cast(create_date AS date) - 1, '%Y-%m-%d') AS yesterday,
     "route_logs": """
 SELECT 'startup' AS topic, mid, uid, type, '$STAMP$' AS ts FROM startup_log
 UNION ALL SELECT 'event', mid, uid, type, '$STAMP$' FROM event_log""",
+    "stamped_lines": """
+SELECT 'startup' AS topic, cast(json_object(
+    'mid', mid, 'type', type, 'n', cast(uid AS bigint), 'even', cast(uid AS bigint) % 2 = 0, 'quarter', cast(uid AS bigint) / 4 + 0.125,
+    'place', json_object('area', area), 'next', json_array(cast(uid AS bigint), cast(uid AS bigint) + 1), 'ts', $STAMP$)
+    AS varchar) AS value FROM startup_log""",
+    "stream_bad_records": """
+SELECT 'dau' AS job, 'startup_log' AS record, 'startup' AS topic, ts AS "offset",
+       CASE WHEN ts % 5 = 0 THEN '{"mid":' END AS value,
+       CASE WHEN ts % 5 = 0 THEN 'no JSON object' ELSE 'no value' END AS reason
+FROM startup_log WHERE ts % 5 = 0 OR ts % 7 = 0""",
     "route_changes": f"""
 SELECT 'user' AS topic, id AS key,
        cast({_json("id", "login_name", "user_level", "birthday", "gender")} AS varchar) AS value FROM user_info
@@ -334,4 +344,7 @@ SELECT mid, {_at("s", "window_start")}, {_at("e", "window_end")}, {LISTS}, click
     "stream_alerts_5min": _windows(300, 5) + PER_MINUTE,
 }
 
+BODIES["stream_ingest_logs"] = BODIES["route_logs"]
+BODIES["stream_ingest_changes"] = BODIES["route_changes"]
+
 ORACLE = {name: _fill(VIEWS + body) for name, body in BODIES.items()}

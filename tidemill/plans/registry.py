@@ -12,7 +12,7 @@ from tidemill.operators import facets, joins, postings, windows
 from tidemill.plans import alerts, dau, orders, sales, serve
 from tidemill.schemas import SALE_DETAIL
 from tidemill.sources import changes, tables, topics, views
-from tidemill.streaming import counters, jobs, replay
+from tidemill.streaming import counters, jobs, replay, sinks
 
 DAU_DAY = "2024-01-15"
 ORDER_DAY = "1996-09-17"
@@ -113,6 +113,17 @@ def route_logs(spark, d):
     return routed.select("topic", *fields)
 
 
+def stamped_lines(spark, d):
+    """Whole stamped lines, with fields of every type."""
+    startups = views.startup_log(spark, d)
+    user = F.col("uid").cast("bigint")
+    typed = startups.select(
+        "mid", "type", user.alias("n"), (user % 2 == 0).alias("even"), (user / 4 + 0.125).alias("quarter"),
+        F.struct("area").alias("place"), F.array(user, user + 1).alias("next"), "ts")
+    lines = typed.select(scalar.as_json(*typed.columns).alias("value"))
+    return topics.route_logs(topics.stamp(lines, F.lit(STAMP).cast("bigint"))).select("topic", "value")
+
+
 def route_changes(spark, d):
     return changes.route_changes(views.change_log(spark, d), PATTERN).select("topic", "key", "value")
 
@@ -426,6 +437,51 @@ def stream_dau_compacted(spark, d):
     return table.read(spark).select("mid", "uid", "area", "os", "ch", "vs", "ts", "log_date", "log_hour")
 
 
+def _cut_messages(spark, d):
+    """Startup messages, of which every fifth is cut off and every seventh has no value."""
+    rows = replay.messages(views.startup_log(spark, d), "startup", F.timestamp_millis("ts"))
+    cut = F.when(F.col("offset") % 5 == 0, F.lit('{"mid":')).when(F.col("offset") % 7 == 0, F.lit(None)).otherwise(
+        F.col("value"))
+    return rows.withColumn("offset", F.unix_millis("timestamp")).withColumn("value", cut)
+
+
+def stream_bad_records(spark, d):
+    rows = _cut_messages(spark, d)
+    folder, session = replay.new_folder(spark, "bad"), replay.job_session(spark)
+    table = jobs.dau_table(f"{folder}/dau").create(spark)
+
+    def run():
+        jobs.dau(_read(session, folder, "startup"), table, f"{folder}/cp", bad=sinks.bad_rows(f"{folder}/bad", "dau"),
+                 drain=True).awaitTermination()
+
+    replay.feed(rows, f"{folder}/topic", SLICES, run)
+    return spark.read.parquet(f"{folder}/bad").select("job", "record", "topic", "offset", "value", "reason")
+
+
+def stream_ingest_logs(spark, d):
+    """Raw lines through the ingest job to topic files."""
+    folder, session = replay.new_folder(spark, "ingest"), replay.job_session(spark)
+    _log_lines(spark, d).write.text(f"{folder}/lines")
+    stream = session.readStream.schema("value string").text(f"{folder}/lines")
+    jobs.ingest_logs(stream, f"{folder}/archive", sinks.topic_files(f"{folder}/topics"), f"{folder}/cp",
+                     now=F.lit(STAMP).cast("bigint"), bad=sinks.bad_rows(f"{folder}/bad", "logs"),
+                     drain=True).awaitTermination()
+    routed = spark.read.parquet(f"{folder}/topics")
+    fields = [F.get_json_object("value", f"$.{c}").alias(c) for c in ("mid", "uid", "type", "ts")]
+    return routed.select("topic", *fields)
+
+
+def stream_ingest_changes(spark, d):
+    """The change log through the ingest job to topic files."""
+    folder, session = replay.new_folder(spark, "ingest"), replay.job_session(spark)
+    log = views.change_log(spark, d)
+    log.write.parquet(f"{folder}/entries")
+    jobs.ingest_changes(
+        session.readStream.schema(log.schema).parquet(f"{folder}/entries"), PATTERN,
+        sinks.topic_files(f"{folder}/topics"), f"{folder}/cp", drain=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/topics").select("topic", "key", "value")
+
+
 def _stream_board(spark, d, day):
     startups = replay.messages(views.startup_log(spark, d), "startup", F.timestamp_millis("ts"))
     placed = replay.messages(views.order_info(spark, d), "order", F.col("order_ts"))
@@ -523,7 +579,7 @@ def stream_alerts_5min(spark, d):
 
 QUERIES = {f.__name__: f for f in [
     log_date_hour, create_time_split, mask_phone, age_years, price_cast, yesterday_compact,
-    route_logs, route_changes, decode_orders, decode_logs,
+    route_logs, stamped_lines, route_changes, decode_orders, decode_logs,
     dau_first, dau_drop_seen, dau_total, dau_hour, new_devices,
     user_state_lookup, state_rows, first_order_flag, first_order_flag_known, new_user_state,
     order_amount_total, order_amount_hour, province_sales,
@@ -535,6 +591,6 @@ QUERIES = {f.__name__: f for f in [
     sale_search_total, sale_search_page, sale_search_age, sale_search_gender, sale_search_document, sale_search_indexed,
     table_view_page, day_demographics, day_province_sales, day_product_sales,
     device_windows, coupon_alerts, coupon_alerts_5min, alerts_per_minute,
-    stream_dau, stream_dau_compacted, stream_kpi_board, stream_kpi_board_orders, stream_first_order_flag, stream_sale_detail, stream_latest_users,
+    stream_bad_records, stream_ingest_logs, stream_ingest_changes, stream_dau, stream_dau_compacted, stream_kpi_board, stream_kpi_board_orders, stream_first_order_flag, stream_sale_detail, stream_latest_users,
     stream_alerts_per_minute, stream_alerts_5min,
 ]}

@@ -10,7 +10,7 @@ from tidemill.schemas import (
 )
 
 CORRUPT = "_corrupt_record"
-LOG_MAP = "map<string,string>"
+LOG_MAP = "map<string,variant>"
 
 
 def read_topic(
@@ -52,7 +52,8 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
-def _parsed(df: DataFrame, record: str) -> DataFrame:
+def parse(df: DataFrame, record: str) -> DataFrame:
+    """JSON lines in ``value`` read once, for :func:`good_rows` and :func:`bad_rows`."""
     fields = ", ".join(f"`{name}` string" for name in RECORDS[record])
     parsed = F.from_json(
         "value", f"{fields}, {CORRUPT} string",
@@ -64,45 +65,67 @@ def _readable() -> Column:
     return F.col("_record").isNotNull() & F.col(f"_record.{CORRUPT}").isNull()
 
 
-def decode(df: DataFrame, record: str, *keep: str) -> DataFrame:
-    """JSON lines in ``value`` to the fields of a record, bound by name; ``keep`` names columns to carry.
-
-    Unreadable lines are left out here and returned by :func:`bad_records`.
-    """
+def good_rows(parsed: DataFrame, record: str, *keep: str) -> DataFrame:
+    """The fields of a record, bound by name; ``keep`` names columns to carry."""
     types = TYPES[record]
     fields = []
     for name in RECORDS[record]:
         field = F.col(f"_record.{name}")
         fields.append((field.try_cast(types[name]) if name in types else field).alias(name))
-    return _parsed(df, record).where(_readable()).select(*fields, *keep)
+    return parsed.where(_readable()).select(*fields, *keep)
+
+
+def bad_rows(parsed: DataFrame, record: str) -> DataFrame:
+    """The messages that could not be read, with the record they should have been and the reason."""
+    return parsed.where(~_readable()).drop("_record").withColumn("record", F.lit(record)).withColumn(
+        "reason", _reason())
+
+
+def _reason() -> Column:
+    return F.when(F.col("value").isNull(), "no value").when(F.trim("value") == "", "empty value").otherwise(
+        "no JSON object")
+
+
+def decode(df: DataFrame, record: str, *keep: str) -> DataFrame:
+    """JSON lines in ``value`` to the fields of a record.
+
+    Unreadable lines are left out here and returned by :func:`bad_records`.
+    """
+    return good_rows(parse(df, record), record, *keep)
 
 
 def bad_records(df: DataFrame, record: str) -> DataFrame:
     """The lines :func:`decode` cannot read."""
-    return _parsed(df, record).where(~_readable()).drop("_record")
+    return bad_rows(parse(df, record), record)
 
 
-def stamp(lines: DataFrame, now: Column | None = None) -> DataFrame:
+def stamp_or_mark(lines: DataFrame, now: Column | None = None) -> DataFrame:
     """Put the server time into every JSON line of ``value``, over any ``ts`` of the client.
 
-    All other fields are kept, known or not. Adds ``ts`` and ``type`` for the archive and the router;
-    lines that are no JSON object are left out, see :func:`bad_lines`.
+    All other fields are kept, known or not, with their types: numbers, booleans, lists and objects. Adds ``ts``, and
+    ``type`` for the router. A line that is no JSON object stays as it is and gets a ``reason``.
     """
     at = stamp_now() if now is None else now
+    log = F.col("_log")
+    kept = F.map_filter(log, lambda k, v: (k != "ts") & v.isNotNull() & ~F.is_variant_null(v))
+    stamped = F.map_concat(kept, F.create_map(F.lit("ts"), F.parse_json(F.col("ts").cast("string"))))
     return (
         _once(lines.withColumn("ts", at), "_log", F.from_json("value", LOG_MAP))
-        .where(F.col("_log").isNotNull())
-        .withColumn("_log", F.map_filter("_log", lambda k, v: (k != "ts") & v.isNotNull()))
-        .withColumn("type", F.try_element_at("_log", F.lit("type")))
-        .withColumn("value", F.to_json(F.map_concat(
-            "_log", F.create_map(F.lit("ts"), F.col("ts").cast("string")))))
+        .withColumn("reason", F.when(log.isNull(), _reason()))
+        .withColumn("type", F.try_variant_get(F.try_element_at("_log", F.lit("type")), "$", "string"))
+        .withColumn("value", F.when(log.isNotNull(), F.to_json(stamped)).otherwise(F.col("value")))
         .drop("_log")
     )
 
 
+def stamp(lines: DataFrame, now: Column | None = None) -> DataFrame:
+    """The lines that :func:`stamp_or_mark` could stamp; the others are :func:`bad_lines`."""
+    return stamp_or_mark(lines, now).where("reason is null").drop("reason")
+
+
 def bad_lines(lines: DataFrame) -> DataFrame:
     """Lines :func:`stamp` cannot read."""
-    return lines.where(F.from_json("value", LOG_MAP).isNull())
+    return stamp_or_mark(lines).where("reason is not null").drop("ts", "type")
 
 
 def route_logs(stamped: DataFrame) -> DataFrame:

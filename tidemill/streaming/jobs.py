@@ -33,6 +33,32 @@ def start(
     return writer.start()
 
 
+def start_split(
+    topic: DataFrame, record: str, keep: tuple[str, ...], each_good: EachBatch, checkpoint: str, bad: sinks.Writer | None,
+    **run,
+) -> StreamingQuery:
+    """Run a batch function on the readable rows of a topic; unreadable ones go to ``bad``, both from one parse."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if bad is None:
+            each_good(topics.decode(batch, record, *keep), batch_id)
+            return
+        parsed = topics.parse(batch, record).persist()
+        try:
+            bad(topics.bad_rows(parsed, record), batch_id)
+            each_good(topics.good_rows(parsed, record, *keep), batch_id)
+        finally:
+            parsed.unpersist()
+
+    return start(topic, each, checkpoint, **run)
+
+
+def bad_records(topic: DataFrame, record: str, bad: sinks.Writer, checkpoint: str, **run) -> StreamingQuery:
+    """Store the unreadable rows of a topic. Jobs with stream state, which a batch function comes after, have this
+    run beside them."""
+    unreadable = topics.bad_records(topic, record)
+    return start(unreadable, bad, checkpoint, **run)
+
+
 # Tables ----------------------------------------------------------------------------------------------
 
 def dau_table(path: str, **layout) -> KeyedTable:
@@ -79,9 +105,9 @@ def pane_table(path: str) -> KeyedTable:
 
 def ingest_logs(
     lines: DataFrame, archive_path: str, write_topics: sinks.Writer, checkpoint: str,
-    now: Column | None = None, **run,
+    now: Column | None = None, bad: sinks.Writer | None = None, **run,
 ) -> StreamingQuery:
-    """Stamp log lines, archive them, and route them to their topics.
+    """Stamp log lines, archive them, and route them to their topics; lines that are no JSON object go to ``bad``.
 
     The stamp is part of the stream, where the clock is the batch's recorded time: a replayed batch gets
     the stamps, and so the archive day, of its first attempt.
@@ -89,9 +115,15 @@ def ingest_logs(
     writers = [sinks.archive(archive_path), write_topics]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        sinks.fan_out(batch, batch_id, writers)
+        batch = batch.persist()
+        try:
+            if bad is not None:
+                bad(batch.where("reason is not null").drop("topic").withColumn("record", F.lit("log")), batch_id)
+            sinks.fan_out(batch.where("reason is null").drop("reason"), batch_id, writers)
+        finally:
+            batch.unpersist()
 
-    return start(topics.route_logs(topics.stamp(lines, now)), each, checkpoint, **run)
+    return start(topics.route_logs(topics.stamp_or_mark(lines, now)), each, checkpoint, **run)
 
 
 def ingest_changes(
@@ -116,7 +148,7 @@ def _of_days(rows: DataFrame, fresh: DataFrame) -> DataFrame:
 
 def dau(
     topic: DataFrame, table: KeyedTable, checkpoint: str, on_metrics: Metrics | None = None,
-    counted_at: counters.DeviceCounters | None = None, **run
+    counted_at: counters.DeviceCounters | None = None, bad: sinks.Writer | None = None, **run
 ) -> StreamingQuery:
     """Keep the first startup of each device and day; with ``counted_at``, also the counters of the KPI board.
 
@@ -126,7 +158,7 @@ def dau(
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counted, before = sinks.observed(batch, f"startups_{batch_id}")
+        counted, before = sinks.observed(dau_plan.with_day(batch), f"startups_{batch_id}")
         fresh = dau_plan.first_startup(counted).persist()
         try:
             if fresh.isEmpty():
@@ -146,7 +178,7 @@ def dau(
         finally:
             fresh.unpersist()
 
-    return start(dau_plan.with_day(topics.decode(topic, "startup_log")), each, checkpoint, **run)
+    return start_split(topic, "startup_log", (), each, checkpoint, bad, **run)
 
 
 def dau_append_only(
@@ -171,11 +203,12 @@ def dau_append_only(
 # Orders ----------------------------------------------------------------------------------------------
 
 def orders(
-    topic: DataFrame, table: KeyedTable, checkpoint: str, counts_at: KeyedTable | None = None, **run
+    topic: DataFrame, table: KeyedTable, checkpoint: str, counts_at: KeyedTable | None = None,
+    bad: sinks.Writer | None = None, **run
 ) -> StreamingQuery:
     """Store prepared orders by id; with ``counts_at``, also keep the amount of each day."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        newest = first_per_key(batch, ["id"], [F.col("offset").desc_nulls_last()])
+        newest = first_per_key(order_plan.prepare(batch), ["id"], [F.col("offset").desc_nulls_last()])
         if counts_at is not None:
             newest = newest.persist()
         try:
@@ -186,7 +219,7 @@ def orders(
         finally:
             newest.unpersist()
 
-    return start(order_plan.prepare(topics.decode(topic, "order_info", "offset")), each, checkpoint, **run)
+    return start_split(topic, "order_info", ("offset",), each, checkpoint, bad, **run)
 
 
 def user_state(topic: DataFrame, table: KeyedTable, checkpoint: str, **run) -> StreamingQuery:
@@ -215,12 +248,14 @@ def flagged_orders(spark: SparkSession, orders_at: KeyedTable, state_at: KeyedTa
 
 # Sales -----------------------------------------------------------------------------------------------
 
-def users(topic: DataFrame, table: KeyedTable, checkpoint: str, **run) -> StreamingQuery:
+def users(
+    topic: DataFrame, table: KeyedTable, checkpoint: str, bad: sinks.Writer | None = None, **run
+) -> StreamingQuery:
     """Keep the newest row of each user; inserts and updates alike, never expired."""
     def each(batch: DataFrame, batch_id: int) -> None:
         table.upsert(sale_plan.latest_users(batch, "offset"), batch_id)
 
-    return start(topics.decode(topic, "user_info", "offset"), each, checkpoint, **run)
+    return start_split(topic, "user_info", ("offset",), each, checkpoint, bad, **run)
 
 
 def sales(

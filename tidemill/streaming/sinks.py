@@ -36,6 +36,21 @@ def archive(path: str) -> Writer:
     return write
 
 
+BAD = ["topic", "key", "value", "offset", "timestamp", "record", "reason"]
+
+
+def bad_rows(path: str, job: str) -> Writer:
+    """Unreadable messages of a job with topic, offset and reason; a replay writes the same once more."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        have = dict(batch.dtypes)
+        kinds = {"offset": "bigint", "timestamp": "timestamp"}
+        rows = batch.select(
+            *[(F.col(c) if c in have else F.lit(None)).cast(kinds.get(c, "string")).alias(c) for c in BAD],
+            F.lit(job).alias("job"), F.lit(batch_id).alias("batch_id"))
+        _replace_batch(rows, path, "parquet", "job", "batch_id")
+    return write
+
+
 def topic_files(path: str, source: str = "parquet") -> Writer:
     """Routed messages to a folder per topic, read back by ``read_topic(source=...)``."""
     def write(batch: DataFrame, batch_id: int) -> None:
