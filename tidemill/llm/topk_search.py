@@ -2,7 +2,7 @@
 
 Queries and candidates are dealt into blocks; each pair of blocks meets in one task, which indexes both
 sides with a cover tree and walks the two trees together. A pair of nodes is left out when the best score
-that its covering radii allow is below the worst kth score of the query node. Every task returns k rows a
+that its covering radii allow is below the worst kth score of the query node; a pair of leaves is one matrix product. Every task returns k rows a
 query, and the best k of those are the answer: nothing is approximate.
 
 Components are floor(256 * x); scores are exact integers. Vectors that are null, or that hold a null or a
@@ -24,7 +24,11 @@ from tidemill.llm.common import parts_for
 SCALE = 256
 DATA_BLOCK = 8192
 QUERY_BLOCK = 8192
+#: Rows of a leaf of data and of queries, children of a node, and rows among which the centres of the children are chosen.
 LEAF = 64
+QUERY_LEAF = 16
+FANOUT = 16
+TRIED = 256
 #: Beyond this a component's products leave the range in which doubles are exact.
 LIMIT = 1 << 22
 
@@ -39,84 +43,98 @@ class Node:
     children: list
 
 
+def _squares(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of all points from all centres."""
+    away = (points ** 2).sum(axis=1)[:, None] - 2 * (points @ centres.T) + (centres ** 2).sum(axis=1)
+    return np.maximum(away, 0)
+
+
 class CoverTree:
-    """Nested nodes over ``points``: a node's children lie within half its scale of their centres, which are
-    further apart than that. ``order`` lists the rows so that every node is a slice."""
+    """Nested nodes over ``points``: a node's points lie within its radius of its centre, which is one of them.
+
+    The centres of the children are the node's own and others chosen farthest first, so they are further apart than any
+    tried point is from the nearest of them; every point goes to the nearest. There are ``FANOUT`` at most, as in many
+    dimensions almost all points are far from each other. ``order`` lists the rows so that every node is a slice.
+    """
 
-    def __init__(self, points: np.ndarray):
-        self.points = points
+    def __init__(self, points: np.ndarray, leaf: int = LEAF):
+        self.points, self.leaf = points, leaf
         order: list[np.ndarray] = []
         self.size = 0
-        self.root = self._node(np.arange(len(points)), 0 if len(points) else -1, None, order)
+        self.root = self._node(np.arange(len(points)), 0, order) if len(points) else None
         self.order = np.concatenate(order) if order else np.zeros(0, dtype=np.int64)
         self.sorted = points[self.order]
 
-    def _node(self, rows: np.ndarray, centre: int, distance: np.ndarray | None, order: list) -> Node:
-        point = self.points[centre]
-        if distance is None:
-            distance = np.linalg.norm(self.points[rows] - point, axis=1)
-        radius = float(distance.max(initial=0.0))
+    def _node(self, rows: np.ndarray, centre: int, order: list) -> Node:
+        own, point = self.points[rows], self.points[centre]
+        radius = float(np.sqrt(_squares(own, point[None])).max())
         node = Node(self.size, 0, point, float(np.linalg.norm(point)), radius, [])
-        if len(rows) <= LEAF or radius == 0.0:
+        if len(rows) <= self.leaf or radius == 0.0:
             order.append(rows)
             self.size += len(rows)
         else:
-            left, near, scale = rows, distance, radius / 2
-            head = centre
-            while len(left):
-                inside = near <= scale
-                if not inside.any():  # rounding: the centre's own row
-                    inside = near == near.min()
-                node.children.append(self._node(left[inside], head, near[inside], order))
-                left = left[~inside]
-                if len(left):
-                    head = left[0]
-                    near = np.linalg.norm(self.points[left] - self.points[head], axis=1)
+            centres = self._centres(rows, centre)
+            nearest = _squares(own, self.points[centres]).argmin(axis=1)
+            for i, head in enumerate(centres):
+                node.children.append(self._node(rows[nearest == i], head, order))
         node.stop = self.size
         return node
 
+    def _centres(self, rows: np.ndarray, centre: int) -> list[int]:
+        tried = rows[:: max(1, len(rows) // TRIED)]
+        if (self.points[tried] == self.points[centre]).all():  # the others were not among those tried
+            tried = rows[(self.points[rows] != self.points[centre]).any(axis=1)][:TRIED]
+        points, centres = self.points[tried], [centre]
+        near = _squares(points, self.points[[centre]])[:, 0]
+        while len(centres) < FANOUT and near.max() > 0:
+            centres.append(int(tried[near.argmax()]))
+            near = np.minimum(near, _squares(points, self.points[centres[-1:]])[:, 0])
+        return centres
+
 
 def _search(query: np.ndarray, query_id: np.ndarray, data: np.ndarray, data_id: np.ndarray, k: int):
-    """For each query its k best (score, -id), worse ones first; missing ones have score -inf."""
-    queries, index = CoverTree(query), CoverTree(data)
+    """For each query its k best (score, id), worse ones first, missing ones with score -inf; and the products made."""
+    queries, index = CoverTree(query, QUERY_LEAF), CoverTree(data)
     q, d = queries.sorted, index.sorted
     q_id, d_id = query_id[queries.order], data_id[index.order]
     score = np.full((len(q), k), -np.inf)
     found = np.full((len(q), k), np.iinfo(np.int64).max)
+    products = 0
 
     def bound(a: Node, b: Node) -> float:
         best = a.centre @ b.centre + a.radius * b.norm + b.radius * a.norm + a.radius * b.radius
         return best + 1e-9 * (abs(best) + 1.0)
 
     def compare(a: Node, b: Node) -> None:
+        nonlocal products
         rows = np.arange(b.start, b.stop)
         if b.radius == 0.0 and len(rows) > k + 1:  # equal vectors: only the smallest ids can count
             rows = rows[np.argsort(d_id[rows], kind="stable")[: k + 1]]
         product = q[a.start:a.stop] @ d[rows].T
+        products += product.size
         product[q_id[a.start:a.stop, None] == d_id[rows][None, :]] = -np.inf
-        hits = product.max(axis=1) >= score[a.start:a.stop, 0]
-        for i in np.nonzero(hits)[0]:
-            at = a.start + i
-            use = np.nonzero((product[i] >= score[at, 0]) & np.isfinite(product[i]))[0]
-            s, n = np.concatenate([score[at], product[i, use]]), np.concatenate([found[at], d_id[rows[use]]])
-            best = np.lexsort((-n, s))[-k:]
-            score[at], found[at] = s[best], n[best]
+        at = a.start + np.flatnonzero(product.max(axis=1) >= score[a.start:a.stop, 0])
+        if len(at):
+            s = np.concatenate([score[at], product[at - a.start]], axis=1)
+            n = np.concatenate([found[at], np.broadcast_to(d_id[rows], (len(at), len(rows)))], axis=1)
+            best = np.lexsort((-n, s), axis=1)[:, -k:]
+            score[at], found[at] = np.take_along_axis(s, best, 1), np.take_along_axis(n, best, 1)
 
     def walk(a: Node, b: Node) -> None:
         if bound(a, b) < score[a.start:a.stop, 0].min():
             return
         if not a.children and not b.children:
             compare(a, b)
-        elif b.children and (not a.children or b.radius >= a.radius):
-            for child in sorted(b.children, key=lambda c: -bound(a, c)):
-                walk(a, child)
-        else:
+        elif a.children and (not b.children or a.radius >= b.radius):
             for child in a.children:
                 walk(child, b)
+        else:
+            for child in sorted(b.children, key=lambda c: -bound(a, c)):
+                walk(a, child)
 
     if len(q) and len(d):
         walk(queries.root, index.root)
-    return q_id, score, found
+    return q_id, score, found, products
 
 
 _RESULT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
@@ -130,7 +148,7 @@ def _block_pair(k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if left.num_rows and right.num_rows:
-            q_id, score, found = _search(
+            q_id, score, found, _ = _search(
                 _matrix(left), left["id"].to_numpy(), _matrix(right), right["id"].to_numpy(), k)
             rows, cols = np.nonzero(np.isfinite(score))
             out = [q_id[rows], found[rows, cols], score[rows, cols].astype(np.int64)]
