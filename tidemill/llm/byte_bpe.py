@@ -3,7 +3,7 @@
 The rank map (token bytes -> rank) has a fixed size and is broadcast. A task splits whole texts with the
 tokenizer's pattern and folds the merges over each distinct word once: of all neighbouring pieces whose union
 is a token, the leftmost of lowest rank is merged, until none is left. Words that were met are remembered, up to
-``REMEMBERED`` of them in a worker. There is no shuffle.
+``REMEMBERED`` of them and ``REMEMBERED_BYTES`` in a worker. There is no shuffle.
 
 Special tokens are ordinary text. Null texts count as empty and give no ids. Ids are binary, little-endian unsigned
 32-bit integers. Repeated rows are encoded each; an empty table gives an empty result.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from tidemill.llm.common import small_batches
 
 REMEMBERED = 400_000
+#: Bytes of remembered words, and the length from which the merges of a word go by a heap.
+REMEMBERED_BYTES = 64 << 20
+LONG = 100
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,6 +39,8 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     whole = ranks.get(word)
     if whole is not None:
         return [whole]
+    if len(word) > LONG:
+        return _merged_long(word, ranks)
     pieces = [word[i:i + 1] for i in range(len(word))]
     get = ranks.get
     none = len(ranks) + (1 << 31)
@@ -53,6 +59,29 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in pieces]
 
 
+def _merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same for a word of any length: a merge costs a step in a heap instead of a search of the word."""
+    n, get = len(word), ranks.get
+    pieces: list[bytes | None] = [word[i:i + 1] for i in range(n)]
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    heap = [(rank, i) for i in range(n - 1) if (rank := get(word[i:i + 2])) is not None]
+    heapify(heap)
+    while heap:
+        rank, i = heappop(heap)
+        left = pieces[i]
+        if left is None or (j := after[i]) == n or get(left + pieces[j]) != rank:
+            continue  # one of the two has been merged meanwhile
+        pieces[i], pieces[j] = left + pieces[j], None
+        after[i] = j = after[j]
+        if j < n:
+            before[j] = i
+            if (rank := get(pieces[i] + pieces[j])) is not None:
+                heappush(heap, (rank, i))
+        if (h := before[i]) >= 0 and (rank := get(pieces[h] + pieces[i])) is not None:
+            heappush(heap, (rank, h))
+    return [ranks[p] for p in pieces if p is not None]
+
+
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern).findall
@@ -60,6 +89,7 @@ class Encoder:
         for token, rank in ranks.items():
             self.pieces[rank] = token
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def __call__(self, text: str | None) -> bytes:
         words, known = self.split(text or ""), self.known
@@ -69,10 +99,13 @@ class Encoder:
             pass
         for word in set(words):
             if word not in known:
-                known[word] = np.array(merged(word.encode("utf-8", "surrogatepass"), self.ranks), dtype="<u4").tobytes()
+                raw = word.encode("utf-8", "surrogatepass")
+                known[word] = np.array(merged(raw, self.ranks), dtype="<u4").tobytes()
+                self.held += len(raw)
         ids = b"".join([known[w] for w in words])
-        if len(known) > REMEMBERED:
+        if len(known) > REMEMBERED or self.held > REMEMBERED_BYTES:
             known.clear()
+            self.held = 0
         return ids
 
     def decode(self, ids: bytes) -> bytes:
