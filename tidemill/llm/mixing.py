@@ -124,8 +124,13 @@ def copies(docs: DataFrame, seed: int = 1, weights: tuple[float, ...] = WEIGHTS)
     extra = settled[0]
     for more in settled[1:]:
         extra = extra.unionByName(more)
-    extra = extra.where("p = 1").select("doc_key", F.lit(1).cast("long").alias("extra"))
-    return dealt.join(extra, "doc_key", "left").select(
+    extra = extra.where("p = 1").select(
+        F.col("doc_key").alias("key"), F.col("doc_id").alias("drawn"), F.col("occurrence").alias("number"),
+        F.lit(1).cast("long").alias("extra"))
+    # the key deals the rows; two rows may share it by chance, but not their id and number
+    same = (F.col("doc_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("drawn")) & (
+        F.col("occurrence") == F.col("number"))
+    return dealt.join(extra, same, "left").select(
         "doc_id", "occurrence", "size", "source_size", "target",
         (F.col("whole") + F.coalesce("extra", F.lit(0))).alias("copies"))
 
