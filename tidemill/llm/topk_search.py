@@ -25,7 +25,7 @@ SCALE = 256
 DATA_BLOCK = 8192
 QUERY_BLOCK = 8192
 #: Rows of a leaf of data and of queries, children of a node, and rows among which the centres of the children are chosen.
-LEAF = 64
+LEAF = 256
 QUERY_LEAF = 16
 FANOUT = 16
 TRIED = 256
@@ -120,17 +120,22 @@ def _search(query: np.ndarray, query_id: np.ndarray, data: np.ndarray, data_id:
             best = np.lexsort((-n, s), axis=1)[:, -k:]
             score[at], found[at] = np.take_along_axis(s, best, 1), np.take_along_axis(n, best, 1)
 
+    def reaches(a: Node, b: Node) -> bool:
+        return bound(a, b) >= score[a.start:a.stop, 0].min()
+
     def walk(a: Node, b: Node) -> None:
-        if bound(a, b) < score[a.start:a.stop, 0].min():
+        if not reaches(a, b):
             return
-        if not a.children and not b.children:
-            compare(a, b)
-        elif a.children and (not b.children or a.radius >= b.radius):
-            for child in a.children:
+        # a group of queries stays together as long as none of its parts can be left out
+        live = [child for child in a.children if reaches(child, b)]
+        if len(live) < len(a.children):
+            for child in live:
                 walk(child, b)
-        else:
+        elif b.children:
             for child in sorted(b.children, key=lambda c: -bound(a, c)):
                 walk(a, child)
+        else:
+            compare(a, b)
 
     if len(q) and len(d):
         walk(queries.root, index.root)
