@@ -334,6 +334,7 @@ SELECT mid, {_at("s", "window_start")}, {_at("e", "window_end")}, {LISTS}, click
     "coupon_alerts_5min": _windows(300, 5) + ALERTS,
     "alerts_per_minute": _windows(*DENSE) + PER_MINUTE,
     "stream_dau": DAU_ROWS,
+    "day_scan": f"SELECT * FROM ({DAU_ROWS}) WHERE log_date = '$DAU_DAY$'",
     "stream_kpi_board": _kpis(DAU_DAY),
     "stream_kpi_board_orders": _kpis(ORDER_DAY),
     "stream_dau_compacted": DAU_ROWS,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemill.functions import scalar
 from tidemill.operators import facets, joins, postings, windows
 from tidemill.plans import alerts, dau, orders, sales, serve
-from tidemill.schemas import SALE_DETAIL
+from tidemill.schemas import DAU_TABLE, SALE_DETAIL
 from tidemill.sources import changes, tables, topics, views
 from tidemill.streaming import counters, jobs, replay, sinks
 
@@ -146,6 +146,14 @@ def dau_first(spark, d):
     return _dau(spark, d).select("mid", "uid", "area", "os", "ch", "vs", "ts", "log_date", "log_hour")
 
 
+def day_scan(spark, d):
+    """The devices of one day from a table stored by day."""
+    folder = replay.new_folder(spark, "days")
+    tables.write_days(_dau(spark, d).select(*DAU_TABLE.names), folder, "log_date")
+    return tables.read_days(spark, folder, DAU_TABLE, DAU_DAY, "log_date").select(
+        "mid", "uid", "area", "os", "ch", "vs", "ts", "log_date", "log_hour")
+
+
 def dau_drop_seen(spark, d):
     morning = _dau(spark, d).where("log_hour < '12'")
     return dau.drop_seen(_startups(spark, d), morning).select("mid", "log_date", "ts")
@@ -580,7 +588,7 @@ def stream_alerts_5min(spark, d):
 QUERIES = {f.__name__: f for f in [
     log_date_hour, create_time_split, mask_phone, age_years, price_cast, yesterday_compact,
     route_logs, stamped_lines, route_changes, decode_orders, decode_logs,
-    dau_first, dau_drop_seen, dau_total, dau_hour, new_devices,
+    dau_first, day_scan, dau_drop_seen, dau_total, dau_hour, new_devices,
     user_state_lookup, state_rows, first_order_flag, first_order_flag_known, new_user_state,
     order_amount_total, order_amount_hour, province_sales,
     order_detail_inner, order_detail_full, order_detail_interval, latest_users, sale_detail,
