@@ -1,16 +1,16 @@
 """MinHash near-dedup by bottom-k sketches from one hash function.
 
 1. Every text becomes its set of hashed word shingles. Equal sets are one node from here on.
-2. The ``K`` smallest hashes of a set are its sketch; a set of up to ``SMALL`` is its own. Two sets that are similar
-   enough share ``need`` of them, so they meet in the inverted list of one of the ``size - need + 1`` rarest values of either sketch; only
-   those lists are used, which leaves out words that very many texts have. Of whole sets, the rank of a value in both
-   sets must also leave enough values for the overlap, so a passage that most of a short text consists of brings
-   together only texts that may be similar by it.
-3. Lists are worked off in rounds, since only components are asked for. The most central member of a list
-   meets all others; members that are in one component by then need no further test. Then a few members of the
-   largest component meet those outside it, and at last the members outside meet all others: at once in a short
-   list, in a long one ever more of them in every round.
-4. Pairs pass an estimate from the sketch of their union, then the exact Jaccard similarity of their full sets.
+2. The ``K`` smallest hashes of a set are its sketch. Two sets that are similar enough share ``need`` of them, so they
+   meet in the inverted list of one of the ``size - need + 1`` rarest values of either sketch; only those lists are
+   used, which leaves out words that very many texts have.
+3. Lists are worked off in rounds, since only components are asked for. The most central member of a list meets all
+   others, then a few members of its largest component do; members that are in one component by then need no
+   further test. Where few members are left outside the largest component, they meet all others.
+4. A list with more of them is split by further values that its members share: the lists of their full sets take its
+   place, by the same rule of rare values. There, the rank of a value in a set also tells the largest overlap that is left, so
+   members without a partner drop out, such as copies too far from the others or texts around a common passage.
+5. Pairs pass an estimate from the sketch of their union, then the exact Jaccard similarity of their full sets.
 
 Two texts are linked when 100 * intersection >= percent * union. No list and no number of partners is
 capped. Sketches miss a pair at the threshold with a probability of about 1e-5.
@@ -38,11 +38,6 @@ from tidemill.llm.shingles import shingle_sets
 WORDS = 5
 PERCENT = 80
 K = 32
-#: The lists of sets of so few shingles are those of the whole sets, so a passage that many short texts share brings
-#: no false partners.
-SMALL = 320
-#: Tells the lists of sketches from those of whole sets.
-_TAG = 0x5DEECE66D
 #: Flips the sign bit: sketches keep, as signed longs, the unsigned order in which their values are the smallest.
 _SIGN = np.uint64(1 << 63)
 #: The chance that the sketches of two sets at the threshold share fewer values than are asked for.
@@ -51,6 +46,8 @@ SALTS = 16
 #: Rounds in which so many members of a list's largest component meet the others, before the others meet all.
 PROBES = 1
 PROBE_HUBS = 8
+#: A list of sketches with more members than this outside its largest component is split by the values of full sets.
+FEW = 8
 #: Pairs that a list may add in its second round, doubled in each later one.
 ROUND_PAIRS = 1 << 20
 
@@ -79,7 +76,7 @@ def _sketches(size: int):
             for values in shingle_sets(batch.column(1).to_pylist(), size):
                 nodes.append(_node(values))
                 counts.append(len(values))
-                sketches.append(((values if len(values) <= SMALL else values[:K]) ^ _SIGN).view(np.int64))
+                sketches.append((values[:K] ^ _SIGN).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
                  pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "node", "n_shingles", "sketch"])
@@ -118,41 +115,63 @@ def sketched(docs: DataFrame, words: int = WORDS) -> DataFrame:
         _sketches(words), "doc_id long, node long, n_shingles long, sketch array<long>")
 
 
-def rare_lists(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """value, node, n_shingles, most, length: the inverted lists in which similar nodes meet; equal lists are kept once.
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The values of one set after the other, as rows."""
+    for batch in batches:
+        for node, size, values in zip(*(c.to_pylist() for c in batch.columns)):
+            rows = np.frombuffer(values, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), node)), pa.array(np.full(len(rows), size)), pa.array(rows)],
+                names=["node", "n_shingles", "value"])
+
+
+def sketch_lists(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The inverted lists of the sketches in ``nodes`` (node, n_shingles, sketch) in which similar nodes meet."""
+    size, least = F.col("n_shingles"), shared_least(percent)
+    # of a set that is its own sketch, a larger partner's sketch leaves out no more than the partner has over K
+    left_out = F.greatest(F.lit(least), F.floor(K - size * (100 - percent) / percent))
+    need = F.when(size <= K, F.least(F.ceil(size * percent / 100), left_out)).otherwise(least).cast("int")
+    postings = nodes.select("node", "n_shingles", need.alias("need"), F.explode("sketch").alias("value"))
+    return _rare(postings, percent, F.floor(size * 100 / percent))
+
+
+def whole_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The inverted lists of the full ``sets`` (node, n_shingles, values) in which similar nodes meet."""
+    size = F.col("n_shingles")
+    rows = sets.select("node", "n_shingles", "values").mapInArrow(_exploded, "node long, n_shingles long, value long")
+    postings = rows.withColumn("need", F.ceil(size * percent / 100).cast("int"))
+    by_rest = F.floor(F.col("rest") * (100 + percent) / percent) - size
+    return _rare(postings, percent, F.least(F.floor(size * 100 / percent), by_rest))
 
-    Partners differ in size by ``percent`` at most, so two sets are both in the lists of whole sets or both in those
-    of sketches. ``most`` is the largest size of a partner whose first common value, in the order of rarity, is
-    that of the list: the values before it are not shared, which leaves ``rest`` for the overlap. A list is split by
-    the classes of size in which partners can be, and dropped where no member can have a partner of its size or more.
+
+def _rare(postings: DataFrame, percent: int, most: Column) -> DataFrame:
+    """value, node, n_shingles, most, length: the lists of the rarest values of each node; equal lists are kept once.
+
+    ``most`` is the largest size of a partner whose first common value, in the order of rarity, is that of the list: the
+    values before it are not shared, which leaves ``rest`` for the overlap. A list is split by the classes of size in
+    which partners can be. Members that are too large, or have too little left, for all the others drop out.
     """
     size = F.col("n_shingles")
-    whole = nodes.where(size <= SMALL).select(
-        "node", "n_shingles", F.ceil(size * percent / 100).cast("int").alias("need"), F.lit(True).alias("all"), "sketch")
-    part = nodes.where(size * 100 > SMALL * percent).select(
-        "node", "n_shingles", F.lit(shared_least(percent)).alias("need"), F.lit(False).alias("all"), F.transform(
-            F.slice("sketch", 1, K), lambda v: v.bitwiseXOR(F.lit(_TAG))).alias("sketch"))
-    postings = whole.unionByName(part).select("node", "n_shingles", "need", "all", F.explode("sketch").alias("value"))
     shared = stored(postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
     common = postings.join(shared, "value")
-    own = Window.partitionBy("node", "all")
+    own = Window.partitionBy("node")
     # values that no other node has come first in the order
     ranked = common.withColumn("rest", F.count("*").over(own) + 1 - F.row_number().over(own.orderBy("df", "value")))
-    by_size = F.floor(size * 100 / percent)
-    by_rest = F.floor(F.col("rest") * (100 + percent) / percent) - size
-    reach = ranked.where("rest >= need").select(
-        "value", "df", "node", "n_shingles", F.when(F.col("all"), F.least(by_size, by_rest)).otherwise(by_size).alias("most"))
+    reach = ranked.where("rest >= need").select("value", "df", "node", "n_shingles", most.alias("most"))
     home, last = _size_class(size, percent), _size_class(F.greatest("most", "n_shingles"), percent)
     lists = stored(reach.withColumn("home", home).withColumn("class", F.explode(F.sequence(home, last))).select(
         F.xxhash64("value", "class").alias("value"), "df", F.col("value").alias("of"), "node", "n_shingles", "most",
         (F.col("class") == F.col("home")).alias("at_home")), "lists")
-    named = lists.groupBy("value", "df", "of").agg(
+    # of a pair, the smaller one must have room for a partner of its own size
+    small = lists.where(F.col("most") >= size).groupBy("value").agg(F.min("n_shingles").alias("smallest"))
+    alive = lists.join(small, "value").where(F.col("most") >= F.col("smallest"))
+    named = alive.groupBy("value", "df", "of").agg(
         F.count("*").alias("length"), F.bit_xor(F.xxhash64("node")).alias("members"),
-        F.max("at_home").alias("at_home"), F.max(F.col("most") >= size).alias("open")).where("length > 1 and at_home and open")
+        F.max("at_home").alias("at_home")).where("length > 1 and at_home")
     # of equal lists the one of the rarest value has the first common value of all its pairs
     once = named.groupBy("length", "members").agg(F.min(F.struct("df", "of", "value")).alias("first"))
     kept = once.select(F.col("first.value").alias("value"), "length")
-    return stored(lists.join(kept, "value").select("value", "node", "n_shingles", "most", "length"), "lists-once")
+    return stored(alive.join(kept, "value").select("value", "node", "n_shingles", "most", "length"), "lists-once")
 
 
 def _size_class(size: Column, percent: int) -> Column:
@@ -162,8 +181,8 @@ def _size_class(size: Column, percent: int) -> Column:
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """a, b, likely: whether the sketch of a pair's union allows the similarity."""
-    left = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n"), F.slice("sketch", 1, K).alias("x"))
-    right = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("m"), F.slice("sketch", 1, K).alias("y"))
+    left = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     whole = (F.col("n") <= K) & (F.col("m") <= K)
     exact = F.size(F.array_intersect("x", "y")) * 100 >= F.size(F.array_union("x", "y")) * percent
@@ -173,12 +192,12 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, values: the full set of each of ``nodes`` (node, least), from the text of the document ``least``."""
+    """node, n_shingles, values: the full set of each of ``nodes`` (node, n_shingles, least), from the text of ``least``."""
     asked = nodes.select(F.col("least").alias("asked")).distinct()
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(
         asked, F.col("doc_id").eqNullSafe(F.col("asked")), "left_semi")
     sets = texts.select("text").mapInArrow(_full_sets(words), "node long, values binary")
-    return stored(sets.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return stored(sets.join(nodes.select("node", "n_shingles"), "node").dropDuplicates(["node"]), "sets")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -205,32 +224,46 @@ def _rooted(lists: DataFrame, stars: DataFrame | None) -> DataFrame:
     return lists.join(labels(stars), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """u, v: links of which the components are those of all similar pairs.
+class _Found:
+    """Links found so far, as stars, and the pairs that were tested for them."""
 
-    ``nodes`` has node, n_shingles, sketch; ``ids`` names a doc_id (``least``) of each node.
-    """
-    lists = rare_lists(nodes, percent)
+    def __init__(self, sketches: DataFrame, sets: DataFrame, percent: int):
+        self.sketches, self.sets, self.percent = sketches, sets, percent
+        self.tested = self.stars = None
+
+    def test(self, pairs: DataFrame) -> None:
+        pairs = pairs.distinct()
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = stored(_estimated(pairs, self.sketches, self.percent), "pairs")
+        met = pairs.select("a", "b")
+        self.tested = met if self.tested is None else self.tested.unionByName(met)
+        new = stored(_linked(pairs.where("likely").select("a", "b"), self.sets, self.percent), "linked")
+        new = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        self.stars = shortened(new if self.stars is None else self.stars.unionByName(new))
+
+
+def _worked_off(lists: DataFrame, found: _Found, few: int | None = None) -> DataFrame | None:
+    """Test the pairs of ``lists`` in rounds; with ``few``, give back the members of lists with more outsiders."""
     central = lists.groupBy("node").agg(F.sum("length").alias("central"))
     lists = stored(lists.join(central, "node"), "central")
-    # the texts of all nodes that may have a partner are read once
-    sets = full_sets(docs, ids.join(central, "node").select("node", "least"), words)
-    sketches = nodes.select("node", "n_shingles", "sketch")
-    settled = tested = stars = None
+    settled = None
     turn = 0
     while True:
-        rooted = stored(_rooted(lists, stars), "rooted")
+        rooted = stored(_rooted(lists, found.stars), "rooted")
         open_ = rooted if settled is None else rooted.join(settled, ["value", "node"], "left_anti")
         # a list is finished when the members that have not met all others are of one component
         left = stored(open_.groupBy("value").agg(
             F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("value"), "open")
         if left.isEmpty():
-            break
+            return None
         open_ = open_.join(left, "value", "left_semi")
         members = rooted.join(left, "value", "left_semi")
         # the component with most open members waits: the others meet it
         weight = open_.groupBy("value", "root").agg(F.count("*").alias("n"))
-        main = weight.groupBy("value").agg(F.max(F.struct("n", "root")).alias("top")).select("value", F.col("top.root").alias("main"))
+        main = weight.groupBy("value").agg(
+            F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).select(
+            "value", F.col("top.root").alias("main"), (F.col("all") - F.col("top.n")).alias("outside"))
         order = Window.partitionBy("value").orderBy(F.col("central").desc(), "node")
         if turn == 0:
             hubs = open_.withColumn("rank", F.row_number().over(order)).where("rank = 1")
@@ -239,24 +272,36 @@ def links(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int = WORDS,
             chance = Window.partitionBy("value").orderBy(F.xxhash64("node", F.lit(turn)), "node")
             inner = open_.join(main, "value").where("root = main")
             hubs = inner.withColumn("rank", F.row_number().over(chance)).where(F.col("rank") <= PROBE_HUBS)
+        elif few is not None:
+            hubs = open_.join(main.where(F.col("outside") <= few), "value").where("root <> main")
         else:
             rest = open_.join(main, "value").where("root <> main")
             most = F.greatest(F.lit(4), F.lit(ROUND_PAIRS) / F.col("length")) * float(1 << turn)
             hubs = rest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
         hubs = stored(hubs.select("value", "node", "root", "n_shingles", "most"), "hubs")
-        pairs = _meet(hubs, members).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(_estimated(pairs, sketches, percent), "pairs")
-        met = pairs.select("a", "b")
-        tested = met if tested is None else tested.unionByName(met)
-        new = stored(_linked(pairs.where("likely").select("a", "b"), sets, percent), "linked")
-        new = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        stars = shortened(new if stars is None else stars.unionByName(new))
+        found.test(_meet(hubs, members))
+        if few is not None and turn > PROBES:
+            return stored(members.join(main.where(F.col("outside") > few), "value", "left_semi").select(
+                "node").distinct(), "long")
         done = hubs.select("value", "node")
         settled = done if settled is None else settled.unionByName(done)
         turn += 1
-    return stars if stars is not None else lists.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+
+
+def links(docs: DataFrame, nodes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """u, v: links of which the components are those of all similar pairs.
+
+    ``nodes`` has node, n_shingles, sketch and ``least``, the doc_id of a row of each node.
+    """
+    lists = sketch_lists(nodes, percent)
+    # the texts of all nodes that may have a partner are read once
+    sets = full_sets(docs, nodes.join(lists.select("node").distinct(), "node").select("node", "n_shingles", "least"), words)
+    found = _Found(nodes.select("node", "n_shingles", "sketch"), sets.select("node", "values"), percent)
+    crowded = _worked_off(lists, found, FEW)
+    if crowded is not None and not crowded.isEmpty():
+        _worked_off(whole_lists(sets.join(crowded, "node", "left_semi"), percent), found)
+    return found.stars if found.stars is not None else lists.select(
+        F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -266,7 +311,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     # copies are combined before the shuffle, so a large group of them is no burden
     nodes = stored(full.groupBy("node").agg(
         F.min("doc_id").alias("least"), F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "nodes")
-    found = links(docs, nodes, nodes.select("node", "least"), words, percent)
+    found = links(docs, nodes, words, percent)
     roots = stored(labels(found), "roots")
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
