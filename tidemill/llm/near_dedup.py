@@ -78,8 +78,8 @@ def _sketches(size: int):
                 counts.append(len(values))
                 sketches.append((values[:K] ^ _SIGN).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
-                 pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "node", "n_shingles", "sketch"])
+                [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
+                 pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "node", "n_shingles", "sketch"])
     return run
 
 
@@ -109,10 +109,10 @@ def _verify(percent: int):
 
 
 def sketched(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, node, n_shingles, sketch for every row of ``docs`` (doc_id, text)."""
+    """doc_id, text_hash, node, n_shingles, sketch for every row of ``docs`` (doc_id, text)."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _sketches(words), "doc_id long, node long, n_shingles long, sketch array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(
+        _sketches(words), "doc_id long, text_hash long, node long, n_shingles long, sketch array<long>")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,8 +304,11 @@ def links(docs: DataFrame, nodes: DataFrame, words: int = WORDS, percent: int =
         F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+def members(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_hash, n_shingles, root, component_id for every row of ``docs`` (doc_id, text).
+
+    ``root`` names the component, also where no row of it has an id; it is null for rows that stand alone without words.
+    """
     rows = stored(sketched(docs, words), "sketches")
     full = rows.where("n_shingles > 0")
     # copies are combined before the shuffle, so a large group of them is no burden
@@ -315,10 +318,31 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     roots = stored(labels(found), "roots")
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("node", "component_id")
+    named = rooted.join(smallest, "root").select("node", "root", "component_id")
     salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    own = full.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    joined = own.join(salted, ["node", "salt"]).select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    own = full.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int"))
+    joined = own.join(salted, ["node", "salt"]).select("doc_id", "text_hash", "n_shingles", "root", "component_id")
+    alone = rows.where("n_shingles = 0").select(
+        "doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"))
+    return joined.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    return joined.unionByName(alone).withColumn("kept", kept)
+    return members(docs, words, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def one_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one is left of each component.
+
+    That is the one with the smallest doc_id; rows without id come last, and among rows of one id the text decides by its
+    hash. Rows without words all stay. Rows that are equal in doc_id and text are one.
+    """
+    rows = members(docs, words, percent)
+    first = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")).select("first.doc_id", "first.text_hash")
+    alone = rows.where(F.col("root").isNull()).select("doc_id", "text_hash")
+    left = first.unionByName(alone).distinct().toDF("_id", "_hash")
+    same = docs["doc_id"].cast("long").eqNullSafe(left["_id"]) & (F.xxhash64(docs["text"]) == left["_hash"])
+    return docs.join(left, same, "left_semi").dropDuplicates(["doc_id", "text"])
