@@ -29,10 +29,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, folder: str) -> D
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id, of repeated rows the first by text."""
-    found = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One row of each group of near copies: that with the smallest id, one without id only where no other is left.
+
+    Of rows with one id, and of rows without id, the hash of the text decides; equal rows are one. Texts without
+    words stay.
+    """
+    return near_dedup.one_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
