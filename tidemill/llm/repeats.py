@@ -528,11 +528,11 @@ def _covered(table: pa.Table, answers: pa.Table, covers: pa.Table, segments: int
 
 
 _DIGEST = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                     ("kept_sha256", pa.string()), ("kept", pa.binary())])
+                     ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
-def _digest(segments: int, carried: list[str], bytes_too: bool):
-    """The carried columns of a bucket's rows and what is left of their texts."""
+def _digest(segments: int, carried: list[str], text_too: bool):
+    """The carried columns of a bucket's rows and what is left of their texts; characters that lost bytes are left out."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
         if table.num_rows:
@@ -540,7 +540,7 @@ def _digest(segments: int, carried: list[str], bytes_too: bool):
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
                 kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
                 rows.append((len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(),
-                             kept if bytes_too else None))
+                             kept.decode("utf-8", "ignore") if text_too else None))
             table = table.take(pa.array(_order(table)))
         columns = list(zip(*rows)) if rows else [[]] * len(_DIGEST)
         own = {f.name: pa.array(c, f.type) for c, f in zip(columns, _DIGEST)}
@@ -554,7 +554,7 @@ def _both(answers: pa.Table) -> tuple[pa.Table, pa.Table]:
     return answers.filter(pc.invert(flag)), answers.filter(flag)
 
 
-def _cleaned(docs: DataFrame, carried: list[str], bytes_too: bool) -> DataFrame:
+def _cleaned(docs: DataFrame, carried: list[str], text_too: bool) -> DataFrame:
     small_batches(docs.sparkSession)
     total = text_bytes(docs)
     buckets, segments = parts_for(total, BUCKET_BYTES), parts_for(total, SEGMENT_BYTES, 4)
@@ -569,9 +569,9 @@ def _cleaned(docs: DataFrame, carried: list[str], bytes_too: bool) -> DataFrame:
     answers = shared.withColumn("windows", F.lit(False)).unionByName(
         covers.repartition(buckets, "bucket").withColumn("windows", F.lit(True)))
     kinds = [f"c{i} {own.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(carried))]
-    kinds += ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", "kept binary"]
+    kinds += ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", "kept string"]
     cleaned = dealt.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
-        _digest(segments, carried, bytes_too), ", ".join(kinds))
+        _digest(segments, carried, text_too), ", ".join(kinds))
     return cleaned.withColumnsRenamed({f"c{i}": c for i, c in enumerate(carried)})
 
 
@@ -580,19 +580,14 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
     return _cleaned(docs, ["doc_id"], False).drop("kept")
 
 
-def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [None if k is None else k.decode("utf-8", "ignore") for k in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[1:]], names=["text", *batch.schema.names[1:]])
-
-
 def cut(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated passages cut from ``text``, and n_chars (if there is one) brought in line. A
     character that lost some of its bytes goes as a whole; a null text becomes empty."""
     carried = [c for c in docs.columns if c != "text"]
     found = _cleaned(docs, carried, True)
-    kinds = ", ".join(["text string", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)])
-    texts = found.select("kept", *carried).mapInArrow(_decoded, kinds)
+    numbered = found.toDF(*[f"c{i}" for i in range(len(found.columns))])
+    texts = numbered.select(F.col(f"c{len(found.columns) - 1}").alias("text"), *[
+        F.col(f"c{i}").alias(c) for i, c in enumerate(carried)])
     if "n_chars" in carried:
         texts = texts.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return texts.select(*docs.columns)
+    return texts.select(*[f"`{c}`" for c in docs.columns])
