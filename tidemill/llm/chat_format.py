@@ -24,8 +24,9 @@ _HASHES = {"h1": 11, "h2": 23}
 
 def _with_prefixes(turns: DataFrame) -> DataFrame:
     """Each turn with the hash and count of the rows up to it (p1, p2, upto)."""
-    hashed = turns.withColumns({k: F.xxhash64("turn", F.coalesce("role", F.lit("\0")), F.coalesce("text", F.lit("\0")),
-                                              F.lit(seed)) for k, seed in _HASHES.items()})
+    # the seed comes first: hashed last, both hashes would follow from one value of 64 bits
+    hashed = turns.withColumns({k: F.xxhash64(F.lit(seed), "turn", F.coalesce("role", F.lit("\0")), F.coalesce(
+        "text", F.lit("\0"))) for k, seed in _HASHES.items()})
     inside = Window.partitionBy("conv_id", "segment").orderBy(F.col("turn").asc_nulls_first()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
     rolled = hashed.withColumns({"r1": F.bit_xor("h1").over(inside), "r2": F.bit_xor("h2").over(inside),
