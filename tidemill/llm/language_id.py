@@ -5,7 +5,8 @@ number of languages (``MOST_LANGS`` at most), so it is broadcast; texts are scor
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is everything when nothing
 could be learned. A row without doc_id is predicted but never learned from. Equal scores go to the
-language that sorts first. Repeated rows are predicted each; columns beside those named are ignored.
+language that sorts first. Repeated rows are predicted each; columns beside those named are ignored. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

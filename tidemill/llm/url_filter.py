@@ -6,7 +6,7 @@ Spark broadcasts what it has sized, and splits a hot URL or block otherwise.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule, is on no list
 and is allowed. Repeated rows are judged each; nulls and repeats in the list are ignored. Of rules of equal
-length the one with the longer host wins, then the first by code point.
+length the one with the longer host wins, then the first by code point. An empty table of pages gives an empty result.
 """
 
 from __future__ import annotations
