@@ -9,15 +9,17 @@ are dealt by anchor, and both copies meet in one task:
    hash, so that no group depends on how many neighbours a common phrase has.
 2. Buckets send the distinct windows around such anchors (all passages that start between two changes of the
    anchor) with the smallest document that has it in the bucket.
-3. A segment builds a run-compressed Burrows-Wheeler transform of its distinct windows: run heads, run starts,
-   character counts at the runs and a sample at each run end. The runs are also cut where neighbouring suffixes share
-   less than ``LENGTH`` bytes, and each holds the smallest document below it. Windows are streamed through the
-   index from their ends by LF steps over the runs; where the matching statistic reaches ``LENGTH`` the samples
-   give the smallest document that has the passage. The answer is one bit a passage: does a document before the bucket's own have it?
+3. A segment builds a run-compressed Burrows-Wheeler transform of its distinct windows (without those that are alone
+   with their anchor, as equal passages have one anchor): run heads, run starts, character counts at the runs and a
+   sample at each run end. The runs are also cut where neighbouring suffixes share less than ``LENGTH`` bytes, and
+   each holds the smallest document below it. Windows are streamed through the index from their ends by LF steps over
+   the runs; where the matching statistic reaches ``LENGTH`` the samples give the smallest document that has the
+   passage. The answer is one bit a passage: does a document before the bucket's own have it?
 4. Buckets apply the bits to each of their documents and cut the bytes.
 
-Texts are dealt once. What is sent grows with the number of anchors (about one in 14 bytes, 4 bytes each)
-and with the repeated passages; a passage that a third of all documents share is sent once by each bucket.
+Texts are shuffled once; their windows are hashed in each of the steps 1, 2 and 4. What is sent grows with the
+number of anchors (about one in 14 bytes, 4 bytes each) and with the repeated passages; a passage that a third of all
+documents share is sent once by each bucket.
 
 Defined results: a null text counts as empty. Rows without doc_id come before all others. Rows of one doc_id
 do not count as repeats of each other. Bytes are judged on the input; removed ones may be part of a character.
@@ -461,6 +463,18 @@ class _Groups:
         self.open = place[np.repeat(length > 1, length)]
 
 
+def _anchors(data: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """The anchor of the passage at each of the places, which is that of its window."""
+    padded = np.concatenate([data, np.zeros(GRAM + 16, dtype=np.uint8)])
+    return _window_min(_grams(padded, len(data) - GRAM + 1), LENGTH - GRAM + 1)[offset]
+
+
+def _several(keys: np.ndarray) -> np.ndarray:
+    """Whether each key occurs more than once."""
+    _, group, size = np.unique(keys, return_inverse=True, return_counts=True)
+    return size[group] > 1
+
+
 def _index(table: pa.Table) -> pa.Table:
     """Build the index of a segment, stream its windows, and answer every bucket."""
     counts = [np.frombuffer(x, dtype=np.uint8).astype(np.int64) for x in table["lengths"].to_pylist()]
@@ -479,12 +493,15 @@ def _index(table: pa.Table) -> pa.Table:
     group = np.empty(len(name), dtype=np.int64)
     group[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(name))))
     rows = order[at]
-    own_length = lengths[rows]
-    index = RunLengthIndex(_gather(data, offset[rows], own_length), own_length, doc[rows])
     width = int(count.max())
-    least = np.full((len(rows), width), np.iinfo(np.int64).max)
-    for window, place, smallest in index.matching(own_length):
-        least[window, place] = smallest
+    # a window alone with its anchor has no passage of another one: it needs no index
+    least = np.repeat(doc[rows][:, None], width, axis=1)
+    met = np.flatnonzero(_several(_anchors(data, offset[rows])))
+    if len(met):
+        own_length = lengths[rows[met]]
+        index = RunLengthIndex(_gather(data, offset[rows[met]], own_length), own_length, doc[rows[met]])
+        for window, place, smallest in index.matching(own_length):
+            least[met[window], place] = smallest
     ends = np.cumsum(sizes)
     bits = []
     for size, end in zip(sizes, ends):
