@@ -340,6 +340,7 @@ SELECT mid, {_at("s", "window_start")}, {_at("e", "window_end")}, {LISTS}, click
     "stream_dau_compacted": DAU_ROWS,
     "stream_first_order_flag": FLAGS,
     "stream_sale_detail": "SELECT * FROM sale_detail",
+    "stream_sale_detail_repaired": "SELECT * FROM sale_detail",
     "stream_latest_users": LATEST_USERS,
     "stream_alerts_per_minute": _windows(*WIDE) + PER_MINUTE,
     "stream_alerts_5min": _windows(300, 5) + PER_MINUTE,

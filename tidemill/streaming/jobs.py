@@ -269,30 +269,73 @@ def sales(
     a record is its topic timestamp; records more than ``delay`` behind the newest are late. With ``index``, the
     words of the product names are stored as well, before the lines, so that no stored line is missed.
     """
-    order_rows = topics.decode(order_topic, "order_info", "timestamp").withColumnRenamed(
-        "timestamp", "order_ts").withWatermark("order_ts", delay)
-    detail_rows = topics.decode(detail_topic, "order_detail", "timestamp").withColumnRenamed(
-        "timestamp", "detail_ts").withWatermark("detail_ts", delay)
+    order_rows, detail_rows = _timed_sides(order_topic, detail_topic)
     # the day belongs to the stream: a batch that is replayed after midnight keeps its ages
-    day = F.current_date() if as_of is None else F.lit(as_of)
-    pairs = sale_plan.pair(order_rows, detail_rows, within, salts).withColumn("as_of_day", day)
+    pairs = sale_plan.pair(
+        order_rows.withWatermark("order_ts", delay), detail_rows.withWatermark("detail_ts", delay), within, salts)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        # read twice below, and the state behind it must not be
-        unique = first_per_key(batch, ["order_detail_id"], [F.col("create_time"), F.col("order_id")]).persist()
-        buyers = unique.select(F.col("user_id").alias("id")).distinct().persist()
-        try:
-            # once counted, the size of the keys is known and Spark chooses the lookup by it
-            buyers.count()
-            if index is not None:
-                index.upsert(postings.postings(unique), batch_id)
-            profiles = users_at.read(batch.sparkSession, wanted=buyers)
-            table.upsert(sale_plan.enrich(unique, profiles, F.col("as_of_day")), batch_id)
-        finally:
-            buyers.unpersist()
-            unique.unpersist()
+        _store_sales(batch, batch_id, users_at, table, index)
+
+    return start(pairs.withColumn("as_of_day", _day(as_of)), each, checkpoint, **run)
 
-    return start(pairs, each, checkpoint, **run)
+
+def repair_sales(
+    order_topic: DataFrame, detail_topic: DataFrame, users_at: KeyedTable, table: KeyedTable,
+    repairs: KeyedTable, run_id: int, as_of: str | None = None, within: str = "1 hour", salts: int = 4,
+    index: KeyedTable | None = None,
+) -> None:
+    """Store the sales that the stream let go because a side came behind its watermark.
+
+    The topics are read as batches, for instance those of some days; of their lines only the ones in neither table
+    are paired, by the condition of the stream. The sales go to a table of their own, as a table belongs to one
+    writer; ``run_id`` numbers the runs, and a run that is made again replaces its first attempt. Lines that still
+    wait in the stream may be stored by both: ``all_sales`` reads each line once. ``index`` is one of the repairs.
+    """
+    spark = detail_topic.sparkSession
+    order_rows, detail_rows = _timed_sides(order_topic, detail_topic)
+    known = table.read(spark).select("order_detail_id").unionByName(
+        repairs.read(spark, before=run_id).select("order_detail_id"))
+    lines = sale_plan.as_details(detail_rows)
+    missing = lines.join(known, lines["order_detail_id"].eqNullSafe(known["order_detail_id"]), "left_anti")
+    pairs = sale_plan.pair(order_rows, missing, within, salts).withColumn("as_of_day", _day(as_of))
+    _store_sales(pairs, run_id, users_at, repairs, index)
+
+
+def all_sales(spark: SparkSession, table: KeyedTable, repairs: KeyedTable) -> DataFrame:
+    """The sales of the stream and those repaired since, one row a line; the stream's row goes before."""
+    stored, mended = table.read(spark), repairs.read(spark)
+    ids = stored.select(F.col("order_detail_id").alias("stored_id"))
+    return stored.unionByName(mended.join(ids, F.col("order_detail_id").eqNullSafe(F.col("stored_id")), "left_anti"))
+
+
+def _timed_sides(order_topic: DataFrame, detail_topic: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders and lines with the times of their records."""
+    orders = topics.decode(order_topic, "order_info", "timestamp").withColumnRenamed("timestamp", "order_ts")
+    lines = topics.decode(detail_topic, "order_detail", "timestamp").withColumnRenamed("timestamp", "detail_ts")
+    return orders, lines
+
+
+def _day(as_of: str | None) -> Column:
+    return F.current_date() if as_of is None else F.lit(as_of)
+
+
+def _store_sales(
+    pairs: DataFrame, batch_id: int, users_at: KeyedTable, table: KeyedTable, index: KeyedTable | None,
+) -> None:
+    # read twice below, and what is behind it must not be
+    unique = first_per_key(pairs, ["order_detail_id"], [F.col("create_time"), F.col("order_id")]).persist()
+    buyers = unique.select(F.col("user_id").alias("id")).distinct().persist()
+    try:
+        # once counted, the size of the keys is known and Spark chooses the lookup by it
+        buyers.count()
+        if index is not None:
+            index.upsert(postings.postings(unique), batch_id)
+        profiles = users_at.read(pairs.sparkSession, wanted=buyers)
+        table.upsert(sale_plan.enrich(unique, profiles, F.col("as_of_day")), batch_id)
+    finally:
+        buyers.unpersist()
+        unique.unpersist()
 
 
 # Alerts ----------------------------------------------------------------------------------------------
