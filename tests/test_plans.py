@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import facets, joins, keyed, windows
 from tidemill.plans import alerts, dau, orders, sales, serve
+from tidemill.sources import views
 
 
 def rows(df, *columns):
@@ -407,3 +408,36 @@ def test_a_change_without_id_has_no_key(spark):
     bare = log.withColumn("rows", F.transform("rows", lambda r: F.filter(r, lambda p: p["name"] != "id")))
     routed = changes.route_changes(bare, PATTERN)
     assert routed.count() > 0 and routed.where("key is not null").count() == 0
+
+
+def test_lines_are_shuffled_once_for_their_orders(spark):
+    values = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    d = "/root/testdata/sf0.001"
+    old = {k: spark.conf.get(k, None) for k in values}
+    try:
+        read = [f(spark, d) for f in (views.order_info, views.order_detail, views.user_info)]
+        for k, v in values.items():  # behind the views, which set what the jobs rely on
+            spark.conf.set(k, v)
+        text = plan(sales.sale_detail(*read, "2001-08-01"))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # parts and lines, orders and lines, customers and orders, users and orders, and orders to the lines that lie there
+    assert text.count("Exchange hashpartitioning") == 9
+
+
+def test_a_profile_of_an_order_is_that_of_its_lines(spark):
+    at = datetime(2020, 1, 1)
+    placed = spark.createDataFrame(
+        [("o", "s", "2020-01-01 00:00:00", "u", at), ("p", "s", "2020-01-01 00:00:00", None, at)],
+        "id string, order_status string, create_time string, user_id string, order_ts timestamp")
+    lines = spark.createDataFrame(
+        [("1", "o", "k", "n", "1", at), ("2", "p", "k", "n", "x", at), ("2", "p", "k", "n", "x", at)],
+        "id string, order_id string, sku_id string, sku_name string, order_price string, detail_ts timestamp")
+    users = spark.createDataFrame(
+        [("u", "1990-01-01", "F", "2")], "id string, birthday string, gender string, user_level string")
+    # the day may be a column of the sales
+    for day in ("2020-01-01", F.col("dt")):
+        got = sales.sale_detail(placed, lines, users, day).collect()
+        assert sorted((r["order_detail_id"], r["user_age"], r["user_gender"]) for r in got) == [
+            ("1", 30, "F"), ("2", 0, None), ("2", 0, None)]

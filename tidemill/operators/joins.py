@@ -11,6 +11,16 @@ from tidemill.operators.keyed import spread_join
 ORDER_SALTS = 2
 
 
+def salt_of(line_id: Column, salts: int) -> Column:
+    """The salt that deals the lines of an order over ``salts`` partitions, the same on a retry."""
+    return F.pmod(F.xxhash64(line_id), F.lit(salts)).cast("int")
+
+
+def salted(orders: DataFrame, salts: int, name: str) -> DataFrame:
+    """Each order once for every salt."""
+    return orders.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
 def match_batch(orders: DataFrame, details: DataFrame, how: str = "inner") -> DataFrame:
     """Orders with the details of the same batch, ``inner`` or ``full_outer``.
 
@@ -47,8 +57,8 @@ def interval_join(
 
     Works on batches and, with watermarks on both time columns, on streams. ``salts`` spreads the details
     of an order over that many partitions, each with its own copy of the order row. In a batch the salt
-    also makes both sides shuffle, however they were partitioned before, so that AQE can split a very
-    large order further; a stream has no AQE.
+    also makes both sides shuffle, so that AQE can split a very large order further; lines that are dealt by
+    order and salt already, as :func:`tidemill.sources.views.order_detail` deals them, stay where they are.
     """
     left, right = orders, details.withColumnRenamed("order_id", "detail_order_id")
     gap = F.expr(f"INTERVAL {within}")
@@ -58,9 +68,8 @@ def interval_join(
         & (F.col(detail_time) <= F.col(order_time) + gap)
     )
     if salts > 1:
-        left = left.withColumn("_order_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        right = right.withColumn(
-            "_detail_salt", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int"))
+        left = salted(left, salts, "_order_salt")
+        right = right.withColumn("_detail_salt", salt_of(F.col("order_detail_id"), salts))
         on = on & (F.col("_order_salt") == F.col("_detail_salt"))
     joined = right.join(left, on, "inner")
     return joined.drop("detail_order_id", "_order_salt", "_detail_salt")

@@ -14,13 +14,18 @@ def as_details(details: DataFrame) -> DataFrame:
     return details.withColumnRenamed("id", "order_detail_id")
 
 
+PROFILE = ("birthday", "user_gender", "user_level")
+
+
 def pair(
-    orders: DataFrame, details: DataFrame, within: str = "1 hour", salts: int = joins.ORDER_SALTS
+    orders: DataFrame, details: DataFrame, within: str = "1 hour", salts: int = joins.ORDER_SALTS,
+    carry: tuple[str, ...] = (), carry_line: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Order and line pairs at most ``within`` apart, reduced to what a sale detail holds."""
-    order_columns = orders.select("id", "order_status", "create_time", "user_id", "order_ts")
+    """Order and line pairs at most ``within`` apart, reduced to what a sale detail holds; ``carry`` and
+    ``carry_line`` name columns of the orders and of the lines to keep."""
+    order_columns = orders.select("id", "order_status", "create_time", "user_id", "order_ts", *carry)
     line_columns = as_details(details).select(
-        "order_detail_id", "order_id", "sku_id", "sku_name", "order_price", "detail_ts")
+        "order_detail_id", "order_id", "sku_id", "sku_name", "order_price", "detail_ts", *carry_line)
     joined = joins.interval_join(order_columns, line_columns, within, salts)
     return joined.select(
         "order_detail_id",
@@ -32,6 +37,8 @@ def pair(
         F.coalesce(scalar.to_price(F.col("order_price")), F.lit(0.0)).alias("sku_price"),
         "sku_name",
         scalar.create_date(F.col("create_time")).alias("dt"),
+        *carry,
+        *carry_line,
     )
 
 
@@ -46,21 +53,29 @@ def enrich(sales: DataFrame, users: DataFrame, as_of: Column | str) -> DataFrame
 
     ``as_of`` may be a column of the sales.
     """
-    day = F.lit(as_of) if isinstance(as_of, str) else as_of
+    return _aged(_with_profile(sales, users, "order_detail_id"), as_of)
+
+
+def _with_profile(rows: DataFrame, users: DataFrame, spread: str) -> DataFrame:
     profile = users.select(
         F.col("id").alias("user_id"), "birthday", F.col("gender").alias("user_gender"), "user_level")
-    return (
-        keyed.spread_join(sales, profile, ["user_id"], ["order_detail_id"])
-        .withColumn("user_age", F.coalesce(scalar.age_years(F.col("birthday"), day.cast("date")), F.lit(0)))
-        .select(*SALE_DETAIL.names)
-    )
+    return keyed.spread_join(rows, profile, ["user_id"], [spread])
+
+
+def _aged(sales: DataFrame, as_of: Column | str) -> DataFrame:
+    day = F.lit(as_of) if isinstance(as_of, str) else as_of
+    age = F.coalesce(scalar.age_years(F.col("birthday"), day.cast("date")), F.lit(0))
+    return sales.withColumn("user_age", age).select(*SALE_DETAIL.names)
 
 
 def sale_detail(
     orders: DataFrame, details: DataFrame, users: DataFrame, as_of: Column | str,
     within: str = "1 hour",
 ) -> DataFrame:
-    return enrich(pair(orders, details, within), users, as_of)
+    """As :func:`enrich` gives the pairs. The profile is looked up for the orders, of which there are far fewer than
+    lines, and comes to the lines with their order."""
+    placed = _with_profile(orders.select("id", "order_status", "create_time", "user_id", "order_ts"), users, "id")
+    return _aged(pair(placed, details, within, carry=PROFILE), as_of)
 
 
 def product_sales(orders: DataFrame, details: DataFrame, day: str | None = None) -> DataFrame:

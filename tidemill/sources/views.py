@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemill.operators import joins
 from tidemill.session import configure
 
 SHOP_SCHEMA = "shop"
@@ -82,18 +83,26 @@ def order_info(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_detail(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines; a line's time lies 60 minutes before to 90 after its order's."""
+    """Order lines; a line's time lies 60 minutes before to 90 after its order's.
+
+    The lines meet their orders dealt by order and salt, as the order joins deal them: a join to orders after this
+    one shuffles no line again. The plain columns travel, the texts are made behind the join.
+    """
     part = table(spark, folder, "part").select("p_partkey", "p_name")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    orders = joins.salted(
+        table(spark, folder, "orders").select("o_orderkey", "o_orderdate"), joins.ORDER_SALTS, "_order_salt")
     quantity = F.col("l_quantity").cast("int").cast("string")
+    line_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quantity)
+    same_order = (_text("l_orderkey") == _text("o_orderkey")) & (
+        joins.salt_of(line_id, joins.ORDER_SALTS) == F.col("_order_salt"))
     day, second = _order_second()
     detail_ts = _later(day, second + ((F.col("l_partkey") % 151) - 60) * 60)
     return (
         table(spark, folder, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders, same_order)
         .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quantity).alias("id"),
+            line_id.alias("id"),
             _text("l_orderkey").alias("order_id"),
             F.col("p_name").alias("sku_name"),
             _text("l_partkey").alias("sku_id"),
