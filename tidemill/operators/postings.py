@@ -8,6 +8,8 @@ checked once more, as a line may have been stored again under another name since
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.functions import text
@@ -42,10 +44,12 @@ def of_words(index: DataFrame, tokens: dict[str, str], day: str | None = None) -
 
 def lines_with(index: DataFrame, tokens: dict[str, str], day: str | None = None) -> DataFrame:
     """(order_detail_id, dt) of the lines that have every word."""
+    # a word may have been stored more than once for a line; one flag for each word makes one shuffle do
+    flags = [F.bool_or(F.col("token") == t) for t in tokens]
+    every = reduce(Column.__and__, [F.col(f"has_{i}") for i in range(len(flags))])
     return (
         of_words(index, tokens, day).groupBy("order_detail_id", "dt")
-        # a word may have been stored more than once for a line, never twice in a batch
-        .agg(F.count_distinct("token").alias("words")).where(F.col("words") == len(tokens))
+        .agg(*[has.alias(f"has_{i}") for i, has in enumerate(flags)]).where(every)
         .select("order_detail_id", "dt"))
 
 

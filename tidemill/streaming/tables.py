@@ -56,8 +56,8 @@ class KeyedTable:
 
     def create(self, spark: SparkSession) -> KeyedTable:
         for part in ("commits", "data"):
-            folder, files = _folder(spark, f"{self.path}/{part}")
-            files.mkdirs(folder)
+            there, files = folder(spark, f"{self.path}/{part}")
+            files.mkdirs(there)
         return self
 
     def _order(self) -> list[Column]:
@@ -70,11 +70,11 @@ class KeyedTable:
 
     def _commits(self, spark: SparkSession) -> dict[int, float]:
         """The commits and when they were made, in seconds."""
-        return {int(name.split(".")[0]): at for name, at in _listed(spark, f"{self.path}/commits").items()
+        return {int(name.split(".")[0]): at for name, at in listed(spark, f"{self.path}/commits").items()
                 if name.endswith(".json") and not name.startswith(("_", "."))}
 
     def _read_commit(self, spark: SparkSession, number: int) -> list[Part]:
-        file, files = _folder(spark, f"{self.path}/commits/{number:020d}.json")
+        file, files = folder(spark, f"{self.path}/commits/{number:020d}.json")
         stream = files.open(file)
         try:
             found = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -89,13 +89,13 @@ class KeyedTable:
 
     def _commit(self, spark: SparkSession, parts: list[Part]) -> None:
         number = max(self._commits(spark), default=-1) + 1
-        aside, files = _folder(spark, f"{self.path}/commits/_{uuid4().hex}")
+        aside, files = folder(spark, f"{self.path}/commits/_{uuid4().hex}")
         stream = files.create(aside, True)
         try:
             stream.write(bytearray(json.dumps([asdict(p) for p in parts]).encode()))
         finally:
             stream.close()
-        there, _ = _folder(spark, f"{self.path}/commits/{number:020d}.json")
+        there, _ = folder(spark, f"{self.path}/commits/{number:020d}.json")
         if not files.rename(aside, there):
             raise RuntimeError(f"another writer made commit {number} of {self.path}")
 
@@ -149,13 +149,16 @@ class KeyedTable:
         live = self.live(spark)
         if any(p.level > 0 and p.first <= batch_id <= p.last for p in live):
             return
-        rows = batch.select(*self.schema.names).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows = batch.select(*self.schema.names)
         if self.partition:
             rows = rows.withColumn(self.partition, F.nullif(F.col(self.partition), F.lit("")))
-        # rebalance: few files for a small batch, even ones for a large batch
-        rows = rows.hint("rebalance")
+        # rebalance: few files for a small batch, even ones for a large batch; AQE splits a large day, without it the
+        # rows are dealt evenly
+        together = spark.conf.get("spark.sql.adaptive.enabled") == "true"
+        rows = rows.hint("rebalance", *(self._parts() if together else []))
         if self.partition:
-            rows = rows.sortWithinPartitions(self.partition)
+            rows = rows.sortWithinPartitions(self.partition, *(k for k in self.keys if k != self.partition))
+        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         counted = Observation()
         part = Part(f"batch={batch_id}-{uuid4().hex}", batch_id, batch_id)
         rows.observe(counted, F.count("*").alias("n")).write.parquet(f"{self.path}/data/{part.folder}")
@@ -163,7 +166,7 @@ class KeyedTable:
         if counted.get["n"]:
             self._commit(spark, [*others, part])
         else:
-            _delete(spark, f"{self.path}/data/{part.folder}")
+            delete(spark, f"{self.path}/data/{part.folder}")
             if others != live:
                 self._commit(spark, others)
         self.fold(spark)
@@ -188,9 +191,13 @@ class KeyedTable:
 
     def _fold(self, spark: SparkSession, due: list[Part], level: int) -> None:
         part = Part(f"fold={level}-{uuid4().hex}", min(p.first for p in due), max(p.last for p in due), level)
-        # small days share a task, a day too large for one is split
-        (self.winners(self._scan(spark, due)).hint("rebalance", *self._parts())
-         .write.partitionBy(*self._parts()).parquet(f"{self.path}/data/{part.folder}"))
+        rows = self._scan(spark, due)
+        if len(due) > 1:
+            # small days share a task, a day too large for one is split
+            rows = self.winners(rows).hint("rebalance", *self._parts())
+        # in a single folder no row replaces another, and its files hold few days each: only the layout changes. Were
+        # a key repeated in its batch, readers keep one row of it, as they did before
+        rows.write.partitionBy(*self._parts()).parquet(f"{self.path}/data/{part.folder}")
         # others may not have changed meanwhile: a table has one writer
         self._commit(spark, [*(p for p in self.live(spark) if p not in due), part])
 
@@ -203,26 +210,26 @@ class KeyedTable:
         kept = [n for n in commits if n == max(commits) or commits[n] >= edge]
         named = {p.folder for n in kept for p in self._read_commit(spark, n)}
         for number in commits.keys() - set(kept):
-            _delete(spark, f"{self.path}/commits/{number:020d}.json")
-        for name, at in _listed(spark, f"{self.path}/data").items():
+            delete(spark, f"{self.path}/commits/{number:020d}.json")
+        for name, at in listed(spark, f"{self.path}/data").items():
             # a folder that is just being written is not named yet, but young
             if name not in named and at < edge:
-                _delete(spark, f"{self.path}/data/{name}")
+                delete(spark, f"{self.path}/data/{name}")
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+def folder(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _listed(spark: SparkSession, path: str) -> dict[str, float]:
+def listed(spark: SparkSession, path: str) -> dict[str, float]:
     """What lies in a folder and when it was changed, in seconds."""
-    folder, files = _folder(spark, path)
-    if not files.exists(folder):
+    there, files = folder(spark, path)
+    if not files.exists(there):
         return {}
-    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in files.listStatus(folder)}
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in files.listStatus(there)}
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder, files = _folder(spark, path)
-    files.delete(folder, True)
+def delete(spark: SparkSession, path: str) -> None:
+    there, files = folder(spark, path)
+    files.delete(there, True)
