@@ -20,8 +20,17 @@ def fan_out(batch: DataFrame, batch_id: int, writers: Sequence[Writer]) -> None:
         batch.unpersist()
 
 
-def _replace_batch(rows: DataFrame, path: str, source: str, *partitions: str) -> None:
-    (rows.hint("rebalance", *partitions[:-1]).write.format(source).mode("overwrite")
+#: A batch of no more rows is gathered before it is written to few folders; a larger one is written where it lies.
+SMALL = 10_000
+
+
+def _small(rows: DataFrame) -> bool:
+    return rows.select(F.lit(1)).offset(SMALL).isEmpty()
+
+
+def _replace_batch(rows: DataFrame, path: str, source: str, *partitions: str, gather: bool = True) -> None:
+    rows = rows.hint("rebalance", *partitions[:-1]) if gather else rows
+    (rows.write.format(source).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).save(path))
 
 
@@ -60,7 +69,8 @@ def topic_files(path: str, source: str = "parquet") -> Writer:
             *[F.col(c) if c in have else F.lit(None).cast(t).alias(c)
               for c, t in (("key", "string"), ("offset", "bigint"), ("timestamp", "timestamp"))],
             F.lit(batch_id).alias("batch_id"))
-        _replace_batch(rows, path, source, "topic", "batch_id")
+        # the topics are few: the tasks of a large batch write a file for each without a shuffle of all messages
+        _replace_batch(rows, path, source, "topic", "batch_id", gather=_small(rows))
     return write
 
 
