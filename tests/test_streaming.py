@@ -510,3 +510,61 @@ def test_messages_without_a_time_are_fed(spark, tmp_path):
     rows = spark.sql("select string(id) value, if(id % 3 = 0, null, timestamp_seconds(id)) timestamp from range(9)")
     replay.feed(rows, str(tmp_path / "topic"), 3, lambda: None)
     assert spark.read.parquet(str(tmp_path / "topic")).count() == 9
+
+
+def test_a_single_folder_is_folded_as_it_is(spark, tmp_path, monkeypatch):
+    index = jobs.posting_table(f"{tmp_path}/index").create(spark)
+    rows = [(t, str(n), "2024-01-01", b) for n in range(20) for t, b in (("ring", "01"), ("small", "02"))]
+    index.upsert(spark.createDataFrame(rows, "token string, order_detail_id string, dt string, bucket string"), 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(KeyedTable, "winners", None)  # nothing to choose in one folder
+        index.compact(spark, 0)
+    assert sorted(map(tuple, index.read(spark).collect())) == sorted(rows)
+    assert len(list((tmp_path / "index" / "data").glob("fold=*/bucket=*/*.parquet"))) == 2
+    found = postings.lines_with(index.read(spark), {"ring": "01", "small": "02"})
+    assert found.count() == 20
+    raw = postings.lines_with(index.rows(spark), {"ring": "01", "small": "02"})
+    assert raw._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+@pytest.mark.parametrize("small, files", [(1000, 1), (10, 4)])
+def test_a_large_batch_of_messages_is_written_where_it_lies(spark, tmp_path, monkeypatch, small, files):
+    monkeypatch.setattr(sinks, "SMALL", small, raising=False)
+    rows = spark.range(0, 100, 1, 4).select(F.lit("order").alias("topic"), F.col("id").cast("string").alias("value"))
+    sinks.topic_files(f"{tmp_path}/topics")(rows, 0)
+    assert len(list(tmp_path.glob("topics/topic=order/batch_id=0/*.parquet"))) == files
+    assert spark.read.parquet(f"{tmp_path}/topics").count() == 100
+
+
+def test_only_rows_near_the_watermark_wait(spark, tmp_path):
+    at = datetime(2024, 1, 1, 10)
+    path, users = f"{tmp_path}/topic", jobs.user_table(f"{tmp_path}/users").create(spark)
+    table = jobs.sale_table(f"{tmp_path}/sales").create(spark)
+    session = replay.job_session(spark)
+
+    def run(*lines):
+        for name, message, time in lines:
+            put(spark, path, [(message, time)], name)
+        jobs.sales(
+            topics.read_topic(session, "order", "parquet", path),
+            topics.read_topic(session, "order_detail", "parquet", path), users, table, f"{tmp_path}/cp",
+            as_of="2024-01-01", delay="10 minutes", drain=True).awaitTermination()
+        newest = max((tmp_path / "cp" / "waiting").glob("after=*"), key=lambda p: int(p.name.split("=")[1]))
+        return sorted(r["id"] for r in spark.read.parquet(str(newest)).collect())
+
+    assert run(("order", ORDER % "a", at), ("order_detail", DETAIL % ("d1", "a"), at)) == ["a", "d1"]
+    # a minute past the reach of the rows at hand; the old ones have let go
+    later = at + timedelta(minutes=71)
+    assert run(("order", ORDER % "b", later), ("order_detail", DETAIL % ("d2", "b"), later)) == ["b", "d2"]
+    assert sorted(r["order_detail_id"] for r in table.read(spark).collect()) == ["d1", "d2"]
+
+
+def test_slices_are_made_once(spark, tmp_path):
+    at = [datetime(2024, 1, 1, h) for h in range(10)]
+    rows = spark.createDataFrame([("t", None, str(i), i, t) for i, t in enumerate(at)], TOPIC_COLUMNS)
+    rows = rows.coalesce(1).withColumn("value", F.uuid())
+    seen = []
+    replay.feed(rows, f"{tmp_path}/topic", 3, lambda: seen.append(spark.read.parquet(f"{tmp_path}/topic").count()))
+    assert seen[-1] == 10 and seen == sorted(seen) and len(seen) == 3
+    made = [r["value"] for p in tmp_path.glob("topic-*") for r in spark.read.parquet(f"{tmp_path}/topic").collect()]
+    assert len(set(made)) == 10

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,7 +16,7 @@ from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as orde
 from tidemill.schemas import DAU_TABLE, ORDER_TABLE, SALE_DETAIL, USER_STATE_TABLE, USER_TABLE, strings
 from tidemill.sources import changes, topics
 from tidemill.streaming import counters, sinks
-from tidemill.streaming.tables import KeyedTable
+from tidemill.streaming.tables import KeyedTable, delete, listed
 
 EVERY = "5 seconds"
 EachBatch = Callable[[DataFrame, int], None]
@@ -265,19 +266,86 @@ def sales(
 ) -> StreamingQuery:
     """Pair orders and lines whatever comes first, add the current user, store by line id.
 
-    Both sides wait in the state store until the watermark shows that no partner can follow. The time of
-    a record is its topic timestamp; records more than ``delay`` behind the newest are late. With ``index``, the
-    words of the product names are stored as well, before the lines, so that no stored line is missed.
+    The rows of a batch are joined as a batch with those that wait from earlier ones. Both sides wait, in a folder for
+    each batch under the checkpoint, until the watermark shows that no partner can follow: the lesser of the newest
+    times of the two sides, less ``delay``. The time of a record is its topic timestamp; records at or behind the
+    watermark of the batches before are late. With ``index``, the words of the product names are stored as well, before
+    the lines, so that no stored line is missed.
     """
     order_rows, detail_rows = _timed_sides(order_topic, detail_topic)
-    # the day belongs to the stream: a batch that is replayed after midnight keeps its ages
-    pairs = sale_plan.pair(
-        order_rows.withWatermark("order_ts", delay), detail_rows.withWatermark("detail_ts", delay), within, salts)
+    both = (
+        order_rows.select(F.lit("order").alias("side"), "id", "order_status", "create_time", "user_id", "order_ts")
+        .unionByName(
+            detail_rows.select(F.lit("line").alias("side"), "id", "order_id", "sku_id", "sku_name", "order_price",
+                               "detail_ts"),
+            allowMissingColumns=True))
+    waiting = WaitingRows(f"{checkpoint}/waiting", both.schema)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        _store_sales(batch, batch_id, users_at, table, index)
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                _pair_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
 
-    return start(pairs.withColumn("as_of_day", _day(as_of)), each, checkpoint, **run)
+    def _pair_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # the day belongs to the stream: a batch that is replayed after midnight keeps its ages
+        day = batch.select("as_of_day").first()[0]
+        held = waiting.before(spark, batch_id)
+        edge = _watermark(held, delay)
+        at = F.unix_micros(F.coalesce("order_ts", "detail_ts"))
+        fresh = batch.drop("as_of_day")
+        if edge is not None:
+            fresh = fresh.where(at.isNull() | (at > edge))
+        rows = fresh.withColumn("fresh", F.lit(True)).unionByName(held.withColumn("fresh", F.lit(False)))
+        placed = rows.where("side = 'order'").withColumnRenamed("fresh", "fresh_order")
+        lines = rows.where("side = 'line'").withColumnRenamed("fresh", "fresh_line")
+        # two rows that both waited met in an earlier batch
+        pairs = sale_plan.pair(
+            placed, lines, within, salts, ("fresh_order",), ("fresh_line",)).where("fresh_order OR fresh_line")
+        pairs = pairs.drop("fresh_order", "fresh_line").withColumn("as_of_day", F.lit(day))
+        _store_sales(pairs, batch_id, users_at, table, index)
+        left = rows.drop("fresh").where(at.isNotNull())
+        following = _watermark(left, delay)
+        if following is not None:
+            oldest = F.timestamp_micros(F.lit(following)) - F.expr(f"INTERVAL {within}")
+            left = left.where(F.coalesce("order_ts", "detail_ts") > oldest)
+        waiting.store(left, batch_id)
+
+    return start(both.withColumn("as_of_day", _day(as_of)), each, checkpoint, **run)
+
+
+def _watermark(rows: DataFrame, delay: str) -> int | None:
+    """The lesser of the newest times of the two sides less ``delay``, in whole milliseconds, as microseconds; none
+    until both have come."""
+    back = F.expr(f"INTERVAL {delay}")
+    newest = rows.agg(*[F.unix_millis(F.max(c) - back) for c in ("order_ts", "detail_ts")]).first()
+    return None if None in tuple(newest) else min(newest) * 1000
+
+
+@dataclass(frozen=True)
+class WaitingRows:
+    """The rows that wait after each batch, a folder a batch; that of the batch before stays for a replay."""
+
+    path: str
+    schema: StructType
+
+    def _numbers(self, spark: SparkSession) -> list[int]:
+        return sorted(int(name.split("=")[1]) for name in listed(spark, self.path) if name.startswith("after="))
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        found = [n for n in self._numbers(spark) if n < batch_id]
+        if not found:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(f"{self.path}/after={found[-1]}")
+
+    def store(self, rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/after={batch_id}")
+        for n in [n for n in self._numbers(spark) if n < batch_id][:-1]:
+            delete(spark, f"{self.path}/after={n}")
 
 
 def repair_sales(
@@ -294,8 +362,9 @@ def repair_sales(
     """
     spark = detail_topic.sparkSession
     order_rows, detail_rows = _timed_sides(order_topic, detail_topic)
-    known = table.read(spark).select("order_detail_id").unionByName(
-        repairs.read(spark, before=run_id).select("order_detail_id"))
+    # ids only: a line stored more than once is as well known as one stored once
+    known = table.rows(spark).select("order_detail_id").unionByName(
+        repairs.rows(spark, before=run_id).select("order_detail_id"))
     lines = sale_plan.as_details(detail_rows)
     missing = lines.join(known, lines["order_detail_id"].eqNullSafe(known["order_detail_id"]), "left_anti")
     pairs = sale_plan.pair(order_rows, missing, within, salts).withColumn("as_of_day", _day(as_of))
@@ -305,7 +374,7 @@ def repair_sales(
 def all_sales(spark: SparkSession, table: KeyedTable, repairs: KeyedTable) -> DataFrame:
     """The sales of the stream and those repaired since, one row a line; the stream's row goes before."""
     stored, mended = table.read(spark), repairs.read(spark)
-    ids = stored.select(F.col("order_detail_id").alias("stored_id"))
+    ids = table.rows(spark).select(F.col("order_detail_id").alias("stored_id"))
     return stored.unionByName(mended.join(ids, F.col("order_detail_id").eqNullSafe(F.col("stored_id")), "left_anti"))
 
 

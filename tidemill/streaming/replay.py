@@ -9,11 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.schemas import TOPIC_COLUMNS
 from tidemill.session import configure, work_dir
+from tidemill.streaming.tables import folder, listed
 
 
 def job_session(spark: SparkSession) -> SparkSession:
-    """A session for stateful jobs: one state partition per core, fixed by the first run."""
+    """A session for jobs: one state partition per core, fixed by the first run. Jobs without stream state are
+    planned by AQE, which starts from the partitions that the given session has."""
     session = configure(spark.newSession())
+    session.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                     spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return session
 
@@ -38,20 +43,30 @@ def feed(topics: DataFrame, path: str, slices: int, run: Callable[[], None]) ->
     """Append the messages in ``slices`` steps of rising time, running the jobs after each.
 
     Every run but the first continues from the checkpoint of the one before. Messages without a time come first.
+    The messages are made and written once, a folder for each slice; the files of a slice move to the topic when its
+    turn comes.
     """
+    spark = topics.sparkSession
     edges: list = []
     if slices > 1:
         shares = [i / slices for i in range(1, slices)]
         edges = topics.agg(
             F.percentile_approx(F.unix_micros("timestamp"), shares, 1000)).first()[0] or []
-    at = F.unix_micros("timestamp")
-    lower = None
-    for upper in [*edges, None]:
-        part = topics
-        if lower is not None:
-            part = part.where(at > lower)
-        if upper is not None:
-            part = part.where(at <= upper if lower is not None else (at <= upper) | at.isNull())
-        part.write.mode("append").parquet(path)
+    number = F.lit(0)
+    for edge in edges:
+        number = number + F.coalesce((F.unix_micros("timestamp") > edge).cast("int"), F.lit(0))
+    staged = f"{path}-{uuid4().hex}"
+    topics.withColumn("slice", number).write.partitionBy("slice").parquet(staged)
+    topics.limit(0).write.mode("append").parquet(path)  # a slice may be empty, the topic is there all the same
+    for n in range(len(edges) + 1):
+        _move_files(spark, f"{staged}/slice={n}", path, f"{n}-{uuid4().hex}-")
         run()
-        lower = upper
+
+
+def _move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """The files get names of their own, as a task gives its files of every slice the same name."""
+    for name in listed(spark, source):
+        moved, files = folder(spark, f"{source}/{name}")
+        to, _ = folder(spark, f"{target}/{prefix}{name}")
+        if not name.startswith(("_", ".")) and not files.rename(moved, to):
+            raise RuntimeError(f"{moved} could not be moved to {target}")
