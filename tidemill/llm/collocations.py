@@ -36,6 +36,10 @@ CHUNK = 4 << 20
 GROUP = 1 << 18
 #: A prefix with less than one in so many of all suffixes is never hot, which bounds the list of hot ones.
 RAREST_HOT = 1 << 17
+#: Suffixes that are written as lines at a time.
+_AT_ONCE = 1 << 14
+#: Groups whose suffixes of a chunk travel in one batch.
+_PIECES = 64
 
 _BREAK = words.byte_set((0x0A, 0x0D), (0x21, 0x21), (0x2C, 0x2C), (0x2E, 0x2E), (0x3A, 0x3B), (0x3F, 0x3F))
 _IN_WORD = ~(_BREAK | words.byte_set((0x09, 0x09), (0x20, 0x20)))
@@ -83,7 +87,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str,
 
 def _joint(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """One number for each pair of numbers."""
-    span = int(low.max(initial=0)) + 1
+    high, span = high.astype(np.int64), int(low.max(initial=0)) + 1
     if (int(high.max(initial=0)) + 1) * span >= 1 << 63:
         high, low = (np.unique(x, return_inverse=True)[1] for x in (high, low))
         span = len(low) + 1
@@ -100,28 +104,36 @@ class Suffixes:
         sizes = ends - starts
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         held = pa.Array.from_buffers(
-            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[in_word].tobytes())])
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[in_word])])
         coded = held.dictionary_encode()
-        code = np.asarray(coded.indices).astype(np.int64)
+        code = np.asarray(coded.indices)
         self.words = coded.dictionary
         self.word_counts = np.bincount(code, minlength=len(self.words))
+        del held, coded
 
         # the words one after another, a space behind each
-        self.text = np.full(len(starts) + int(offsets[-1]), _SPACE, dtype=np.uint8)
-        self.text[np.arange(offsets[-1]) + np.repeat(np.arange(len(starts)), sizes)] = data[in_word]
+        in_word[ends] = True
+        self.text = data[in_word]
         self.word_at = offsets + np.arange(len(offsets))
+        self.text[self.word_at[1:] - 1] = _SPACE
 
-        piece = np.cumsum(_BREAK[data], dtype=np.int64)[starts]
-        last = np.searchsorted(piece, piece, side="right")
-        length = np.minimum(last - np.arange(len(starts)), LONGEST)
+        piece = np.searchsorted(np.flatnonzero(_BREAK[data]), starts)
+        del data, in_word, starts, ends, sizes, offsets
+        length = np.ones(len(piece), dtype=np.int64)
+        for k in range(1, LONGEST):
+            length[:-k] += piece[k:] == piece[:-k]
+        del piece
         first = np.flatnonzero(length > 1)
         length = length[first]
-        padded = np.concatenate([code + 1, np.zeros(LONGEST, np.int64)])
+        padded = np.concatenate([code + 1, np.zeros(LONGEST, code.dtype)])
         each = [padded[first], padded[first + 1]] + [
-            np.where(length > k, padded[first + k], 0) for k in range(2, LONGEST)]
+            np.where(length > k, padded[first + k], code.dtype.type(0)) for k in range(2, LONGEST)]
+        del code, padded
         key = _joint(_joint(each[0], each[1]), _joint(each[2], each[3]))
         _, one, self.n = np.unique(key, return_index=True, return_counts=True)
+        del key
         self.first, self.length = first[one], length[one]
+        del first, length
         self.prefix = self._prefixes([e[one] for e in each], lang)
 
     def _prefixes(self, codes: list[np.ndarray], lang: str) -> list[np.ndarray]:
@@ -153,6 +165,9 @@ class Suffixes:
 
     def strings(self, which: np.ndarray) -> bytes:
         """The chosen suffixes, a line each."""
+        return b"".join(self._lines(which[a:a + _AT_ONCE]) for a in range(0, len(which), _AT_ONCE))
+
+    def _lines(self, which: np.ndarray) -> bytes:
         begin, stop = self.word_at[self.first[which]], self.word_at[self.first[which] + self.length[which]]
         ends = np.cumsum(stop - begin)
         out = self.text[np.repeat(begin - ends + (stop - begin), stop - begin) + np.arange(ends[-1])]
@@ -194,6 +209,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
                  pa.array(np.concatenate([np.zeros(m, np.int64), prefix])),
                  pa.array(np.concatenate([own.word_counts, *counts]).astype(np.int64))],
                 names=["lang", "word", "prefix", "n"])
+            del own, texts, use, value, at, n, often, prefixes, counts, prefix  # before the next ones are built
 
     partial = rows.mapInArrow(run, "lang string, word string, prefix long, n long")
     return partial.groupBy("lang", "word", "prefix").agg(F.sum("n").alias("n"))
@@ -212,13 +228,16 @@ def _deal(rows: DataFrame, hot: np.ndarray, groups: int) -> DataFrame:
             part = (name % _U(groups)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
-            pieces = [order[a:b] for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(pieces), pa.string()), pa.array(part[order][edges[:-1]]),
-                 pa.array([own.strings(p) for p in pieces], pa.binary()),
-                 pa.array([own.n[p].astype("<i8").tobytes() for p in pieces], pa.binary()),
-                 pa.array([whole[p].tobytes() for p in pieces], pa.binary())],
-                names=["lang", "part", "suffixes", "n", "whole"])
+            pieces, parts = [order[a:b] for a, b in zip(edges[:-1], edges[1:])], part[order][edges[:-1]]
+            for a in range(0, len(pieces), _PIECES):
+                own_pieces = pieces[a:a + _PIECES]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(own_pieces), pa.string()), pa.array(parts[a:a + _PIECES]),
+                     pa.array([own.strings(p) for p in own_pieces], pa.binary()),
+                     pa.array([own.n[p].astype("<i8").tobytes() for p in own_pieces], pa.binary()),
+                     pa.array([whole[p].tobytes() for p in own_pieces], pa.binary())],
+                    names=["lang", "part", "suffixes", "n", "whole"])
+            del own, texts, name, whole, part, order, pieces, own_pieces  # before the next ones are built
 
     return rows.mapInArrow(run, "lang string, part long, suffixes binary, n binary, whole binary")
 
