@@ -5,7 +5,7 @@ import tracemalloc
 
 import pyarrow as pa
 
-from tidemill.llm import collocations
+from tidemill.llm import collocations, repeats
 
 
 def _text(size: int, words: int = 60_000) -> str:
@@ -49,3 +49,15 @@ def test_chunks_of_suffixes_are_let_go_one_by_one():
 
     _peak(work)  # tables that stay are filled
     assert _peak(work) < 35 * collocations.CHUNK
+
+
+def test_the_index_of_a_segment_is_lean():
+    pick, text = random.Random(2), _text(400_000)
+    pool = [text[i:i + 90] for i in range(0, len(text), 90)]
+    texts = [" ".join(pick.choices(pool, k=300)).encode() for _ in range(40)]
+    bucket = pa.table({"own_id": list(range(40)), "own_text": pa.array(texts, pa.binary()), "bucket": [0] * 40})
+    answers = repeats._answer(repeats.HOT)(repeats._ask(1)(bucket))
+    windows = repeats._send(1)(bucket, answers)
+
+    _peak(lambda: repeats._index(windows))  # tables that stay are filled
+    assert _peak(lambda: repeats._index(windows)) < 95 * windows.nbytes

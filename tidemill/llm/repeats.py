@@ -353,24 +353,30 @@ class RunLengthIndex:
     def __init__(self, data: np.ndarray, lengths: np.ndarray, docs: np.ndarray):
         """``data`` holds the windows one after the other, ``lengths`` bytes each."""
         stops = np.cumsum(lengths + 1)
-        text = np.zeros(int(stops[-1]), dtype=np.uint64)
+        text = np.zeros(int(stops[-1]), dtype=np.uint16)
         inside = np.ones(len(text), dtype=bool)
         inside[stops - 1] = False
-        text[inside] = data.astype(np.uint64) + _U(1)
+        text[inside] = data.astype(np.uint16) + np.uint16(1)
+        del inside
         n = len(text)
-        owner = np.repeat(np.arange(len(lengths)), lengths + 1)
-        left = stops[owner] - 1 - np.arange(n)  # bytes of the suffix
+        owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
+        left = (stops[owner] - 1 - np.arange(n)).astype(np.int32)  # bytes of the suffix
         order = self._suffixes(text, left, owner, int(lengths.max()))
+        del left
         row = np.empty(n, dtype=np.int64)
         row[order] = np.arange(n)
         self.ends = row[stops - 1]
+        del row
         before = order - 1
         before[before < 0] = n - 1
         bwt = text[before].astype(np.int16)
+        del before, text
         # equal first bytes: block by the rank after LENGTH symbols
         block = self.prefix[order]
+        del self.prefix
         cut = np.concatenate([[True], (bwt[1:] != bwt[:-1]) | (block[1:] != block[:-1])])
         self.starts = np.flatnonzero(cut)
+        del cut
         self.heads = bwt[self.starts]
         run_length = np.diff(np.append(self.starts, n))
         self.run_of = np.repeat(np.arange(len(self.starts), dtype=np.int32), run_length)
@@ -394,13 +400,14 @@ class RunLengthIndex:
         """The suffix array by doubling. A window's end is a symbol below all others; ends are told apart by
         their place. ``prefix`` keeps the rank by the first ``LENGTH`` symbols."""
         n = len(text)
-        padded = np.concatenate([text, np.zeros(_PACK, dtype=np.uint64)])
+        padded = np.concatenate([text, np.zeros(_PACK, dtype=text.dtype)])
         key = np.zeros(n, dtype=np.uint64)
         for j in range(_PACK):
-            own = np.where(left >= j, padded[j:j + n], _U(0))
-            key = (key << _U(9)) | own
+            key <<= _U(9)
+            key |= np.where(left >= j, padded[j:j + n], text.dtype.type(0))
         order = np.argsort(key)
         groups = _Groups(order, key[order])
+        del key, order, padded
         known = _PACK
         while known * 2 <= LENGTH:
             groups.refine(groups.ahead(left, known))
@@ -475,6 +482,16 @@ def _several(keys: np.ndarray) -> np.ndarray:
     return size[group] > 1
 
 
+def _names(data: np.ndarray, offset: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each of some windows that follow each other in ``data``."""
+    start = offset - offset[0]
+    stop = start + count + LENGTH - 1
+    own = data[offset[0]:offset[0] + stop[-1]]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(_byte[own] * _powers(len(own)))])
+    return mix64((sums[stop] - sums[start]) * _inverses(len(own) + 1)[start]
+                 + count.astype(np.uint64) * _U(0x5851F42D4C957F2D))
+
+
 def _index(table: pa.Table) -> pa.Table:
     """Build the index of a segment, stream its windows, and answer every bucket."""
     counts = [np.frombuffer(x, dtype=np.uint8).astype(np.int64) for x in table["lengths"].to_pylist()]
@@ -485,9 +502,7 @@ def _index(table: pa.Table) -> pa.Table:
     lengths = count + LENGTH - 1
     offset = np.cumsum(lengths) - lengths
     # equal windows of several buckets are one window with the smallest of their documents
-    table_of = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(_byte[data] * _powers(len(data)))])
-    name = mix64((table_of[offset + lengths] - table_of[offset]) * _inverses(len(data) + 1)[offset]
-                 + count.astype(np.uint64) * _U(0x5851F42D4C957F2D))
+    name = np.concatenate([_names(data, offset[a:b], count[a:b]) for a, b in _chunks(lengths.tolist())])
     order = np.lexsort((doc, name))
     at = _groups(name[order])
     group = np.empty(len(name), dtype=np.int64)
