@@ -4,7 +4,7 @@ import random
 
 import brute
 import corpus_pipeline
-from tidemill.llm import near_dedup
+from tidemill.llm import components, near_dedup
 
 
 def _components(spark, texts):
@@ -63,3 +63,39 @@ def test_the_stage_leaves_what_the_plain_version_leaves(spark):
     plain = brute.near([r.asDict() for r in docs.collect()], 5)
     left = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
     assert sorted(r.doc_id for r in left) == sorted(d for d, (_, c) in plain.items() if c == d)
+
+
+def test_a_step_of_the_stars_reads_the_links_few_times(spark, capsys):
+    links = spark.createDataFrame([(3, 1), (3, 2), (5, 3)], "u long, v long")
+    links = components.stored(links, "links")
+    components._small_star(components._large_star(links)).explain()
+    assert capsys.readouterr().out.count("FileScan") <= 4
+
+
+def test_rounds_without_new_links_leave_the_stars_alone(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(near_dedup, "shortened", lambda links: calls.append(1) or components.shortened(links))
+    words = [f"w{i}" for i in range(60)]
+    # of five texts around a common passage none is near another
+    texts = [" ".join(words + [f"x{n}y{i}" for i in range(60)]) for n in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert near_dedup.one_each(docs).count() == 5
+    assert not calls
+    # two copies among them are found in the first round alone
+    more = docs.unionByName(spark.createDataFrame([(9, texts[0] + " end")], "doc_id long, text string"))
+    assert {r["doc_id"] for r in near_dedup.one_each(more).collect()} == {0, 1, 2, 3, 4}
+    assert len(calls) == 1
+
+
+def test_stars_hold_the_components(spark):
+    pick = random.Random(4)
+    pairs = [(pick.randrange(90), pick.randrange(90)) for _ in range(60)] + [(200 + i, 201 + i) for i in range(20)]
+    smallest = {n: n for pair in pairs for n in pair}
+    for _ in smallest:
+        for a, b in pairs:
+            smallest[a] = smallest[b] = min(smallest[a], smallest[b])
+    links = components.shortened(spark.createDataFrame(pairs, "u long, v long"))
+    got = {r["node"]: r["root"] for r in components.labels(links).collect()}
+    assert got == {n: s for n, s in smallest.items() if n in got}
+    assert set(smallest) - set(got) == {a for a, b in pairs if a == b and not any(
+        a in p and p[0] != p[1] for p in pairs)}

@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from tidemill.llm.common import stored
 
 
+def _both(links: DataFrame, first: tuple[str, str], second: tuple[str, str]) -> DataFrame:
+    """u, v twice for each row, from two pairs of its columns; ``links`` are read once, which keeps the plans short."""
+    sides = [F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in (first, second)]
+    return links.select(F.explode(F.array(*sides)).alias("side")).select("side.u", "side.v")
+
+
 def _minima(directed: DataFrame) -> DataFrame:
     """Each link u, v with the smallest of u and its neighbours; the minimum is formed before the shuffle."""
     least = directed.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -15,23 +21,19 @@ def _minima(directed: DataFrame) -> DataFrame:
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked with the smallest one; u > v in all links."""
-    both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _minima(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _minima(_both(links, ("u", "v"), ("v", "u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked with the smallest one; ``links`` have u > v."""
-    moved = _minima(links)
-    sides = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-        moved.select("u", F.col("m").alias("v")))
-    return sides.where("u <> v").distinct()
+    return _both(_minima(links), ("v", "m"), ("u", "m")).where("u <> v").distinct()
 
 
 def _are_stars(links: DataFrame) -> bool:
     """Whether no node has two smaller neighbours, or a smaller and a larger one."""
-    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
-        links.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
-    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where(
+    ends = _both(links, ("u", "v"), ("v", "u"))
+    return ends.groupBy("u").agg(
+        F.count_if(F.col("v") < F.col("u")).alias("down"), F.max((F.col("v") > F.col("u")).cast("int")).alias("up")).where(
         "down > 1 OR down = 1 AND up = 1").isEmpty()
 
 
@@ -46,6 +48,5 @@ def shortened(links: DataFrame) -> DataFrame:
 
 def labels(links: DataFrame) -> DataFrame:
     """node, root for each node of ``shortened`` links: the smallest node of its component."""
-    pairs = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    roots = links.select(F.col("v").alias("node"), F.col("v").alias("root"))
-    return pairs.unionByName(roots).groupBy("node").agg(F.min("root").alias("root"))
+    rooted = _both(links, ("u", "v"), ("v", "v"))
+    return rooted.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))

@@ -240,7 +240,10 @@ class _Found:
         self.tested = met if self.tested is None else self.tested.unionByName(met)
         new = stored(_linked(pairs.where("likely").select("a", "b"), self.sets, self.percent), "linked")
         new = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        self.stars = shortened(new if self.stars is None else self.stars.unionByName(new))
+        if new.isEmpty():  # what was found before are stars already
+            self.stars = new if self.stars is None else self.stars
+        else:
+            self.stars = shortened(new if self.stars is None else self.stars.unionByName(new))
 
 
 def _worked_off(lists: DataFrame, found: _Found, few: int | None = None) -> DataFrame | None:
@@ -250,15 +253,17 @@ def _worked_off(lists: DataFrame, found: _Found, few: int | None = None) -> Data
     settled = None
     turn = 0
     while True:
-        rooted = stored(_rooted(lists, found.stars), "rooted")
+        rooted = _rooted(lists, found.stars)
+        if found.stars is not None:
+            rooted = stored(rooted, "rooted")
         open_ = rooted if settled is None else rooted.join(settled, ["value", "node"], "left_anti")
         # a list is finished when the members that have not met all others are of one component
-        left = stored(open_.groupBy("value").agg(
-            F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("value"), "open")
-        if left.isEmpty():
+        left = open_.groupBy("value").agg(
+            F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("value")
+        open_ = stored(open_.join(left, "value", "left_semi"), "open")
+        if open_.isEmpty():
             return None
-        open_ = open_.join(left, "value", "left_semi")
-        members = rooted.join(left, "value", "left_semi")
+        members = rooted.join(open_.select("value").distinct(), "value", "left_semi")
         # the component with most open members waits: the others meet it
         weight = open_.groupBy("value", "root").agg(F.count("*").alias("n"))
         main = weight.groupBy("value").agg(
@@ -285,6 +290,7 @@ def _worked_off(lists: DataFrame, found: _Found, few: int | None = None) -> Data
                 "node").distinct(), "long")
         done = hubs.select("value", "node")
         settled = done if settled is None else settled.unionByName(done)
+        lists = members.drop("root")  # what is finished stays so
         turn += 1
 
 
@@ -339,7 +345,8 @@ def one_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     That is the one with the smallest doc_id; rows without id come last, and among rows of one id the text decides by its
     hash. Rows without words all stay. Rows that are equal in doc_id and text are one.
     """
-    rows = members(docs, words, percent)
+    # read twice below
+    rows = stored(members(docs, words, percent), "members")
     first = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")).select("first.doc_id", "first.text_hash")
     alone = rows.where(F.col("root").isNull()).select("doc_id", "text_hash")
