@@ -20,6 +20,23 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+#: Keys that are not alone, up to which their rows are told from the others by a lookup.
+MOST_REPEATED = 500_000
+
+
+def repeated(keys: DataFrame) -> DataFrame:
+    """(_key): hashes of the keys that occur more than once, and of those that share the hash of another. Only hashes
+    are shuffled."""
+    hashes = keys.select(F.xxhash64(*keys.columns).alias("_key"))
+    return hashes.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key")
+
+
+def split(rows: DataFrame, keys: Sequence[str], hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose keys have none of the hashes, and the others."""
+    hashed = rows.withColumn("_key", F.xxhash64(*keys))
+    return tuple(hashed.join(hashes, "_key", how).drop("_key") for how in ("left_anti", "left_semi"))
+
+
 def spread_join(
     facts: DataFrame, table: DataFrame, keys: Sequence[str], spread: Sequence[str], how: str = "left",
     salts: int = SALTS,

@@ -551,27 +551,32 @@ def _run_sales(session, folder):
                table, f"{folder}/cp-sales", as_of=AS_OF, drain=True).awaitTermination()
 
 
+def _fed_sales(spark, name, d, last=None):
+    """The sale jobs over the messages, which are made in a session for jobs as well: their shuffles are the largest.
+    Orders divide the steps, as the time of a line is known only where it has met its order."""
+    folder, session = replay.new_folder(spark, name), replay.job_session(spark)
+    order_rows, detail_rows, user_rows = _sale_messages(session, d)
+    replay.feed(order_rows.unionByName(detail_rows).unionByName(user_rows), f"{folder}/topic", SLICES,
+                lambda: _run_sales(session, folder), times=order_rows, last=last)
+    return folder, session
+
+
 def stream_sale_detail(spark, d):
-    order_rows, detail_rows, user_rows = _sale_messages(spark, d)
-    folder = _fed(spark, "sales", order_rows.unionByName(detail_rows).unionByName(user_rows), _run_sales)
-    return jobs.sale_table(f"{folder}/sales").read(spark)
+    folder, _ = _fed_sales(spark, "sales", d)
+    return jobs.sale_table(f"{folder}/sales").read(spark, whole=True)
 
 
 def stream_sale_detail_repaired(spark, d):
     """A tenth of the lines comes after all other records; a repair adds those that the stream lets go."""
-    order_rows, detail_rows, user_rows = _sale_messages(spark, d)
-    late = F.pmod(F.xxhash64("value"), F.lit(10)) == 0
-    in_time = order_rows.unionByName(detail_rows.where(~late)).unionByName(user_rows)
-    folder = _fed(spark, "late-sales", in_time, _run_sales)
-    detail_rows.where(late).write.mode("append").parquet(f"{folder}/topic")
-    _run_sales(replay.job_session(spark), folder)
-    messages = spark.read.schema(TOPIC_COLUMNS).parquet(f"{folder}/topic")
+    late = (F.col("topic") == "order_detail") & (F.pmod(F.xxhash64("value"), F.lit(10)) == 0)
+    folder, session = _fed_sales(spark, "late-sales", d, late)
+    messages = session.read.schema(TOPIC_COLUMNS).parquet(f"{folder}/topic")
     table = jobs.sale_table(f"{folder}/sales")
     repairs = jobs.sale_table(f"{folder}/repairs").create(spark)
     jobs.repair_sales(
         messages.where("topic = 'order'"), messages.where("topic = 'order_detail'"),
         jobs.user_table(f"{folder}/users"), table, repairs, 0, as_of=AS_OF)
-    return jobs.all_sales(spark, table, repairs)
+    return jobs.all_sales(spark, table, repairs, whole=True)
 
 
 def stream_latest_users(spark, d):

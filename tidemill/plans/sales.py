@@ -53,16 +53,18 @@ def enrich(sales: DataFrame, users: DataFrame, as_of: Column | str) -> DataFrame
 
     ``as_of`` may be a column of the sales.
     """
-    return _aged(_with_profile(sales, users, "order_detail_id"), as_of)
+    return aged(with_profile(sales, users, "order_detail_id"), as_of)
 
 
-def _with_profile(rows: DataFrame, users: DataFrame, spread: str) -> DataFrame:
+def with_profile(rows: DataFrame, users: DataFrame, spread: str) -> DataFrame:
+    """The rows with the ``PROFILE`` of their user, one user row per id; ``spread`` deals the rows of a user."""
     profile = users.select(
         F.col("id").alias("user_id"), "birthday", F.col("gender").alias("user_gender"), "user_level")
     return keyed.spread_join(rows, profile, ["user_id"], [spread])
 
 
-def _aged(sales: DataFrame, as_of: Column | str) -> DataFrame:
+def aged(sales: DataFrame, as_of: Column | str) -> DataFrame:
+    """Sales with their ``PROFILE`` as they are stored."""
     day = F.lit(as_of) if isinstance(as_of, str) else as_of
     age = F.coalesce(scalar.age_years(F.col("birthday"), day.cast("date")), F.lit(0))
     return sales.withColumn("user_age", age).select(*SALE_DETAIL.names)
@@ -74,8 +76,8 @@ def sale_detail(
 ) -> DataFrame:
     """As :func:`enrich` gives the pairs. The profile is looked up for the orders, of which there are far fewer than
     lines, and comes to the lines with their order."""
-    placed = _with_profile(orders.select("id", "order_status", "create_time", "user_id", "order_ts"), users, "id")
-    return _aged(pair(placed, details, within, carry=PROFILE), as_of)
+    placed = with_profile(orders.select("id", "order_status", "create_time", "user_id", "order_ts"), users, "id")
+    return aged(pair(placed, details, within, carry=PROFILE), as_of)
 
 
 def product_sales(orders: DataFrame, details: DataFrame, day: str | None = None) -> DataFrame:

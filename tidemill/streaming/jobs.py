@@ -11,15 +11,16 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemill.operators import postings, windows
-from tidemill.operators.keyed import first_per_key
+from tidemill.operators.keyed import MOST_REPEATED, first_per_key, repeated, split
 from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as order_plan, sales as sale_plan
 from tidemill.schemas import DAU_TABLE, ORDER_TABLE, SALE_DETAIL, USER_STATE_TABLE, USER_TABLE, strings
 from tidemill.sources import changes, topics
 from tidemill.streaming import counters, sinks
-from tidemill.streaming.tables import KeyedTable, delete, listed
+from tidemill.streaming.tables import KeyedTable, delete, few_repeated, listed
 
 EVERY = "5 seconds"
 EachBatch = Callable[[DataFrame, int], None]
+EachPair = Callable[[DataFrame], DataFrame]
 Metrics = Callable[[int, dict[str, int]], None]
 
 
@@ -262,7 +263,7 @@ def users(
 def sales(
     order_topic: DataFrame, detail_topic: DataFrame, users_at: KeyedTable, table: KeyedTable,
     checkpoint: str, as_of: str | None = None, within: str = "1 hour", delay: str = "1 hour",
-    salts: int = 4, index: KeyedTable | None = None, **run,
+    salts: int = 1, index: KeyedTable | None = None, **run,
 ) -> StreamingQuery:
     """Pair orders and lines whatever comes first, add the current user, store by line id.
 
@@ -271,6 +272,9 @@ def sales(
     times of the two sides, less ``delay``. The time of a record is its topic timestamp; records at or behind the
     watermark of the batches before are late. With ``index``, the words of the product names are stored as well, before
     the lines, so that no stored line is missed.
+
+    The lines of a batch are shuffled once, to their orders, where AQE splits an order of very many lines without
+    ``salts``. The orders bring the profile of their user, and the sales are written where they lie.
     """
     order_rows, detail_rows = _timed_sides(order_topic, detail_topic)
     both = (
@@ -302,11 +306,24 @@ def sales(
         rows = fresh.withColumn("fresh", F.lit(True)).unionByName(held.withColumn("fresh", F.lit(False)))
         placed = rows.where("side = 'order'").withColumnRenamed("fresh", "fresh_order")
         lines = rows.where("side = 'line'").withColumnRenamed("fresh", "fresh_line")
+
         # two rows that both waited met in an earlier batch
-        pairs = sale_plan.pair(
-            placed, lines, within, salts, ("fresh_order",), ("fresh_line",)).where("fresh_order OR fresh_line")
-        pairs = pairs.drop("fresh_order", "fresh_line").withColumn("as_of_day", F.lit(day))
-        _store_sales(pairs, batch_id, users_at, table, index)
+        def paired(some: DataFrame) -> DataFrame:
+            pairs = sale_plan.pair(
+                known, some, within, salts, ("fresh_order", *sale_plan.PROFILE), ("fresh_line",))
+            return pairs.where("fresh_order OR fresh_line").drop("fresh_order", "fresh_line")
+
+        buyers = placed.select(F.col("user_id").alias("id")).distinct().persist()
+        again = repeated(lines.select("id")).persist()
+        try:
+            # once counted, the sizes are known and Spark chooses the lookups by them
+            buyers.count()
+            known = sale_plan.with_profile(placed, users_at.read(spark, wanted=buyers), "id")
+            unique = _first_sales(paired, lines, again)
+            _store_sales(sale_plan.aged(unique, F.lit(day)), batch_id, table, index, gather=False)
+        finally:
+            again.unpersist()
+            buyers.unpersist()
         left = rows.drop("fresh").where(at.isNotNull())
         following = _watermark(left, delay)
         if following is not None:
@@ -350,7 +367,7 @@ class WaitingRows:
 
 def repair_sales(
     order_topic: DataFrame, detail_topic: DataFrame, users_at: KeyedTable, table: KeyedTable,
-    repairs: KeyedTable, run_id: int, as_of: str | None = None, within: str = "1 hour", salts: int = 4,
+    repairs: KeyedTable, run_id: int, as_of: str | None = None, within: str = "1 hour", salts: int = 1,
     index: KeyedTable | None = None,
 ) -> None:
     """Store the sales that the stream let go because a side came behind its watermark.
@@ -367,15 +384,36 @@ def repair_sales(
         repairs.rows(spark, before=run_id).select("order_detail_id"))
     lines = sale_plan.as_details(detail_rows)
     missing = lines.join(known, lines["order_detail_id"].eqNullSafe(known["order_detail_id"]), "left_anti")
-    pairs = sale_plan.pair(order_rows, missing, within, salts).withColumn("as_of_day", _day(as_of))
-    _store_sales(pairs, run_id, users_at, repairs, index)
+    # read twice below, and what is behind it must not be
+    pairs = sale_plan.pair(order_rows, missing, within, salts)
+    unique = _first_by(pairs, "order_detail_id").persist()
+    buyers = unique.select(F.col("user_id").alias("id")).distinct().persist()
+    try:
+        # once counted, the size of the keys is known and Spark chooses the lookup by it
+        buyers.count()
+        profiles = users_at.read(spark, wanted=buyers)
+        _store_sales(sale_plan.enrich(unique, profiles, _day(as_of)), run_id, repairs, index)
+    finally:
+        buyers.unpersist()
+        unique.unpersist()
+
 
+def all_sales(spark: SparkSession, table: KeyedTable, repairs: KeyedTable, whole: bool = False) -> DataFrame:
+    """The sales of the stream and those repaired since, one row a line; the stream's row goes before. ``whole`` as in
+    :meth:`KeyedTable.read`."""
+    stored, mended = table.rows(spark), repairs.rows(spark)
 
-def all_sales(spark: SparkSession, table: KeyedTable, repairs: KeyedTable) -> DataFrame:
-    """The sales of the stream and those repaired since, one row a line; the stream's row goes before."""
-    stored, mended = table.read(spark), repairs.read(spark)
-    ids = table.rows(spark).select(F.col("order_detail_id").alias("stored_id"))
-    return stored.unionByName(mended.join(ids, F.col("order_detail_id").eqNullSafe(F.col("stored_id")), "left_anti"))
+    def merged(stored: DataFrame, mended: DataFrame) -> DataFrame:
+        ids = stored.select(F.col("order_detail_id").alias("stored_id"))
+        missing = table.winners(mended).join(
+            ids, F.col("order_detail_id").eqNullSafe(F.col("stored_id")), "left_anti")
+        return table.winners(stored).unionByName(missing)
+
+    hashes = few_repeated(stored.unionByName(mended).select("order_detail_id")) if whole else None
+    if hashes is None:
+        return merged(stored, mended).select(*SALE_DETAIL.names)
+    (one, others), (late, late_others) = (split(rows, ["order_detail_id"], hashes) for rows in (stored, mended))
+    return one.unionByName(late).unionByName(merged(others, late_others)).select(*SALE_DETAIL.names)
 
 
 def _timed_sides(order_topic: DataFrame, detail_topic: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -389,22 +427,40 @@ def _day(as_of: str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of)
 
 
+#: Of several orders that a line meets, the first of these.
+SALE_ORDER = ("create_time", "order_id")
+
+
+def _first_by(pairs: DataFrame, *keys: str) -> DataFrame:
+    return first_per_key(pairs, keys, [F.col(c) for c in SALE_ORDER])
+
+
+def _first_sales(paired: EachPair, lines: DataFrame, again: DataFrame) -> DataFrame:
+    """One sale a line id. ``again`` are hashes of the ids that come more than once among the lines, cached: a line of
+    another id can only meet several rows of its own order, which lie where it met them."""
+    several = again.count()
+    if several > MOST_REPEATED:
+        return _first_by(paired(lines), "order_detail_id")
+    alone, others = split(lines, ["id"], again) if several else (lines, None)
+    sales = _first_by(paired(alone), "order_id", "order_detail_id")
+    if others is None:
+        return sales
+    return sales.unionByName(_first_by(paired(others), "order_detail_id"))
+
+
 def _store_sales(
-    pairs: DataFrame, batch_id: int, users_at: KeyedTable, table: KeyedTable, index: KeyedTable | None,
+    sales: DataFrame, batch_id: int, table: KeyedTable, index: KeyedTable | None, gather: bool = True,
 ) -> None:
-    # read twice below, and what is behind it must not be
-    unique = first_per_key(pairs, ["order_detail_id"], [F.col("create_time"), F.col("order_id")]).persist()
-    buyers = unique.select(F.col("user_id").alias("id")).distinct().persist()
+    if index is not None:
+        # read twice below, and what is behind it must not be
+        sales = sales.persist()
     try:
-        # once counted, the size of the keys is known and Spark chooses the lookup by it
-        buyers.count()
         if index is not None:
-            index.upsert(postings.postings(unique), batch_id)
-        profiles = users_at.read(pairs.sparkSession, wanted=buyers)
-        table.upsert(sale_plan.enrich(unique, profiles, F.col("as_of_day")), batch_id)
+            index.upsert(postings.postings(sales), batch_id)
+        table.upsert(sales, batch_id, gather)
     finally:
-        buyers.unpersist()
-        unique.unpersist()
+        if index is not None:
+            sales.unpersist()
 
 
 # Alerts ----------------------------------------------------------------------------------------------

@@ -12,12 +12,18 @@ from tidemill.session import configure, work_dir
 from tidemill.streaming.tables import folder, listed
 
 
+PARTITIONS = 200
+
+
 def job_session(spark: SparkSession) -> SparkSession:
     """A session for jobs: one state partition per core, fixed by the first run. Jobs without stream state are
-    planned by AQE, which starts from the partitions that the given session has."""
+    planned by AQE, which starts from the partitions that the given session has, or from ``PARTITIONS`` where these
+    are fewer, so that the sorts of a large batch stay in memory. The shuffle files of a query go when it ends."""
     session = configure(spark.newSession())
     session.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                     spark.conf.get("spark.sql.shuffle.partitions"))
+                     str(max(PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    # else they stay until the driver happens to collect its garbage, those of every batch and run
+    session.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     session.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return session
@@ -39,26 +45,36 @@ def messages(rows: DataFrame, topic: str, timestamp: Column, offset: Column | No
     ).select(*TOPIC_COLUMNS.names)
 
 
-def feed(topics: DataFrame, path: str, slices: int, run: Callable[[], None]) -> None:
+def feed(
+    topics: DataFrame, path: str, slices: int, run: Callable[[], None], times: DataFrame | None = None,
+    last: Column | None = None,
+) -> None:
     """Append the messages in ``slices`` steps of rising time, running the jobs after each.
 
-    Every run but the first continues from the checkpoint of the one before. Messages without a time come first.
-    The messages are made and written once, a folder for each slice; the files of a slice move to the topic when its
-    turn comes.
+    Every run but the first continues from the checkpoint of the one before. Messages without a time come first, those
+    for which ``last`` holds in a step of their own after all others. The messages are made and written once, a folder
+    for each slice; the files of a slice move to the topic when its turn comes. ``times`` are rows whose ``timestamp``
+    divides the steps in place of that of the messages, where these are costly to make.
     """
     spark = topics.sparkSession
     edges: list = []
     if slices > 1:
         shares = [i / slices for i in range(1, slices)]
-        edges = topics.agg(
+        if times is None:
+            times = topics if last is None else topics.where(~F.coalesce(last, F.lit(False)))
+        edges = times.agg(
             F.percentile_approx(F.unix_micros("timestamp"), shares, 1000)).first()[0] or []
     number = F.lit(0)
     for edge in edges:
         number = number + F.coalesce((F.unix_micros("timestamp") > edge).cast("int"), F.lit(0))
+    steps = len(edges) + 1
+    if last is not None:
+        number = F.when(last, F.lit(steps)).otherwise(number)
+        steps += 1
     staged = f"{path}-{uuid4().hex}"
     topics.withColumn("slice", number).write.partitionBy("slice").parquet(staged)
     topics.limit(0).write.mode("append").parquet(path)  # a slice may be empty, the topic is there all the same
-    for n in range(len(edges) + 1):
+    for n in range(steps):
         _move_files(spark, f"{staged}/slice={n}", path, f"{n}-{uuid4().hex}-")
         run()
 

@@ -26,7 +26,8 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemill.operators.keyed import first_per_key, keep_listed
+from tidemill.operators.keyed import MOST_REPEATED, first_per_key, keep_listed, repeated, split
+from tidemill.session import work_dir
 
 
 @dataclass(frozen=True)
@@ -124,23 +125,32 @@ class KeyedTable:
         return first_per_key(rows, keys, self._order())
 
     def read(
-        self, spark: SparkSession, before: int | None = None, wanted: DataFrame | None = None
+        self, spark: SparkSession, before: int | None = None, wanted: DataFrame | None = None, whole: bool = False
     ) -> DataFrame:
         """The table: one row per key. A filter on the partition column reaches the scan.
 
         ``wanted`` holds the keys to look up; other rows then end at the scan, before any shuffle of the
-        table as long as the keys fit a broadcast.
+        table as long as the keys fit a broadcast. ``whole`` is for a reader of all rows of a table in which few keys
+        come again: a job finds these at once by the hashes of all keys, and rows with other keys are not shuffled.
         """
         rows = self.rows(spark, before)
+        if whole:
+            hashes = few_repeated(rows.select(*self.keys))
+            if hashes is not None:
+                alone, others = split(rows, self.keys, hashes)
+                return alone.unionByName(self.winners(others)).select(*self.schema.names)
         if wanted is not None:
             rows = keep_listed(rows, wanted, self.keys)
         return self.winners(rows).select(*self.schema.names)
 
     # Writing
 
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
+    def upsert(self, batch: DataFrame, batch_id: int, gather: bool = True) -> None:
         """Store a batch, then fold what is due; the rows of a batch should already be unique by key.
 
+        Without ``gather`` the rows are written where they lie, sorted by day in each file: for rows behind a shuffle,
+        whose tasks AQE has sized.
+
         A batch without rows leaves no folder, not even that of a former attempt. Its rows are counted as they are
         written. An empty day is stored as no day: day folders do not tell the two apart. A batch that a fold holds
         was stored to its end; a replay of it is left out, as it would bring the same rows.
@@ -155,7 +165,8 @@ class KeyedTable:
         # rebalance: few files for a small batch, even ones for a large batch; AQE splits a large day, without it the
         # rows are dealt evenly
         together = spark.conf.get("spark.sql.adaptive.enabled") == "true"
-        rows = rows.hint("rebalance", *(self._parts() if together else []))
+        if gather or not together:
+            rows = rows.hint("rebalance", *(self._parts() if together else []))
         if self.partition:
             rows = rows.sortWithinPartitions(self.partition, *(k for k in self.keys if k != self.partition))
         rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -217,6 +228,16 @@ class KeyedTable:
                 delete(spark, f"{self.path}/data/{name}")
 
 
+def few_repeated(keys: DataFrame) -> DataFrame | None:
+    """The hashes of the keys that occur more than once, from a file, whose size the lookups are planned by; None
+    where they are many."""
+    spark = keys.sparkSession
+    path = f"{work_dir(spark)}/repeated-{uuid4().hex}"
+    repeated(keys).write.parquet(path)
+    hashes = spark.read.schema("_key bigint").parquet(path)
+    return hashes if hashes.count() <= MOST_REPEATED else None
+
+
 def folder(spark: SparkSession, path: str):
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     return there, there.getFileSystem(spark._jsc.hadoopConfiguration())
