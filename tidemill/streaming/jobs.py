@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from math import gcd
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemill.operators import postings, windows
-from tidemill.operators.keyed import MOST_REPEATED, first_per_key, repeated, split
+from tidemill.operators.keyed import first_per_key, split
 from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as order_plan, sales as sale_plan
 from tidemill.schemas import DAU_TABLE, ORDER_TABLE, SALE_DETAIL, USER_STATE_TABLE, USER_TABLE, strings
+from tidemill.session import work_dir
 from tidemill.sources import changes, topics
 from tidemill.streaming import counters, sinks
 from tidemill.streaming.tables import KeyedTable, delete, few_repeated, listed
@@ -314,15 +316,14 @@ def sales(
             return pairs.where("fresh_order OR fresh_line").drop("fresh_order", "fresh_line")
 
         buyers = placed.select(F.col("user_id").alias("id")).distinct().persist()
-        again = repeated(lines.select("id")).persist()
+        again = few_repeated(lines.select("id"), f"{checkpoint}/repeated")
         try:
-            # once counted, the sizes are known and Spark chooses the lookups by them
+            # once counted, the size of the keys is known and Spark chooses the lookup by it
             buyers.count()
             known = sale_plan.with_profile(placed, users_at.read(spark, wanted=buyers), "id")
             unique = _first_sales(paired, lines, again)
             _store_sales(sale_plan.aged(unique, F.lit(day)), batch_id, table, index, gather=False)
         finally:
-            again.unpersist()
             buyers.unpersist()
         left = rows.drop("fresh").where(at.isNotNull())
         following = _watermark(left, delay)
@@ -373,7 +374,8 @@ def repair_sales(
     """Store the sales that the stream let go because a side came behind its watermark.
 
     The topics are read as batches, for instance those of some days; of their lines only the ones in neither table
-    are paired, by the condition of the stream. The sales go to a table of their own, as a table belongs to one
+    are paired, by the condition of the stream; they are found and written first, so that the shuffle of all lines
+    does not stand beside that of all orders. The sales go to a table of their own, as a table belongs to one
     writer; ``run_id`` numbers the runs, and a run that is made again replaces its first attempt. Lines that still
     wait in the stream may be stored by both: ``all_sales`` reads each line once. ``index`` is one of the repairs.
     """
@@ -384,8 +386,10 @@ def repair_sales(
         repairs.rows(spark, before=run_id).select("order_detail_id"))
     lines = sale_plan.as_details(detail_rows)
     missing = lines.join(known, lines["order_detail_id"].eqNullSafe(known["order_detail_id"]), "left_anti")
+    aside = f"{work_dir(spark)}/missing-{uuid4().hex}"
+    missing.write.parquet(aside)
     # read twice below, and what is behind it must not be
-    pairs = sale_plan.pair(order_rows, missing, within, salts)
+    pairs = sale_plan.pair(order_rows, spark.read.schema(missing.schema).parquet(aside), within, salts)
     unique = _first_by(pairs, "order_detail_id").persist()
     buyers = unique.select(F.col("user_id").alias("id")).distinct().persist()
     try:
@@ -396,6 +400,7 @@ def repair_sales(
     finally:
         buyers.unpersist()
         unique.unpersist()
+        delete(spark, aside)
 
 
 def all_sales(spark: SparkSession, table: KeyedTable, repairs: KeyedTable, whole: bool = False) -> DataFrame:
@@ -409,7 +414,10 @@ def all_sales(spark: SparkSession, table: KeyedTable, repairs: KeyedTable, whole
             ids, F.col("order_detail_id").eqNullSafe(F.col("stored_id")), "left_anti")
         return table.winners(stored).unionByName(missing)
 
-    hashes = few_repeated(stored.unionByName(mended).select("order_detail_id")) if whole else None
+    hashes = None
+    if whole:
+        ids = stored.unionByName(mended).select("order_detail_id")
+        hashes = few_repeated(ids, f"{work_dir(spark)}/repeated-{uuid4().hex}")
     if hashes is None:
         return merged(stored, mended).select(*SALE_DETAIL.names)
     (one, others), (late, late_others) = (split(rows, ["order_detail_id"], hashes) for rows in (stored, mended))
@@ -435,17 +443,16 @@ def _first_by(pairs: DataFrame, *keys: str) -> DataFrame:
     return first_per_key(pairs, keys, [F.col(c) for c in SALE_ORDER])
 
 
-def _first_sales(paired: EachPair, lines: DataFrame, again: DataFrame) -> DataFrame:
-    """One sale a line id. ``again`` are hashes of the ids that come more than once among the lines, cached: a line of
-    another id can only meet several rows of its own order, which lie where it met them."""
-    several = again.count()
-    if several > MOST_REPEATED:
+def _first_sales(paired: EachPair, lines: DataFrame, again: DataFrame | None) -> DataFrame:
+    """One sale a line id. ``again`` are hashes of the ids that come more than once among the lines, None if many: a line
+    of another id can only meet several rows of its own order, which lie where it met them."""
+    if again is None:
         return _first_by(paired(lines), "order_detail_id")
-    alone, others = split(lines, ["id"], again) if several else (lines, None)
-    sales = _first_by(paired(alone), "order_id", "order_detail_id")
-    if others is None:
-        return sales
-    return sales.unionByName(_first_by(paired(others), "order_detail_id"))
+    if again.isEmpty():
+        return _first_by(paired(lines), "order_id", "order_detail_id")
+    alone, others = split(lines, ["id"], again)
+    return _first_by(paired(alone), "order_id", "order_detail_id").unionByName(
+        _first_by(paired(others), "order_detail_id"))
 
 
 def _store_sales(

@@ -135,7 +135,7 @@ class KeyedTable:
         """
         rows = self.rows(spark, before)
         if whole:
-            hashes = few_repeated(rows.select(*self.keys))
+            hashes = few_repeated(rows.select(*self.keys), f"{work_dir(spark)}/repeated-{uuid4().hex}")
             if hashes is not None:
                 alone, others = split(rows, self.keys, hashes)
                 return alone.unionByName(self.winners(others)).select(*self.schema.names)
@@ -228,13 +228,11 @@ class KeyedTable:
                 delete(spark, f"{self.path}/data/{name}")
 
 
-def few_repeated(keys: DataFrame) -> DataFrame | None:
-    """The hashes of the keys that occur more than once, from a file, whose size the lookups are planned by; None
-    where they are many."""
-    spark = keys.sparkSession
-    path = f"{work_dir(spark)}/repeated-{uuid4().hex}"
-    repeated(keys).write.parquet(path)
-    hashes = spark.read.schema("_key bigint").parquet(path)
+def few_repeated(keys: DataFrame, path: str) -> DataFrame | None:
+    """The hashes of the keys that occur more than once, written to ``path``, as Spark plans the lookups by the size of
+    the files; None where they are many."""
+    repeated(keys).write.mode("overwrite").parquet(path)
+    hashes = keys.sparkSession.read.schema("_key bigint").parquet(path)
     return hashes if hashes.count() <= MOST_REPEATED else None
 
 
