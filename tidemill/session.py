@@ -60,3 +60,21 @@ def work_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="tidemill-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+#: Partitions that the shuffles of a job start from at least; AQE puts small ones together.
+PARTITIONS = 200
+
+
+def job_session(spark: SparkSession) -> SparkSession:
+    """A session for jobs: one state partition per core, fixed by the first run. Jobs without stream state are
+    planned by AQE, which starts from the partitions that the given session has, or from ``PARTITIONS`` where these
+    are fewer, so that the sorts of a large batch stay in memory. The shuffle files of a query go when it ends."""
+    session = configure(spark.newSession())
+    session.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                     str(max(PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    # else they stay until the driver happens to collect its garbage, those of every batch and run
+    session.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    session.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session

@@ -15,10 +15,10 @@ from tidemill.operators import postings, windows
 from tidemill.operators.keyed import first_per_key, split
 from tidemill.plans import alerts as alert_plan, dau as dau_plan, orders as order_plan, sales as sale_plan
 from tidemill.schemas import DAU_TABLE, ORDER_TABLE, SALE_DETAIL, USER_STATE_TABLE, USER_TABLE, strings
-from tidemill.session import work_dir
+from tidemill.session import job_session
 from tidemill.sources import changes, topics
 from tidemill.streaming import counters, sinks
-from tidemill.streaming.tables import KeyedTable, delete, few_repeated, listed
+from tidemill.streaming.tables import KeyedTable, delete, few_repeated, listed, read_repeated
 
 EVERY = "5 seconds"
 EachBatch = Callable[[DataFrame, int], None]
@@ -316,7 +316,8 @@ def sales(
             return pairs.where("fresh_order OR fresh_line").drop("fresh_order", "fresh_line")
 
         buyers = placed.select(F.col("user_id").alias("id")).distinct().persist()
-        again = few_repeated(lines.select("id"), f"{checkpoint}/repeated")
+        hashes = f"{checkpoint}/repeated"
+        again = read_repeated(spark, hashes) if few_repeated(lines.select("id"), hashes) else None
         try:
             # once counted, the size of the keys is known and Spark chooses the lookup by it
             buyers.count()
@@ -386,7 +387,7 @@ def repair_sales(
         repairs.rows(spark, before=run_id).select("order_detail_id"))
     lines = sale_plan.as_details(detail_rows)
     missing = lines.join(known, lines["order_detail_id"].eqNullSafe(known["order_detail_id"]), "left_anti")
-    aside = f"{work_dir(spark)}/missing-{uuid4().hex}"
+    aside = f"{repairs.path}/missing-{uuid4().hex}"
     missing.write.parquet(aside)
     # read twice below, and what is behind it must not be
     pairs = sale_plan.pair(order_rows, spark.read.schema(missing.schema).parquet(aside), within, salts)
@@ -414,12 +415,11 @@ def all_sales(spark: SparkSession, table: KeyedTable, repairs: KeyedTable, whole
             ids, F.col("order_detail_id").eqNullSafe(F.col("stored_id")), "left_anti")
         return table.winners(stored).unionByName(missing)
 
-    hashes = None
-    if whole:
-        ids = stored.unionByName(mended).select("order_detail_id")
-        hashes = few_repeated(ids, f"{work_dir(spark)}/repeated-{uuid4().hex}")
-    if hashes is None:
+    path, own = f"{table.path}/repeated-{uuid4().hex}", job_session(spark) if whole else spark
+    if not whole or not few_repeated(
+            table.rows(own).unionByName(repairs.rows(own)).select("order_detail_id"), path):
         return merged(stored, mended).select(*SALE_DETAIL.names)
+    hashes = read_repeated(spark, path)
     (one, others), (late, late_others) = (split(rows, ["order_detail_id"], hashes) for rows in (stored, mended))
     return one.unionByName(late).unionByName(merged(others, late_others)).select(*SALE_DETAIL.names)
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemill.operators.keyed import MOST_REPEATED, first_per_key, keep_listed, repeated, split
-from tidemill.session import work_dir
+from tidemill.session import job_session
 
 
 @dataclass(frozen=True)
@@ -135,9 +135,9 @@ class KeyedTable:
         """
         rows = self.rows(spark, before)
         if whole:
-            hashes = few_repeated(rows.select(*self.keys), f"{work_dir(spark)}/repeated-{uuid4().hex}")
-            if hashes is not None:
-                alone, others = split(rows, self.keys, hashes)
+            keys = self.rows(job_session(spark), before).select(*self.keys)
+            if few_repeated(keys, path := f"{self.path}/repeated-{uuid4().hex}"):
+                alone, others = split(rows, self.keys, read_repeated(spark, path))
                 return alone.unionByName(self.winners(others)).select(*self.schema.names)
         if wanted is not None:
             rows = keep_listed(rows, wanted, self.keys)
@@ -213,7 +213,8 @@ class KeyedTable:
         self._commit(spark, [*(p for p in self.live(spark) if p not in due), part])
 
     def vacuum(self, spark: SparkSession, age: float) -> None:
-        """Delete commits older than ``age`` seconds except the newest, and old folders that no commit left names."""
+        """Delete commits older than ``age`` seconds except the newest, old folders that no commit left names, and what
+        readers of the whole table left."""
         commits = self._commits(spark)
         if not commits:
             return
@@ -226,14 +227,20 @@ class KeyedTable:
             # a folder that is just being written is not named yet, but young
             if name not in named and at < edge:
                 delete(spark, f"{self.path}/data/{name}")
+        for name, at in listed(spark, self.path).items():
+            if name.startswith("repeated-") and at < edge:
+                delete(spark, f"{self.path}/{name}")
 
 
-def few_repeated(keys: DataFrame, path: str) -> DataFrame | None:
-    """The hashes of the keys that occur more than once, written to ``path``, as Spark plans the lookups by the size of
-    the files; None where they are many."""
+def few_repeated(keys: DataFrame, path: str) -> bool:
+    """Write the hashes of the keys that occur more than once to ``path``, as Spark plans the lookups by the size of the
+    files; whether they are few."""
     repeated(keys).write.mode("overwrite").parquet(path)
-    hashes = keys.sparkSession.read.schema("_key bigint").parquet(path)
-    return hashes if hashes.count() <= MOST_REPEATED else None
+    return read_repeated(keys.sparkSession, path).count() <= MOST_REPEATED
+
+
+def read_repeated(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("_key bigint").parquet(path)
 
 
 def folder(spark: SparkSession, path: str):
